@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.sources.entities import EDGES, STATE, STATE_VIEWS, VIEWS, EntityTable, local_name
+from voltframe.sources.entities import EDGES, STATE, STATE_VIEWS, VIEWS, EntityTable, edge_quads, local_name, view_quads
 
 ViewSource = DataFrame | Callable[[], DataFrame]
 Mapper = Callable[[DataFrame], DataFrame]
@@ -83,6 +84,12 @@ class GridModel:
     def load(cls, spark: SparkSession, folder: str, names: Iterable[str], mappers: Iterable[Mapper] = ()) -> GridModel:
         return cls({name: (lambda n=name: spark.read.parquet(f"{folder}/{n}")) for name in names}, mappers)
 
+    def to_quads(self, graph: str, names: Iterable[str] | None = None) -> DataFrame:
+        """The views as one quad table."""
+        chosen = [n for n in (names or self.names()) if n in VIEWS or n in EDGES]
+        tables = [(view_quads if n in VIEWS else edge_quads)(n, self[n], graph) for n in chosen]
+        return reduce(DataFrame.unionByName, tables)
+
     def register(self, prefix: str = "") -> None:
         """Expose the views to spark.sql for user-written queries."""
         for name in self.names():

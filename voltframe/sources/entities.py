@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from voltframe.functions import bool_of, double_of, int_of
 
-TEXT, NUMBER, INTEGER, FLAG = "string", "double", "int", "boolean"
+TEXT, REF, NUMBER, INTEGER, FLAG = "text", "reference", "double", "int", "boolean"
 
 CASTS = {
     TEXT: lambda c: c,
+    REF: lambda c: c,
     NUMBER: double_of,
     INTEGER: lambda c: int_of(c).cast("int"),
     FLAG: lambda c: F.when(c.isNotNull(), bool_of(c)),
@@ -45,8 +46,8 @@ MRID = {"mrid": ("IdentifiedObject.mRID", TEXT)}
 NAMED = MRID | {"name": ("IdentifiedObject.name", TEXT)}
 ALIASED = NAMED | {"alias_name": ("IdentifiedObject.aliasName", TEXT)}
 ANALYSED = {"analysis_enabled": ("Equipment.networkAnalysisEnable", FLAG)}
-CONTAINED = {"container": ("Equipment.EquipmentContainer", TEXT)}
-ON_VOLTAGE = {"base_voltage": ("ConductingEquipment.BaseVoltage", TEXT)}
+CONTAINED = {"container": ("Equipment.EquipmentContainer", REF)}
+ON_VOLTAGE = {"base_voltage": ("ConductingEquipment.BaseVoltage", REF)}
 
 VIEWS: dict[str, View] = {
     "geographical_region": View(ALIASED, ("GeographicalRegion",)),
@@ -54,7 +55,7 @@ VIEWS: dict[str, View] = {
         ALIASED
         | {
             "short_name": ("IdentifiedObject.shortName", TEXT),
-            "region": ("SubGeographicalRegion.Region", TEXT),
+            "region": ("SubGeographicalRegion.Region", REF),
         },
         ("SubGeographicalRegion",),
         ("region",),
@@ -62,8 +63,8 @@ VIEWS: dict[str, View] = {
     "substation": View(
         NAMED
         | {
-            "region": ("Substation.Region", TEXT),
-            "delivery_point": ("Substation.MarketDeliveryPoint", TEXT),
+            "region": ("Substation.Region", REF),
+            "delivery_point": ("Substation.MarketDeliveryPoint", REF),
         },
         ("Substation",),
         ("region", "delivery_point"),
@@ -71,8 +72,8 @@ VIEWS: dict[str, View] = {
     "voltage_level": View(
         MRID
         | {
-            "base_voltage": ("VoltageLevel.BaseVoltage", TEXT),
-            "substation": ("VoltageLevel.Substation", TEXT),
+            "base_voltage": ("VoltageLevel.BaseVoltage", REF),
+            "substation": ("VoltageLevel.Substation", REF),
         },
         ("VoltageLevel",),
         ("substation", "base_voltage"),
@@ -83,16 +84,16 @@ VIEWS: dict[str, View] = {
     "line": View(
         NAMED
         | {
-            "region": ("Line.Region", TEXT),
+            "region": ("Line.Region", REF),
             "market_code": ("Line.marketCode", TEXT),
-            "from_delivery_point": ("Line.FromMarketDeliveryPoint", TEXT),
-            "to_delivery_point": ("Line.ToMarketDeliveryPoint", TEXT),
+            "from_delivery_point": ("Line.FromMarketDeliveryPoint", REF),
+            "to_delivery_point": ("Line.ToMarketDeliveryPoint", REF),
         },
         ("Line",),
         ("region", "market_code", "from_delivery_point"),
     ),
     "delivery_point": View(
-        {"bidding_area": ("MarketDeliveryPoint.BiddingArea", TEXT)}, ("MarketDeliveryPoint",), ("bidding_area",)
+        {"bidding_area": ("MarketDeliveryPoint.BiddingArea", REF)}, ("MarketDeliveryPoint",), ("bidding_area",)
     ),
     "bidding_area": View(
         {
@@ -105,8 +106,8 @@ VIEWS: dict[str, View] = {
     "connectivity_node": View(
         MRID
         | {
-            "container": ("ConnectivityNode.ConnectivityNodeContainer", TEXT),
-            "topological_node": ("ConnectivityNode.TopologicalNode", TEXT),
+            "container": ("ConnectivityNode.ConnectivityNodeContainer", REF),
+            "topological_node": ("ConnectivityNode.TopologicalNode", REF),
         },
         ("ConnectivityNode",),
         ("container", "topological_node"),
@@ -114,8 +115,8 @@ VIEWS: dict[str, View] = {
     "topological_node": View(
         NAMED
         | {
-            "base_voltage": ("TopologicalNode.BaseVoltage", TEXT),
-            "container": ("TopologicalNode.ConnectivityNodeContainer", TEXT),
+            "base_voltage": ("TopologicalNode.BaseVoltage", REF),
+            "container": ("TopologicalNode.ConnectivityNodeContainer", REF),
         },
         ("TopologicalNode",),
         ("base_voltage", "container"),
@@ -123,14 +124,14 @@ VIEWS: dict[str, View] = {
     "topological_island": View(
         {
             "name": ("IdentifiedObject.name", TEXT),
-            "angle_ref": ("TopologicalIsland.AngleRefTopologicalNode", TEXT),
+            "angle_ref": ("TopologicalIsland.AngleRefTopologicalNode", REF),
         },
         ("TopologicalIsland",),
         ("angle_ref",),
     ),
     "sv_voltage": View(
         {
-            "node": ("SvVoltage.TopologicalNode", TEXT),
+            "node": ("SvVoltage.TopologicalNode", REF),
             "v": ("SvVoltage.v", NUMBER),
             "angle": ("SvVoltage.angle", NUMBER),
         },
@@ -139,7 +140,7 @@ VIEWS: dict[str, View] = {
     ),
     "sv_injection": View(
         {
-            "node": ("SvInjection.TopologicalNode", TEXT),
+            "node": ("SvInjection.TopologicalNode", REF),
             "p": ("SvInjection.pInjection", NUMBER),
             "q": ("SvInjection.qInjection", NUMBER),
         },
@@ -148,7 +149,7 @@ VIEWS: dict[str, View] = {
     ),
     "sv_power_flow": View(
         {
-            "terminal": ("SvPowerFlow.Terminal", TEXT),
+            "terminal": ("SvPowerFlow.Terminal", REF),
             "p": ("SvPowerFlow.p", NUMBER),
             "q": ("SvPowerFlow.q", NUMBER),
         },
@@ -157,7 +158,7 @@ VIEWS: dict[str, View] = {
     ),
     "sv_status": View(
         {
-            "equipment": ("SvStatus.ConductingEquipment", TEXT),
+            "equipment": ("SvStatus.ConductingEquipment", REF),
             "in_service": ("SvStatus.inService", FLAG),
         },
         ("SvStatus",),
@@ -165,7 +166,7 @@ VIEWS: dict[str, View] = {
     ),
     "sv_tap_step": View(
         {
-            "tap_changer": ("SvTapStep.TapChanger", TEXT),
+            "tap_changer": ("SvTapStep.TapChanger", REF),
             "position": ("SvTapStep.position", NUMBER),
         },
         ("SvTapStep",),
@@ -174,9 +175,9 @@ VIEWS: dict[str, View] = {
     "terminal": View(
         NAMED
         | {
-            "equipment": ("Terminal.ConductingEquipment", TEXT),
-            "node": ("Terminal.ConnectivityNode", TEXT),
-            "topological_node": ("Terminal.TopologicalNode", TEXT),
+            "equipment": ("Terminal.ConductingEquipment", REF),
+            "node": ("Terminal.ConnectivityNode", REF),
+            "topological_node": ("Terminal.TopologicalNode", REF),
             "sequence_number": ("ACDCTerminal.sequenceNumber", INTEGER),
             "terminal_sequence_number": ("Terminal.sequenceNumber", INTEGER),
             "connected": ("ACDCTerminal.connected", FLAG),
@@ -222,8 +223,8 @@ VIEWS: dict[str, View] = {
     "transformer_end": View(
         NAMED
         | {
-            "transformer": ("PowerTransformerEnd.PowerTransformer", TEXT),
-            "terminal": ("TransformerEnd.Terminal", TEXT),
+            "transformer": ("PowerTransformerEnd.PowerTransformer", REF),
+            "terminal": ("TransformerEnd.Terminal", REF),
             "end_number": ("TransformerEnd.endNumber", INTEGER),
             "rated_u": ("PowerTransformerEnd.ratedU", NUMBER),
             "r": ("PowerTransformerEnd.r", NUMBER),
@@ -231,14 +232,14 @@ VIEWS: dict[str, View] = {
             "b": ("PowerTransformerEnd.b", NUMBER),
             "g": ("PowerTransformerEnd.g", NUMBER),
             "phase_angle_clock": ("PowerTransformerEnd.phaseAngleClock", INTEGER),
-            "phase_tap_changer": ("TransformerEnd.PhaseTapChanger", TEXT),
+            "phase_tap_changer": ("TransformerEnd.PhaseTapChanger", REF),
         },
         ("PowerTransformerEnd",),
         ("transformer",),
     ),
     "ratio_tap_changer": View(
         {
-            "transformer_end": ("RatioTapChanger.TransformerEnd", TEXT),
+            "transformer_end": ("RatioTapChanger.TransformerEnd", REF),
             "increment": ("RatioTapChanger.stepVoltageIncrement", NUMBER),
             "neutral_step": ("TapChanger.neutralStep", INTEGER),
             "normal_step": ("TapChanger.normalStep", INTEGER),
@@ -253,7 +254,7 @@ VIEWS: dict[str, View] = {
             "neutral_step": ("TapChanger.neutralStep", INTEGER),
             "high_step": ("TapChanger.highStep", INTEGER),
             "low_step": ("TapChanger.lowStep", INTEGER),
-            "control": ("TapChanger.TapChangerControl", TEXT),
+            "control": ("TapChanger.TapChangerControl", REF),
             "control_enabled": ("TapChanger.controlEnabled", FLAG),
             "step": ("TapChanger.step", NUMBER),
         },
@@ -262,8 +263,8 @@ VIEWS: dict[str, View] = {
     ),
     "regulating_control": View(
         {
-            "mode": ("RegulatingControl.mode", TEXT),
-            "terminal": ("RegulatingControl.Terminal", TEXT),
+            "mode": ("RegulatingControl.mode", REF),
+            "terminal": ("RegulatingControl.Terminal", REF),
             "enabled": ("RegulatingControl.enabled", FLAG),
             "target_value": ("RegulatingControl.targetValue", NUMBER),
         },
@@ -281,12 +282,12 @@ VIEWS: dict[str, View] = {
         ("normal_open", "open"),
     ),
     "load": View(
-        NAMED | CONTAINED | ANALYSED | {"load_group": ("NonConformLoad.LoadGroup", TEXT)},
+        NAMED | CONTAINED | ANALYSED | {"load_group": ("NonConformLoad.LoadGroup", REF)},
         ("ConformLoad", "NonConformLoad", "EnergyConsumer"),
         ("load_group",),
     ),
     "load_group": View(
-        NAMED | {"schedule_resource": ("NonConformLoadGroup.ScheduleResource", TEXT)},
+        NAMED | {"schedule_resource": ("NonConformLoadGroup.ScheduleResource", REF)},
         ("NonConformLoadGroup",),
         ("schedule_resource",),
     ),
@@ -296,8 +297,8 @@ VIEWS: dict[str, View] = {
         | ANALYSED
         | {
             "rated_s": ("RotatingMachine.ratedS", NUMBER),
-            "generating_unit": ("RotatingMachine.GeneratingUnit", TEXT),
-            "machine_generating_unit": ("SynchronousMachine.GeneratingUnit", TEXT),
+            "generating_unit": ("RotatingMachine.GeneratingUnit", REF),
+            "machine_generating_unit": ("SynchronousMachine.GeneratingUnit", REF),
         },
         ("SynchronousMachine",),
         ("generating_unit", "machine_generating_unit"),
@@ -306,21 +307,21 @@ VIEWS: dict[str, View] = {
         NAMED
         | ANALYSED
         | {
-            "direct_type": ("directType", TEXT),
+            "direct_type": ("directType", REF),
             "min_p": ("GeneratingUnit.minOperatingP", NUMBER),
             "max_p": ("GeneratingUnit.maxOperatingP", NUMBER),
-            "hydro_power_plant": ("HydroGeneratingUnit.HydroPowerPlant", TEXT),
-            "wind_power_plant": ("WindGeneratingUnit.WindPowerPlant", TEXT),
+            "hydro_power_plant": ("HydroGeneratingUnit.HydroPowerPlant", REF),
+            "wind_power_plant": ("WindGeneratingUnit.WindPowerPlant", REF),
             "market_code": ("GeneratingUnit.marketCode", TEXT),
             "allocation_weight": ("GeneratingUnit.groupAllocationWeight", NUMBER),
-            "schedule_resource": ("GeneratingUnit.ScheduleResource", TEXT),
-            "frr_resource": ("GeneratingUnit.ScheduleFRRResource", TEXT),
+            "schedule_resource": ("GeneratingUnit.ScheduleResource", REF),
+            "frr_resource": ("GeneratingUnit.ScheduleFRRResource", REF),
         },
         ("GeneratingUnit", "HydroGeneratingUnit", "ThermalGeneratingUnit", "WindGeneratingUnit"),
         ("min_p", "max_p", "hydro_power_plant", "schedule_resource"),
     ),
     "hydro_power_plant": View(
-        {"storage_type": ("HydroPowerPlant.hydroPlantStorageType", TEXT)}, ("HydroPowerPlant",), ("storage_type",)
+        {"storage_type": ("HydroPowerPlant.hydroPlantStorageType", REF)}, ("HydroPowerPlant",), ("storage_type",)
     ),
     "wind_power_plant": View(MRID, ("WindPowerPlant",)),
     "schedule_resource": View(
@@ -330,8 +331,8 @@ VIEWS: dict[str, View] = {
         ALIASED
         | ANALYSED
         | {
-            "vsc_dc_pole": ("VoltageSourceConverter.DCPole", TEXT),
-            "dc_pole": ("DCConverter.DCPole", TEXT),
+            "vsc_dc_pole": ("VoltageSourceConverter.DCPole", REF),
+            "dc_pole": ("DCConverter.DCPole", REF),
             "loss0": ("VoltageSourceConverter.loss0", NUMBER),
             "loss1": ("VoltageSourceConverter.loss1", NUMBER),
             "loss2": ("VoltageSourceConverter.loss2", NUMBER),
@@ -346,7 +347,7 @@ VIEWS: dict[str, View] = {
         CONTAINED
         | ON_VOLTAGE
         | {
-            "controller": ("DCPole.DCController", TEXT),
+            "controller": ("DCPole.DCController", REF),
             "participation_factor": ("DCPole.participationFactor", NUMBER),
         },
         ("DCPole",),
@@ -355,7 +356,7 @@ VIEWS: dict[str, View] = {
     "dc_tie": View(
         {
             "name": ("IdentifiedObject.name", TEXT),
-            "controller": ("DCTieCorridor.DCController", TEXT),
+            "controller": ("DCTieCorridor.DCController", REF),
             "max_export": ("DCTieCorridor.maxDCExportOp", NUMBER),
             "max_import": ("DCTieCorridor.maxDCImportOp", NUMBER),
         },
@@ -373,7 +374,7 @@ VIEWS: dict[str, View] = {
     "operational_limit": View(
         {
             "name": ("IdentifiedObject.name", TEXT),
-            "limit_set": ("OperationalLimit.OperationalLimitSet", TEXT),
+            "limit_set": ("OperationalLimit.OperationalLimitSet", REF),
             "active_power": ("ActivePowerLimit.value", NUMBER),
             "current": ("CurrentLimit.value", NUMBER),
         },
@@ -382,8 +383,8 @@ VIEWS: dict[str, View] = {
     ),
     "operational_limit_set": View(
         {
-            "equipment": ("OperationalLimitSet.Equipment", TEXT),
-            "terminal": ("OperationalLimitSet.Terminal", TEXT),
+            "equipment": ("OperationalLimitSet.Equipment", REF),
+            "terminal": ("OperationalLimitSet.Terminal", REF),
         },
         ("OperationalLimitSet",),
         ("equipment", "terminal"),
@@ -394,18 +395,18 @@ VIEWS: dict[str, View] = {
             "flow_shift": ("ProtectiveAction.flowShift", TEXT),
             "flow_shift_flip": ("ProtectiveAction.flowShiftFlip", TEXT),
             "load_contribution": ("ProtectiveAction.loadContribution", TEXT),
-            "collection": ("ProtectiveAction.ProtectiveActionCollection", TEXT),
-            "equipment": ("ProtectiveActionEquipment.Equipment", TEXT),
-            "conducting_equipment": ("ProtectiveActionAdjustmentAC.ConductingEquipment", TEXT),
-            "dc_controller": ("ProtectiveActionAdjustmentDCController.DCController", TEXT),
-            "transformer_end": ("ProtectiveActionEquipment.TransformerEnd", TEXT),
+            "collection": ("ProtectiveAction.ProtectiveActionCollection", REF),
+            "equipment": ("ProtectiveActionEquipment.Equipment", REF),
+            "conducting_equipment": ("ProtectiveActionAdjustmentAC.ConductingEquipment", REF),
+            "dc_controller": ("ProtectiveActionAdjustmentDCController.DCController", REF),
+            "transformer_end": ("ProtectiveActionEquipment.TransformerEnd", REF),
         },
         (),
         ("equipment", "conducting_equipment", "dc_controller", "transformer_end"),
     ),
     "position_point": View(
         {
-            "location": ("PositionPoint.Location", TEXT),
+            "location": ("PositionPoint.Location", REF),
             "sequence_number": ("PositionPoint.sequenceNumber", INTEGER),
             "x": ("PositionPoint.xPosition", NUMBER),
             "y": ("PositionPoint.yPosition", NUMBER),
@@ -413,7 +414,7 @@ VIEWS: dict[str, View] = {
         ("PositionPoint",),
         ("location",),
     ),
-    "location": View({"coordinate_system": ("Location.CoordinateSystem", TEXT)}, ("Location",), ("coordinate_system",)),
+    "location": View({"coordinate_system": ("Location.CoordinateSystem", REF)}, ("Location",), ("coordinate_system",)),
     "coordinate_system": View({"crs_urn": ("CoordinateSystem.crsUrn", TEXT)}, ("CoordinateSystem",), ("crs_urn",)),
     "full_model": View(
         {
@@ -470,6 +471,10 @@ STATE_VIEWS = frozenset(
 TYPE_PROPERTY = "type"
 
 
+# Namespace of generated CIM predicates and classes (fixed value).
+CIM = "http://iec.ch/TC57/2013/CIM-schema-cim16#"
+
+
 def local_name(iri: Column) -> Column:
     """The part of an IRI or prefixed name after its namespace."""
     return F.regexp_extract(iri, r"([^#:/]*)$", 1)
@@ -528,3 +533,52 @@ class EntityTable:
             .select(F.col("subject").alias(spec.subject), F.col("object").alias(spec.object))
             .distinct()
         )
+
+
+def view_quads(name: str, rows: DataFrame, graph: str) -> DataFrame:
+    """The quads of one entity view: its classes and every bound column."""
+    spec = VIEWS[name]
+
+    def fact(predicate: str, value: Column, reference: bool) -> Column:
+        return F.struct(
+            F.lit(predicate).alias("predicate"),
+            value.cast("string").alias("object"),
+            F.lit("iri" if reference else "literal").alias("object_kind"),
+        )
+
+    facts = [
+        fact(f"cim:{prop}", F.col(column), kind == REF)
+        for column, (prop, kind) in spec.columns.items()
+        if column in rows.columns
+    ]
+    if "types" in rows.columns:
+        classes = F.transform("types", lambda c: fact("rdf:type", F.concat(F.lit(CIM), c), True))
+    else:
+        classes = F.array(*[fact("rdf:type", F.lit(CIM + c), True) for c in spec.classes[:1]])
+    exploded = rows.select(F.col("id").alias("subject"), F.explode(F.concat(F.array(*facts), classes)).alias("fact"))
+    return _as_quads(exploded.select("subject", "fact.*"), graph)
+
+
+def edge_quads(name: str, rows: DataFrame, graph: str) -> DataFrame:
+    spec = EDGES[name]
+    kind = "literal" if spec.prop == "Model.profile" else "iri"
+    pairs = rows.select(
+        F.col(spec.subject).alias("subject"),
+        F.lit(f"cim:{spec.prop}").alias("predicate"),
+        F.col(spec.object).alias("object"),
+        F.lit(kind).alias("object_kind"),
+    )
+    return _as_quads(pairs, graph)
+
+
+def _as_quads(facts: DataFrame, graph: str) -> DataFrame:
+    unset = F.lit(None).cast("string")
+    return facts.filter("object IS NOT NULL").select(
+        F.lit(graph).alias("graph"),
+        "subject",
+        "predicate",
+        "object",
+        "object_kind",
+        unset.alias("datatype"),
+        unset.alias("lang"),
+    )
