@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from catalog.grid_sql import grid
 from catalog.report_sql import REPORT_SQL
-from voltframe import plans
 from voltframe.model import GridModel
+from voltframe.plans import REPORTS
 from voltframe.session import configure
 from voltframe.sources.star import star_model
 
@@ -41,7 +41,7 @@ def model(spark: SparkSession, folder: str, **options: str) -> GridModel:
 def report(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         options = {"node_of": NODE_OF[name]} if name in NODE_OF else {}
-        df = getattr(plans, name)(model(spark, folder, **options), **ARGUMENTS.get(name, {}))
+        df = REPORTS[name](model(spark, folder, **options), **ARGUMENTS.get(name, {}))
         return rounded(df, ROUNDED.get(name, {}))
 
     return run

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,20 +43,52 @@ class GridModel:
             report = report.transform(mapper)
         return report
 
+    def report(self, name: str, **arguments: object) -> DataFrame:
+        """A report with its declared column types."""
+        from voltframe.operators.validate import coerce
+        from voltframe.plans import REPORTS
+        from voltframe.plans.schemas import SCHEMAS
+
+        rows = REPORTS[name](self, **arguments)
+        return coerce(rows, SCHEMAS[name]) if name in SCHEMAS else rows
+
+    def check(self, name: str, **arguments: object) -> DataFrame:
+        """Violations of the declared schema of a report: rule, column, violations."""
+        from voltframe.operators.validate import violations
+        from voltframe.plans.schemas import SCHEMAS
+
+        return violations(self.report(name, **arguments), SCHEMAS[name])
+
+    def __getattr__(self, name: str) -> Callable[..., DataFrame]:
+        from voltframe.plans import REPORTS
+
+        if name in REPORTS:
+            return partial(self.report, name)
+        raise AttributeError(name)
+
     @classmethod
-    def from_quads(cls, quads: DataFrame, state: DataFrame | None = None, mappers: Iterable[Mapper] = ()) -> GridModel:
+    def from_quads(
+        cls,
+        quads: DataFrame,
+        state: DataFrame | None = None,
+        mappers: Iterable[Mapper] = (),
+        materialize: bool = False,
+    ) -> GridModel:
         """Views over one quad table, or over an equipment table plus a state table.
 
+        With `materialize`, the grouped subjects are written once to the shared folder, which pays off as
+        soon as a report reads more than a few views.
+
         With two tables, state properties and state views read only the state side, as do the
         association and class quads of state objects; everything else reads the equipment side.
         """
         if state is None:
-            main, side = EntityTable(quads), None
+            main, side = EntityTable(quads, materialize), None
         else:
             prop = local_name(F.col("predicate"))
             own = state.filter(prop.isin(*STATE))
-            main = EntityTable(quads.filter(~prop.isin(*STATE)).unionByName(own))
-            side = EntityTable(state)
+            main = EntityTable(quads.filter(~prop.isin(*STATE)).unionByName(own), materialize)
+            side = EntityTable(state, materialize)
 
         def table(name: str) -> EntityTable:
             return side if side is not None and name in STATE_VIEWS else main

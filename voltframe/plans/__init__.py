@@ -57,4 +57,17 @@ from voltframe.plans.nodes import (
     transformer_center_nodes,
 )
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+REPORTS = {
+    f.__name__: f
+    for f in (
+        ac_lines, associated_switches, base_voltage, borders, branch_node_withdraw, bus_data, busbar_section,
+        connections, connectivity_nodes, converters, coordinates, dc_active_flow, dc_controllers, disconnected,
+        exchange, full_model, gen_unit_and_sync_machine_mrid, hvdc, hvdc_converter_bidzones, loads, market_dates,
+        phase_tap_changer, powerflow, ras_equipment, regions, repeated_station_groups, series_compensators,
+        station_group_codes_and_names, station_group_for_power_unit, substation_voltage_level, sv_branch,
+        sv_injection, sv_power_deviation, switches, synchronous_machines, topological_nodes,
+        transformer_branches, transformer_center_nodes, transformer_windings, transformers,
+        transformers_connected_to_converter, type_map, wind_generating_units, winding_angle, winding_loss, windings,
+    )
+}
+__all__ = [*REPORTS, "REPORTS"]

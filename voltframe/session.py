@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +35,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a shared intermediate once as a table in the shared folder and read it back."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a shared intermediate to reliable storage, so that a lost executor does not recompute it."""
     ensure_checkpoint_dir(df.sparkSession)

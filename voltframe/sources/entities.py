@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.functions import bool_of, double_of, int_of
+from voltframe.session import written
 
 TEXT, REF, NUMBER, INTEGER, FLAG = "text", "reference", "double", "int", "boolean"
 
@@ -485,6 +486,7 @@ class EntityTable:
     """One row per subject: class names and a map of its single-valued properties."""
 
     quads: DataFrame
+    materialize: bool = False
     subjects: DataFrame = field(init=False)
 
     def __post_init__(self) -> None:
@@ -514,6 +516,9 @@ class EntityTable:
             )
         )
 
+        if self.materialize:
+            self.subjects = written(self.subjects, "entities")
+
     def view(self, name: str) -> DataFrame:
         spec = VIEWS[name]
         columns = {
