@@ -115,10 +115,13 @@ def _(part: DataFrame) -> DataFrame:
 def _(supplier: DataFrame) -> DataFrame:
     spark = supplier.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/rdf-xml-{uuid.uuid4().hex}"
-    record = """'<cim:Substation xmlns:cim="http://iec.ch/TC57/2013/CIM-schema-cim16#" rdf:ID="_ss-' || s_suppkey
-        || '"><cim:IdentifiedObject.name>' || s_name || ' &lt;&amp;&gt;</cim:IdentifiedObject.name>'
-        || '<cim:Substation.Region rdf:resource="#_sg-' || s_nationkey || '"/></cim:Substation>'"""
-    supplier.selectExpr(f"{record} AS value").write.text(folder)
+    record = """'<cim:Substation rdf:ID="_ss-' || s_suppkey || '"><cim:IdentifiedObject.name>' || s_name
+        || ' &lt;&amp;&gt;</cim:IdentifiedObject.name><cim:Substation.Region rdf:resource="#_sg-' || s_nationkey
+        || '"/></cim:Substation>'"""
+    documents = supplier.selectExpr("s_suppkey DIV 1000 AS document", f"{record} AS record").groupBy("document")
+    head = """'<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:cim="http://iec.ch/TC57/2013/CIM-schema-cim16#">'"""
+    files = documents.agg(F.expr(f"{head} || listagg(record) || '</rdf:RDF>'").alias("value"))
+    files.write.partitionBy("document").text(folder)
     return q.read_rdf_xml(spark, folder).select("subject", "predicate", "object", "object_kind")
 
 
@@ -961,11 +964,11 @@ def _(m: GridModel) -> DataFrame:
 )
 def _(m: GridModel) -> DataFrame:
     for view in ("switch", "operational_limit", "operational_limit_set"):
-        m[view].createOrReplaceTempView(f"grid_{view}")
+        m[view].createOrReplaceTempView(f"view_{view}")
     rows = m["switch"].sparkSession.sql(
         """SELECT s.types[0] AS type, count(*) AS n, max(l.active_power) AS top
-           FROM grid_switch s JOIN grid_operational_limit_set k ON k.equipment = s.id
-           JOIN grid_operational_limit l ON l.limit_set = k.id
+           FROM view_switch s JOIN view_operational_limit_set k ON k.equipment = s.id
+           JOIN view_operational_limit l ON l.limit_set = k.id
            WHERE coalesce(s.analysis_enabled, true) GROUP BY s.types[0]"""
     )
     return validate.convert(rows, {"top": "xsd:integer"})

@@ -15,8 +15,10 @@ def at_end(nr: int, value: str) -> Column:
 
 def concat_ordered(column: str, separator: str, distinct: bool = False) -> Column:
     """Joined text of a group in value order, so the result does not depend on row order."""
-    inner = f"DISTINCT {column}" if distinct else column
-    return F.expr(f"listagg({inner}, '{separator}') WITHIN GROUP (ORDER BY {column})")
+    if distinct:
+        # A set combines before the exchange; DISTINCT inside an aggregate would double the rows instead.
+        return F.array_join(F.array_sort(F.collect_set(column)), separator)
+    return F.expr(f"listagg({column}, '{separator}') WITHIN GROUP (ORDER BY {column})")
 
 
 def best_per_key(df: DataFrame, key: str, order: str, *rest: str) -> DataFrame:

@@ -469,6 +469,23 @@ STATE_VIEWS = frozenset(
     }
 )
 
+# Column each stored view is bucketed by where that is not its id: the key its joins use.
+BUCKET_KEYS = {
+    "sv_power_flow": "terminal",
+    "sv_status": "equipment",
+    "sv_voltage": "node",
+    "sv_injection": "node",
+    "sv_tap_step": "tap_changer",
+    "ratio_tap_changer": "transformer_end",
+    "operational_limit": "limit_set",
+    "position_point": "location",
+    "island_node": "node",
+    "location_resource": "location",
+    "model_dependency": "model",
+    "model_profile": "model",
+    "link": "object",
+}
+
 TYPE_PROPERTY = "type"
 
 

@@ -154,7 +154,7 @@ def is_empty(quads: DataFrame) -> bool:
 
 def difference(quads: DataFrame, other: DataFrame) -> DataFrame:
     """Quads of the first table that are not in the second, as a set."""
-    return quads.select(*QUAD_COLUMNS).distinct().exceptAll(other.select(*QUAD_COLUMNS).distinct())
+    return quads.select(*QUAD_COLUMNS).subtract(other.select(*QUAD_COLUMNS))
 
 
 def write_quads(quads: DataFrame, path: str) -> None:
@@ -174,7 +174,7 @@ _PREFIX = r"xmlns:([\w.-]+)\s*=\s*[\"']([^\"']+)[\"']"
 
 def _xml_layout(spark: SparkSession, paths: str | list[str]) -> tuple[list[str], dict[str, str]]:
     """Element names and namespace prefixes in use: vocabulary-sized, whatever the number of records."""
-    found = spark.read.text(paths).select(
+    found = spark.read.option("recursiveFileLookup", "true").text(paths).select(
         F.explode(
             F.concat(
                 F.transform(F.regexp_extract_all("value", F.lit(_RECORD), 1), lambda c: F.struct(c.alias("a"), F.lit("").alias("b"))),
@@ -251,18 +251,18 @@ def read_rdf_xml(
     found, spaces = _xml_layout(spark, paths)
     tables = []
     for tag in found if properties is None else [c for c in found if c in properties]:
-        reader = spark.read.format("xml").option("rowTag", tag).option("inferSchema", "false")
+        reader = spark.read.format("xml").options(rowTag=tag, inferSchema="false", mode="FAILFAST", recursiveFileLookup="true")
         if properties is not None:
             reader = reader.schema(_record_schema(properties[tag]))
         records = reader.load(paths)
         keys = [F.col(f"`{c}`") for c in ("_rdf:ID", "_rdf:about") if c in records.columns]
         stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?$", 1)
-        properties = [f for f in records.schema.fields if not f.name.startswith("_")]
+        children = [f for f in records.schema.fields if not f.name.startswith("_")]
         kind = F.struct(
             F.lit("rdf:type").alias("tag"), F.lit(tag).alias("object"), F.lit("iri").alias("object_kind"),
             F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang"),
         )
-        facts = F.concat(F.array(kind), *[_values(f.name, f.dataType, base) for f in properties])
+        facts = F.concat(F.array(kind), *[_values(f.name, f.dataType, base) for f in children])
         tables.append(
             records.select(
                 F.concat(F.lit(GRAPH_PREFIX), stem).alias("graph"),
