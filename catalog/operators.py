@@ -215,13 +215,10 @@ def _(part: DataFrame) -> DataFrame:
     )
 
 
-@query(
-    "empty_with_schema",
-    """SELECT CAST(c_name AS VARCHAR) AS mrid, c_name AS name, c_name AS node, true AS status, c_acctbal AS p, c_name AS market_code
-       FROM customer WHERE false""",
-)
+@query("empty_with_schema", REPORT_SQL["exchange"])
 def _(m: GridModel) -> DataFrame:
-    return m.exchange()
+    """Without a region the report is empty, and has the columns of a report with one."""
+    return m.exchange(region="E").unionByName(m.exchange())
 
 
 # Projection, filter, bindings

@@ -107,3 +107,10 @@ def test_disconnected(model):
 def test_schema_checks(model):
     found = {(r.rule, r.column): r.violations for r in model.check("ac_lines").collect()}
     assert found[("unique", "mrid")] == 0 and set(found.values()) == {0}
+
+
+def test_subject_with_a_class_only(spark):
+    store = quads(spark, "x a Breaker\ny a PowerTransformer\nx a Switch", "urn:graph:EQ")
+    for materialize in (False, True):
+        grid = GridModel.from_quads(store, materialize=materialize)
+        assert [(r.id, r.types) for r in grid["power_transformer"].collect()] == [("y", ["PowerTransformer"])]

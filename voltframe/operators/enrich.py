@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from voltframe.functions import is_uuid, md5_uuid
 from voltframe.operators.aggregates import first_per_key
 from voltframe.operators.joins import without
-from voltframe.session import cut_lineage
+from voltframe.session import written
 from voltframe.sources.entities import CIM
 from voltframe.sources.quads import GRAPH_PREFIX, QUAD_COLUMNS
 
@@ -233,7 +233,7 @@ def adapt(quads: DataFrame) -> DataFrame:
     base = retype_units(quads)
     for step in (zero_power_flow, zero_injection, unit_market_data, load_market_codes):
         base = base.unionByName(step(quads))
-    base = cut_lineage(base)
+    base = written(base, "quads")
     identified = with_datatypes(base.unionByName(missing_mrids(base)))
     extra = eic_codes(base).unionByName(analysis_flags(base)).unionByName(direct_types(base))
     return identified.unionByName(extra)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voltframe.functions import float32_of
 from voltframe.model import GridModel
 from voltframe.operators.aggregates import concat_ordered
-from voltframe.operators.joins import alternatives, has_type, optional, required, with_match
+from voltframe.operators.joins import alternatives, has_type, optional, required
 from voltframe.plans import shared as s
 
 CONVERTER_CLASSES = ("VsConverter", "CsConverter", "DCConvertUnit", "VoltageSourceConverter", "DCConverter")
@@ -102,14 +102,17 @@ def hvdc(m: GridModel) -> DataFrame:
     spans = line.join(line_1, "equipment").join(line_2, "equipment").groupBy("node_1", "node_2").agg(
         F.sum("r").alias("r"), F.count("*").alias("lines"), F.collect_list("name").alias("names")
     )
+    # Every span fans out into pairs of converters: spread the spans evenly first.
+    spans = spans.repartition(int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     pairs = spans.join(converter_1, "node_1").join(converter_2, "node_2").withColumn("times", F.col("times_1") * F.col("times_2"))
     key = ["converter_mrid_1", "converter_mrid_2"]
     # Plain sums find the parallel pairs; only those go on to collect names.
     sums = pairs.groupBy(*key).agg(F.sum(F.col("lines") * F.col("times")).alias("rows"), F.sum(F.col("r") * F.col("times")).alias("r"))
     parallel = sums.filter("rows > 1").select(*key, "r")
-    named = pairs.select(*key, F.explode(F.flatten(F.array_repeat("names", F.col("times").cast("int")))).alias("name"))
-    listed = with_match(named, parallel, key).groupBy(*key).agg(concat_ordered("name", "--").alias("name"))
-    return m.finish(parallel.join(listed, key).select(*key, "name", "r"))
+    copies = F.explode(F.flatten(F.array_repeat("names", F.col("times").cast("int"))))
+    named = pairs.select(*key, "names", "times").join(parallel, key).select(*key, "r", copies.alias("name"))
+    rows = named.groupBy(*key).agg(concat_ordered("name", "--").alias("name"), F.max("r").alias("r"))
+    return m.finish(rows)
 
 
 def hvdc_converter_bidzones(m: GridModel) -> DataFrame:

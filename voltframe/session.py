@@ -37,14 +37,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a shared intermediate once as a table in the shared folder and read it back."""
-    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
-
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write a shared intermediate once as a table in the shared folder and read it back.
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a shared intermediate to reliable storage, so that a lost executor does not recompute it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    The lineage ends there, so a lost executor recomputes nothing before it.
+    """
+    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

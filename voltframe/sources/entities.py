@@ -500,53 +500,62 @@ def local_name(iri: Column) -> Column:
 
 @dataclass
 class EntityTable:
-    """One row per subject: class names and a map of its single-valued properties."""
+    """One row per subject: class names and a map of its single-valued properties.
+
+    With `materialize` the rows are written once, a folder per combination of classes, and a view reads only
+    the folders that can hold its subjects.
+    """
 
     quads: DataFrame
     materialize: bool = False
     subjects: DataFrame = field(init=False)
+    kinds: dict[str, set[str]] = field(init=False, default_factory=dict)
 
     def __post_init__(self) -> None:
         many_valued = [edge.prop for edge in EDGES.values()]
-        named = self.quads.withColumn("property", local_name(F.col("predicate")))
-        # Copies of a value collapse before the exchange, so a hot subject never lands in one task as a whole.
-        values = (
-            named.filter(~F.col("property").isin(TYPE_PROPERTY, *many_valued))
-            .groupBy("subject", "property")
-            .agg(F.min("object").alias("value"))
-            .select("subject", "property", "value", F.lit(None).cast("string").alias("type"))
-        )
-        types = (
-            named.filter(F.col("property") == TYPE_PROPERTY)
-            .select("subject", local_name(F.col("object")).alias("type"))
-            .distinct()
-            .select("subject", F.lit(None).cast("string").alias("property"), F.lit(None).cast("string").alias("value"), "type")
+        named = self.quads.withColumn("property", local_name(F.col("predicate"))).filter(
+            ~F.col("property").isin(*many_valued)
         )
-        self.subjects = (
-            values.unionByName(types)
-            .groupBy("subject")
-            .agg(
-                F.map_from_entries(
-                    F.collect_list(F.when(F.col("property").isNotNull(), F.struct("property", "value")))
-                ).alias("properties"),
-                F.array_sort(F.collect_set("type")).alias("types"),
-            )
+        kind = F.when(F.col("property") == TYPE_PROPERTY, local_name(F.col("object")))
+        # Copies of a value collapse before the exchange, so a hot subject never lands in one task as a whole;
+        # what is collected per subject afterwards is bounded by the vocabulary.
+        values = named.groupBy("subject", "property", kind.alias("type")).agg(F.min("object").alias("value"))
+        entry = F.when(F.col("type").isNull(), F.struct("property", "value"))
+        self.subjects = values.groupBy("subject").agg(
+            F.map_from_entries(F.collect_list(entry)).alias("properties"),
+            F.array_sort(F.collect_set("type")).alias("types"),
         )
-
         if self.materialize:
-            self.subjects = written(self.subjects, "entities")
+            joined = F.concat(F.lit("is-"), F.array_join("types", "+"))
+            rows = self.subjects.withColumn("kind", joined).hint("rebalance", "kind")
+            self.subjects = written(rows, "entities", partition_by="kind")
+            # Class combinations and property names: vocabulary-sized, whatever the number of subjects.
+            for row in self.subjects.select("kind", F.explode_outer(F.map_keys("properties")).alias("p")).distinct().collect():
+                self.kinds.setdefault(row.kind, set()).update([row.p] if row.p else [])
+
+    def _candidates(self, spec: View, anchors: list[str]) -> DataFrame:
+        if not self.materialize:
+            return self.subjects
+        chosen = [
+            kind
+            for kind, properties in self.kinds.items()
+            if set(kind.removeprefix("is-").split("+")) & set(spec.classes) or properties & set(anchors)
+        ]
+        return self.subjects.filter(F.col("kind").isin(*chosen))
 
     def view(self, name: str) -> DataFrame:
         spec = VIEWS[name]
         columns = {
             column: CASTS[kind](F.col("properties")[prop]).alias(column) for column, (prop, kind) in spec.columns.items()
         }
+        anchors = [spec.columns[anchor][0] for anchor in spec.anchors]
         belongs = F.lit(False)
         if spec.classes:
             belongs = belongs | F.arrays_overlap("types", F.array(*map(F.lit, spec.classes)))
-        for anchor in spec.anchors:
-            belongs = belongs | F.col("properties")[spec.columns[anchor][0]].isNotNull()
-        return self.subjects.filter(belongs).select(F.col("subject").alias("id"), "types", *columns.values())
+        for prop in anchors:
+            belongs = belongs | F.col("properties")[prop].isNotNull()
+        rows = self._candidates(spec, anchors).filter(belongs)
+        return rows.select(F.col("subject").alias("id"), "types", *columns.values())
 
     def edge(self, name: str) -> DataFrame:
         spec = EDGES[name]
