@@ -30,8 +30,10 @@ def grid(spark):
 def test_no_cross_product_and_no_python(grid, name):
     arguments = {"region": "E"} if name == "exchange" else {}
     text = plan(REPORTS[name](grid, **arguments))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Window"):
-        assert operator not in text
+    banned = ["CartesianProduct", "BroadcastNestedLoopJoin", "Python"]
+    # The parallel-line report windows over rows it has summed before; no other report needs one.
+    banned += [] if name == "hvdc" else ["Window"]
+    assert not [operator for operator in banned if operator in text]
 
 
 def test_scans_read_only_needed_columns(grid):

@@ -1,8 +1,10 @@
 from pyspark.sql import functions as F
 
+from voltframe import GridModel
 from voltframe.operators import aggregates as agg
 from voltframe.operators import joins, validate
 from voltframe.operators.validate import Field, Schema
+from voltframe.sources.quads import QUAD_SCHEMA
 
 
 def test_violations_and_coercion(spark):
@@ -65,3 +67,25 @@ def test_options(spark):
     rows = spark.createDataFrame([(1,), (1,), (2,)], "v int")
     assert validate.options(rows, distinct=True).count() == 2
     assert validate.options(rows.orderBy("v"), offset=2, limit=5).collect()[0].v == 2
+
+
+def test_vocabulary_drives_conversion(spark):
+    cims, rdfs = "cims:", "rdfs:"
+    cim = "http://iec.ch/TC57/2013/CIM-schema-cim16#"
+    facts = [
+        ("p1", rdfs + "domain", cim + "Power", "iri", None),
+        ("p1", cims + "dataType", cim + "ActivePower", "iri", None),
+        (cim + "ActivePower", cims + "stereotype", "CIMDatatype", "literal", None),
+        ("v", rdfs + "domain", cim + "ActivePower", "iri", None),
+        ("v", rdfs + "label", "value", "literal", "en"),
+        ("v", cims + "dataType", cim + "Float", "iri", None),
+        ("p2", rdfs + "domain", cim + "Switch", "iri", None),
+        ("p2", cims + "dataType", cim + "Boolean", "iri", None),
+        (cim + "Boolean", cims + "stereotype", "Primitive", "literal", None),
+    ]
+    rows = [("urn:g", s, p, o, k, None, lang) for s, p, o, k, lang in facts]
+    ranges = validate.vocabulary_ranges(GridModel.from_quads(spark.createDataFrame(rows, QUAD_SCHEMA)).type_map())
+    assert ranges == {"cim:Power": "cim:Float", "cim:Switch": "cim:Boolean"}
+    table = spark.createDataFrame([("1.5", "false")], "p string, open string")
+    done = validate.convert(table, {"p": "cim:Power", "open": "cim:Switch"}, validate.casters(ranges))
+    assert done.first().asDict() == {"p": 1.5, "open": False}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voltframe.functions import bool_of, duration_of, strip_iri, time_of_day, truth
 from voltframe.functions.expr import IRI_HEAD_PATTERN
+from voltframe.functions.namespaces import shorten
 
 Caster = Callable[[Column], Column]
 
@@ -53,6 +54,12 @@ def casters(ranges: Mapping[str, str] | None = None, additions: Mapping[str, Cas
     return UNTYPED_CASTERS | vocabulary | PRIMITIVES | dict(additions or {})
 
 
+def vocabulary_ranges(types: DataFrame) -> dict[str, str]:
+    """Datatype -> primitive, both prefixed, from the datatype report; as small as the vocabulary."""
+    short = types.select(shorten(F.col("sparql_type")).alias("datatype"), shorten(F.col("range")).alias("range"))
+    return {row.datatype: row.range for row in short.distinct().collect()}
+
+
 def convert(df: DataFrame, datatypes: Mapping[str, str], known: Mapping[str, Caster] | None = None) -> DataFrame:
     """Convert columns by datatype in one projection; columns of an unknown datatype stay."""
     known = known or casters()

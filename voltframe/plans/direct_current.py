@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions import float32_of
 from voltframe.model import GridModel
-from voltframe.operators.aggregates import concat_ordered
 from voltframe.operators.joins import alternatives, has_type, optional, required
 from voltframe.plans import shared as s
 
@@ -106,13 +105,19 @@ def hvdc(m: GridModel) -> DataFrame:
     spans = spans.repartition(int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     pairs = spans.join(converter_1, "node_1").join(converter_2, "node_2").withColumn("times", F.col("times_1") * F.col("times_2"))
     key = ["converter_mrid_1", "converter_mrid_2"]
-    # Plain sums find the parallel pairs; only those go on to collect names.
-    sums = pairs.groupBy(*key).agg(F.sum(F.col("lines") * F.col("times")).alias("rows"), F.sum(F.col("r") * F.col("times")).alias("r"))
-    parallel = sums.filter("rows > 1").select(*key, "r")
-    copies = F.explode(F.flatten(F.array_repeat("names", F.col("times").cast("int"))))
-    named = pairs.select(*key, "names", "times").join(parallel, key).select(*key, "r", copies.alias("name"))
-    rows = named.groupBy(*key).agg(concat_ordered("name", "--").alias("name"), F.max("r").alias("r"))
-    return m.finish(rows)
+    # Most pairs occur once and drop out before any list is built. Counting by a hash of the pair keeps every
+    # pair that may stay (a collision only adds candidates); the exact count follows on those. A pair has at
+    # most one row per pair of its nodes, so no group of this window is large.
+    pairs = pairs.withColumn("hash", F.xxhash64(*key))
+    often = F.sum(F.col("lines") * F.col("times")).over(Window.partitionBy("hash"))
+    pairs = pairs.withColumn("n", often).filter("n > 1").drop("n")
+    copies = F.flatten(F.array_repeat("names", F.col("times").cast("int")))
+    rows = pairs.groupBy(*key).agg(
+        F.sum(F.col("lines") * F.col("times")).alias("n"),
+        F.array_join(F.array_sort(F.flatten(F.collect_list(copies))), "--").alias("name"),
+        F.sum(F.col("r") * F.col("times")).alias("r"),
+    )
+    return m.finish(rows.filter("n > 1").drop("n"))
 
 
 def hvdc_converter_bidzones(m: GridModel) -> DataFrame:
