@@ -36,7 +36,8 @@ def test_no_cross_product_and_no_python(grid, name):
     assert not [operator for operator in banned if operator in text]
 
 
-def test_scans_read_only_needed_columns(grid):
+def test_scans_read_only_needed_columns(spark, grid):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     text = plan(grid.powerflow())
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert schemas and not any("o_totalprice" in s or "l_shipdate" in s for s in schemas)
