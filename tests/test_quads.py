@@ -41,9 +41,18 @@ def test_parse_terms(spark):
     ]
 
 
+def test_long_literals_and_quotes_in_comments(spark):
+    long = "x" * 500_000 + '\\"\\\\\\n' * 100_000
+    found = q.parse_nquads(lines(spark, f'<a:s> <b:p> "{long}" .', r'<a:s> <b:q> "a\\" . # "b\" \\ .')).collect()
+    assert found[0].object == "x" * 500_000 + '"\\\n' * 100_000
+    assert found[1].object == "a\\"
+
+
 def test_malformed_line_fails(spark):
     with pytest.raises(PySparkException):
         q.parse_nquads(lines(spark, "<a:s> <b:p> oops .")).collect()
+    with pytest.raises(PySparkException):
+        q.parse_nquads(lines(spark, r'<a:s> <b:p> "open \" .')).collect()
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

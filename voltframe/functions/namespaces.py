@@ -35,16 +35,20 @@ def _lookup(mapping: Mapping[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*entries), key)
 
 
+def _after_namespace(iri: Column) -> Column:
+    return F.substring_index(F.substring_index(iri, "#", -1), "/", -1)
+
+
 def namespace(iri: Column) -> Column:
     """Everything up to and including the last '#' or '/'."""
-    return F.regexp_extract(iri, r"^(.*[#/])", 1)
+    return F.substr(iri, F.lit(1), F.length(iri) - F.length(_after_namespace(iri)))
 
 
 def shorten(iri: Column, prefixes: Mapping[str, str] | None = None) -> Column:
     """Prefixed name where the namespace is known, else the IRI itself."""
     known = {uri: prefix for prefix, uri in (prefixes or PREFIXES).items()}
     prefix = _lookup(known, namespace(iri))
-    return F.when(prefix.isNotNull(), F.concat(prefix, F.lit(":"), F.regexp_extract(iri, r"([^#/]*)$", 1))).otherwise(iri)
+    return F.when(prefix.isNotNull(), F.concat(prefix, F.lit(":"), _after_namespace(iri))).otherwise(iri)
 
 
 def expand(name: Column, prefixes: Mapping[str, str] | None = None) -> Column:

@@ -107,7 +107,10 @@ class GridModel:
 
         views: dict[str, ViewSource] = {name: (lambda n=name: table(n).view(n)) for name in VIEWS}
         views |= {name: (lambda n=name: table(n).edge(n)) for name in EDGES}
-        views["link"] = lambda: quads.filter(F.col("object_kind") != "literal").select("subject", "predicate", "object")
+        # Class quads are left out: a class is never the target of an association, and its objects are hot keys.
+        views["link"] = lambda: quads.filter("object_kind <> 'literal' AND predicate <> 'rdf:type'").select(
+            "subject", "predicate", "object"
+        )
         views["vocabulary"] = lambda: quads.filter(
             local_name(F.col("predicate")).isin("domain", "dataType", "stereotype", "label")
         ).select("subject", local_name(F.col("predicate")).alias("property"), "object", "lang")

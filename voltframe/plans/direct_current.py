@@ -10,6 +10,7 @@ from voltframe.model import GridModel
 from voltframe.operators.joins import alternatives, has_type, optional, required
 from voltframe.plans import shared as s
 
+# Classes and texts the report is defined on (fixed values).
 CONVERTER_CLASSES = ("VsConverter", "CsConverter", "DCConvertUnit", "VoltageSourceConverter", "DCConverter")
 
 

@@ -11,6 +11,7 @@ from voltframe.operators.aggregates import best_per_key, concat_ordered
 from voltframe.operators.joins import has_type, optional, required, without
 from voltframe.plans import shared as s
 
+# Classes and texts the report is defined on (fixed values).
 LOAD_CLASSES = ("ConformLoad", "NonConformLoad", "EnergyConsumer")
 BRANCH_CLASSES = ("ACLineSegment", "SeriesCompensator", "PowerTransformer")
 

@@ -10,6 +10,7 @@ from voltframe.operators.aggregates import first_per_key, repeated_keys
 from voltframe.operators.joins import alternatives, has_type, optional, required, with_match
 from voltframe.plans import shared as s
 
+# Classes and texts the report is defined on (fixed values).
 EQUIPMENT_PROFILE = "http://entsoe.eu/CIM/EquipmentCore/3/1"
 EXCHANGE_SCHEMA = "mrid string, name string, node string, status boolean, p double, market_code string"
 BRANCHES_WITH_FLIP = ("ACLineSegment", "PowerTransformerEnd")

@@ -10,6 +10,7 @@ from voltframe.model import GridModel
 from voltframe.operators.joins import has_type, optional, required, with_match
 from voltframe.plans import shared as s
 
+# Classes and texts the report is defined on (fixed values).
 SWITCH_CLASSES = (
     "Breaker",
     "Disconnector",

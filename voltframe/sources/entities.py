@@ -495,7 +495,9 @@ CIM = "http://iec.ch/TC57/2013/CIM-schema-cim16#"
 
 def local_name(iri: Column) -> Column:
     """The part of an IRI or prefixed name after its namespace."""
-    return F.regexp_extract(iri, r"([^#:/]*)$", 1)
+    for separator in ("#", "/", ":"):
+        iri = F.substring_index(iri, separator, -1)
+    return iri
 
 
 @dataclass

@@ -19,13 +19,17 @@ QUAD_SCHEMA = ", ".join(f"{c} string" for c in QUAD_COLUMNS)
 GRAPH_PREFIX = "urn:graph:"
 BASE_IRI = "urn:model#"
 
-# One N-Quads statement (the line grammar of the W3C recommendation).
+# One N-Quads statement (the line grammar of the W3C recommendation), after escaped backslashes and quotes have
+# been set aside: what is left of a literal then has no quote in it, so that texts of any length match without
+# nested repetition.
 _TERM = r"<([^>]*)>"
 _STATEMENT = (
     rf"^\s*(?:{_TERM}|(_:\S+))\s*{_TERM}\s*"
-    rf'(?:{_TERM}|(_:[^\s.]+)|"((?:[^"\\]|\\.)*)"(?:\^\^{_TERM}|@([A-Za-z0-9-]+))?)'
-    rf"\s*(?:{_TERM}|(_:[^\s.]+))?\s*\.\s*(?:#.*)?$"
+    rf'(?:{_TERM}|(_:[^\s.]+)|"([^"]*)"(?:\^\^{_TERM}|@([A-Za-z0-9-]+))?)'
+    rf"\s*(?:{_TERM}|(_:[^\s.]+))?\s*\.\s*(?s:#.*)?$"
 )
+_SET_ASIDE = {"\\\\": "\n1", '\\"': "\n2"}
+_GROUP_END = "\n|"
 _TOKEN = r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\.|[^\\]+"
 _ESCAPES = {"\\t": "\t", "\\b": "\b", "\\n": "\n", "\\r": "\r", "\\f": "\f", '\\"': '"', "\\'": "'", "\\\\": "\\"}
 
@@ -55,23 +59,33 @@ def parse_nquads(lines: DataFrame, prefixes: Mapping[str, str] | None = None, gr
     `graph` replaces the graph of every statement.
     """
     names = extended(prefixes)
-    lines = lines.filter(~F.col("value").rlike(r"^\s*(?:#.*)?$"))
-    checked = F.when(F.col("value").rlike(_STATEMENT), F.col("value")).otherwise(
-        F.raise_error(F.concat(F.lit("not an N-Quads statement: "), F.col("value")))
+    # One match per line. Its groups are laid out between marks that start with a line feed, which no line
+    # contains, and split again.
+    line = F.col("value")
+    for escape, mark in _SET_ASIDE.items():
+        line = F.replace(line, F.lit(escape), F.lit(mark))
+    layout = _GROUP_END.join(f"${i}" for i in range(1, 11))
+    groups = F.split(F.regexp_replace(line, _STATEMENT, layout), "\n[|]", -1)
+    checked = (
+        F.when(F.size("groups") == 10, F.col("groups"))
+        .when(F.col("value").rlike(r"^\s*(?:#.*)?$"), F.lit(None))
+        .otherwise(F.raise_error(F.concat(F.lit("not an N-Quads statement: "), F.col("value"))))
     )
-    rows = lines.select(checked.alias("line"))
+    rows = lines.select("value", groups.alias("groups")).select(checked.alias("groups")).filter("groups IS NOT NULL")
 
     def group(index: int) -> Column:
-        return F.nullif(F.regexp_extract("line", _STATEMENT, index), F.lit(""))
+        return F.nullif(F.col("groups")[index - 1], F.lit(""))
 
-    has_literal = F.regexp_extract("line", _STATEMENT, 4) == ""
-    literal = F.when(has_literal & group(5).isNull(), _unescape(F.regexp_extract("line", _STATEMENT, 6)))
+    literal = F.col("groups")[5]
+    for escape, mark in _SET_ASIDE.items():
+        literal = F.replace(literal, F.lit(mark), F.lit(escape))
+    resource = F.coalesce(group(4), group(5))
     own_graph = F.coalesce(group(9), group(10))
     return rows.select(
         (F.lit(graph) if graph else own_graph).alias("graph"),
         F.coalesce(group(1), group(2)).alias("subject"),
         shorten(group(3), names).alias("predicate"),
-        F.coalesce(group(4), group(5), literal).alias("object"),
+        F.when(resource.isNull(), _unescape(literal)).otherwise(resource).alias("object"),
         F.when(group(4).isNotNull(), "iri").when(group(5).isNotNull(), "bnode").otherwise("literal").alias("object_kind"),
         shorten(group(7), names).alias("datatype"),
         group(8).alias("lang"),
