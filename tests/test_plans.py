@@ -88,3 +88,31 @@ def test_hot_node_and_hot_equipment(spark):
     found = grid.busbar_section()
     assert found.count() == n
     assert found.agg(F.sum("terminal_count")).first()[0] == (n // 3) ** 2 + (n - n // 3)
+
+
+def test_hot_subject_collapses_before_the_exchange(spark):
+    """A third of all quads repeat one value of one subject."""
+    copies = spark.range(30000).select(
+        F.lit("urn:graph:EQ").alias("graph"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), "id")).alias("subject"),
+        F.lit("cim:BaseVoltage.nominalVoltage").alias("predicate"),
+        F.lit("420").alias("object"),
+        F.lit("literal").alias("object_kind"),
+        F.lit(None).cast("string").alias("datatype"),
+        F.lit(None).cast("string").alias("lang"),
+    )
+    for materialize in (False, True):
+        view = GridModel.from_quads(copies, materialize=materialize)["base_voltage"]
+        assert view.count() == 20001
+        assert view.filter("id = 'hot'").first().nominal_voltage == 420.0
+
+
+def test_quads_stored_by_predicate_are_pruned(spark, tmp_path):
+    from voltframe.sources.quads import read_quads, write_quads
+
+    write_quads(quads(spark, EQ, "urn:graph:EQ"), str(tmp_path / "quads"))
+    stored = read_quads(spark, str(tmp_path / "quads"))
+    limits = GridModel.from_quads(stored)
+    assert limits["operational_limit"].count() == 2
+    text = plan(stored.filter("substring_index(predicate, ':', -1) = 'ACLineSegment.r'"))
+    assert re.search(r"PartitionFilters: \[[^\]]*substring_index\(predicate", text)

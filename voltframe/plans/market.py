@@ -110,7 +110,8 @@ def station_group_for_power_unit(m: GridModel) -> DataFrame:
     )
     consumers = m["load"].select("mrid", F.col("load_group").alias("unit"))
     physical = required(machines.unionByName(consumers).withColumnRenamed("mrid", "power_system_model_mrid"), "unit", "power_system_model_mrid")
-    links = m["link"].select(F.col("subject").alias("unit"), "object").join(resource, "object").drop("object")
+    # One link per property, in however many graphs it is stated.
+    links = m["link"].join(resource, "object").distinct().select(F.col("subject").alias("unit"), "market_code")
     rows = physical.join(links.join(unit, "unit"), "unit")
     return m.finish(rows.select("power_system_model_mrid", "market_unit_mrid", "resource_name", "market_code"))
 
