@@ -34,7 +34,7 @@ def rounded(df: DataFrame, columns: dict[str, int]) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c, digits in columns.items()}) if columns else df
 
 
-def model(spark: SparkSession, folder: str, **options: str) -> GridModel:
+def model(spark: SparkSession, folder: str, **options: str | bool) -> GridModel:
     return star_model(configure(spark), folder, **options)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltframe.model import GridModel
+from voltframe.session import written
 
 # Equipment classes by order priority, and by quarter or month where one priority holds several.
 AC_LINE = "o_orderpriority = '1-URGENT'"
@@ -75,8 +76,8 @@ def mapped(build: Callable[[StarTables], DataFrame]) -> Callable[[StarTables], D
 class StarTables:
     """The source tables and the two intermediate frames several views share."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, materialize: bool = False) -> None:
+        self.spark, self.folder, self.materialize = spark, folder, materialize
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -92,7 +93,7 @@ class StarTables:
     @cache
     def ends(self) -> DataFrame:
         """One row per (order, line number); line items repeat that pair."""
-        return (
+        ends = (
             self.table("lineitem")
             .groupBy(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("nr"))
             .agg(
@@ -107,6 +108,7 @@ class StarTables:
                 F.bool_and(F.col("l_linestatus") == "O").alias("open"),
             )
         )
+        return written(ends, "ends") if self.materialize else ends
 
     @cache
     def windings(self) -> DataFrame:
@@ -115,9 +117,14 @@ class StarTables:
         return self.ends().join(keys, F.col("o") == F.col("o_orderkey"), "left_semi")
 
 
-def star_model(spark: SparkSession, folder: str, node_of: str = "'cn-' || part") -> GridModel:
-    """The grid model of a star schema; `node_of` gives a terminal's node from its part and supplier."""
-    t = StarTables(spark, folder)
+def star_model(
+    spark: SparkSession, folder: str, node_of: str = "'cn-' || part", materialize: bool = False
+) -> GridModel:
+    """The grid model of a star schema; `node_of` gives a terminal's node from its part and supplier.
+
+    With `materialize` the grouped line items, which a dozen views read, are written once.
+    """
+    t = StarTables(spark, folder, materialize)
     views = {name: (lambda f=f: f(t)) for name, f in _MAPPED.items()}
     views["terminal"] = lambda: terminal(t, node_of)
     return GridModel(views)
