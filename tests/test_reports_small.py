@@ -4,12 +4,14 @@ from tests.grid import EQ, STATE, quads
 from voltframe import GridModel
 
 
-@pytest.fixture(scope="module", params=["one store", "two stores", "materialized", "bucketed"])
+@pytest.fixture(scope="module", params=["one store", "two stores", "materialized", "stored", "bucketed"])
 def model(spark, request, tmp_path_factory):
     eq, state = quads(spark, EQ, "urn:graph:EQ"), quads(spark, STATE, "urn:graph:SV")
     if request.param == "two stores":
         return GridModel.from_quads(eq, state)
     whole = GridModel.from_quads(eq.unionByName(state), materialize=request.param != "one store")
+    if request.param == "stored":
+        return whole.save(str(tmp_path_factory.mktemp("views")))
     if request.param == "bucketed":
         names = [n for n in whole.names() if n != "vocabulary"]
         return whole.save_buckets(str(tmp_path_factory.mktemp("grid")), 4, names)
@@ -114,3 +116,17 @@ def test_subject_with_a_class_only(spark):
     for materialize in (False, True):
         grid = GridModel.from_quads(store, materialize=materialize)
         assert [(r.id, r.types) for r in grid["power_transformer"].collect()] == [("y", ["PowerTransformer"])]
+
+
+def test_mappers_strip_identifiers_before_and_after_joins(spark):
+    from voltframe.operators.validate import strip_iris
+
+    text = EQ.replace('IdentifiedObject.mRID "', 'IdentifiedObject.mRID "http://m#_')
+    text += "pc2 a PhaseTapChangerLinear; PhaseTapChangerLinear.stepPhaseShiftIncrement \"1.5\"; TapChanger.neutralStep \"3\"; TapChanger.step \"5\"\n"
+    text += "te2 a PowerTransformerEnd; TransformerEnd.PhaseTapChanger pc2\n"
+    store = quads(spark, text, "urn:graph:EQ").unionByName(quads(spark, STATE, "urn:graph:SV"))
+    grid = GridModel.from_quads(store, mappers=[strip_iris], materialize=True)
+    found = {r.mrid: (r.angle, r.ploss_2) for r in grid.transformer_branches(strict_intent=True).collect()}
+    assert found == {"te1": (0.0, 3.0), "te2": (3.0, 3.0)}
+    assert rows(grid.winding_angle(), "mrid", "angle") == [("te2", 3.0)]
+    assert rows(grid.winding_loss(), "mrid", "ploss_2") == [("pt1", 3.0)]

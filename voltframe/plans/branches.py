@@ -118,6 +118,10 @@ def transformers(m: GridModel, region: str | None = None, rate: str | None = Non
 def winding_loss(m: GridModel, region: str | None = None) -> DataFrame:
     """Flow into each transformer divided by its number of windings in operation; `region` has no effect."""
     del region
+    return m.finish(_losses(m))
+
+
+def _losses(m: GridModel) -> DataFrame:
     owners = (
         required(m["power_transformer"].filter(s.enabled()), "mrid", "container")
         .select(F.col("id").alias("transformer"), "mrid", F.col("container").alias("substation"))
@@ -133,12 +137,17 @@ def winding_loss(m: GridModel, region: str | None = None) -> DataFrame:
 
 
 def winding_angle(m: GridModel) -> DataFrame:
+    """Phase angle of windings with a linear phase changer, from its measured or planned position."""
+    return m.finish(_phase_angles(m))
+
+
+def _phase_angles(m: GridModel) -> DataFrame:
     changers = required(m["phase_tap_changer"], "step", "increment", "neutral_step")
     ends = m["transformer_end"].select(F.col("phase_tap_changer").alias("id"), "mrid")
     position = required(m["sv_tap_step"].select(F.col("tap_changer").alias("id"), "position"), "position")
     rows = optional(changers.join(required(ends, "id", "mrid"), "id"), position, "id")
     offset = F.coalesce("position", "step") - F.col("neutral_step")
-    return m.finish(rows.select("mrid", (offset * F.col("increment")).alias("angle")))
+    return rows.select("mrid", (offset * F.col("increment")).alias("angle"))
 
 
 def windings(m: GridModel) -> DataFrame:
@@ -193,10 +202,10 @@ def transformer_branches(
     tau = F.when(
         F.col("increment").isNotNull(), 1 + (step - F.col("neutral_step")) * F.col("increment") / 100.0
     ).otherwise(1.0)
-    rows = optional(rows, winding_loss(m).withColumnRenamed("mrid", "connectivity_node_2"), "connectivity_node_2")
+    rows = optional(rows, _losses(m).withColumnRenamed("mrid", "connectivity_node_2"), "connectivity_node_2")
     angle = 30.0 * F.coalesce(F.col("phase_angle_clock").cast("double"), F.lit(0.0))
     if strict_intent:
-        rows = optional(rows, winding_angle(m).withColumnRenamed("angle", "phase_angle"), "mrid")
+        rows = optional(rows, _phase_angles(m).withColumnRenamed("angle", "phase_angle"), "mrid")
         angle = F.coalesce(F.col("phase_angle"), angle)
     return m.finish(
         rows.select(

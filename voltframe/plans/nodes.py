@@ -45,7 +45,7 @@ def topological_nodes(m: GridModel, region: str | None = None) -> DataFrame:
     reference = required(m["topological_island"].select(F.col("angle_ref").alias("topological_node")), "topological_node")
     nodes = optional(nodes, _island_names(m), "topological_node")
     nodes = optional(nodes, reference.withColumn("is_reference", F.lit(True)), "topological_node")
-    return nodes.select(
+    rows = nodes.select(
         "node",
         "busname",
         F.col("substation_name").alias("substation"),
@@ -57,6 +57,7 @@ def topological_nodes(m: GridModel, region: str | None = None) -> DataFrame:
         F.coalesce("island_name", F.lit(UNKNOWN_ISLAND)).alias("island"),
         F.col("is_reference").isNotNull().alias("is_swing_bus"),
     )
+    return m.finish(rows)
 
 
 def transformer_center_nodes(m: GridModel, region: str | None = None) -> DataFrame:
@@ -97,8 +98,7 @@ def transformer_center_nodes(m: GridModel, region: str | None = None) -> DataFra
 
 def bus_data(m: GridModel, region: str | None = None) -> DataFrame:
     """Topological nodes followed by transformer centre nodes."""
-    buses = m.finish(topological_nodes(m, region))
-    return buses.unionByName(transformer_center_nodes(m, region), allowMissingColumns=True)
+    return topological_nodes(m, region).unionByName(transformer_center_nodes(m, region), allowMissingColumns=True)
 
 
 def connections(m: GridModel, region: str | None = None) -> DataFrame:
