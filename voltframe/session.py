@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,6 +21,10 @@ RUNTIME_SETTINGS = {
 }
 
 
+# Folders of intermediates that this process has written and not yet cleaned up.
+WRITTEN: list[str] = []
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
@@ -27,10 +32,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The shared folder the cluster names in spark.checkpoint.dir.
+
+    Only a local master, where driver and executors are one process, may do without: it gets a temporary folder.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {context.master} share")
         folder = tempfile.mkdtemp(prefix="voltframe-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
@@ -42,7 +52,28 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
 
     The lineage ends there, so a lost executor recomputes nothing before it.
     """
-    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    folder = scratch_folder(df.sparkSession, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new name in the shared folder, remembered for `cleanup`."""
+    folder = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    WRITTEN.append(folder)
+    return folder
+
+
+def cleanup(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediates written by this process, from the `since`-th on; returns how many.
+
+    Call it when nothing that was built on them is still to be computed.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in WRITTEN[since:]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)
+    gone = len(WRITTEN) - since
+    del WRITTEN[since:]
+    return gone
