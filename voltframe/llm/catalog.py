@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voltframe.llm import decontaminate, exact_dedup
+from voltframe.llm import decontaminate, exact_dedup, near_dedup
 from voltframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
@@ -69,3 +69,29 @@ WITH t AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
 FROM t JOIN g USING (norm)
 """
+
+
+@query
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+SQL["op4_near_dedup"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + 4], ' ') AS s
+  FROM doc, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(k) WHERE len(w) > 0
+), size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM doc
+  UNION
+  SELECT reach.doc_id, b FROM reach JOIN link ON reach.other = a
+), component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM component LEFT JOIN size USING (doc_id)
+"""
