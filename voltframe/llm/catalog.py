@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voltframe.llm import decontaminate, exact_dedup, near_dedup
-from voltframe.llm.common import table
+from voltframe.llm import decontaminate, exact_dedup, near_dedup, toxicity
+from voltframe.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
@@ -95,3 +95,15 @@ link AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM component LEFT JOIN size USING (doc_id)
 """
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs.select("doc_id", "text"), machine).select(
+        "row.doc_id",
+        (remainder(F.col("row.doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
