@@ -130,24 +130,39 @@ def norms(symbols: np.ndarray) -> np.ndarray:
     return np.sqrt(paths.sum(axis=(1, 2)))
 
 
-def kernels(each: list[str], tables: np.ndarray) -> np.ndarray:
-    """For each segment and each table, the sum of normalised subsequence weights times the table's entries."""
+def kernels(each: list[str], tables: np.ndarray, columns: np.ndarray | None = None) -> np.ndarray:
+    """For each segment and each table, the sum of normalised subsequence weights times the table's entries.
+
+    `columns` names each subsequence's column where the tables hold only some of them.
+    """
     out = np.empty((len(each), len(tables)))
     for at, symbols in encoded(each):
         for start in range(0, len(at), 2048):
             part = symbols[start : start + 2048]
             codes, weight = subsequences(part)
             scale = norms(part)
+            if columns is not None:
+                codes = columns[codes]
             for number, table in enumerate(tables):
                 out[at[start : start + 2048], number] = table[codes] @ weight / scale
     return out
 
 
-def profile(segment: str) -> np.ndarray:
-    """A segment as a normalised table over subsequences."""
-    [(_, symbols)] = encoded([segment])
-    codes, weight = subsequences(symbols)
-    return np.bincount(codes[0], weight, SYMBOLS**3) / norms(symbols)[0]
+def profiles(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The landmarks' normalised tables over the subsequences that occur in any, these, and each one's column.
+
+    Column 0 stands for all other subsequences.
+    """
+    parts = []
+    for segment in landmarks:
+        [(_, symbols)] = encoded([segment])
+        codes, weight = subsequences(symbols)
+        parts.append((codes[0], weight / norms(symbols)[0]))
+    known = np.unique(np.concatenate([codes for codes, _ in parts]))
+    columns = np.zeros(SYMBOLS**3, np.int32)
+    columns[known] = np.arange(1, len(known) + 1)
+    tables = np.stack([np.bincount(columns[codes], weight, len(known) + 1).astype(np.float32) for codes, weight in parts])
+    return tables, known, columns
 
 
 class Machine:
@@ -166,9 +181,9 @@ class Machine:
 
 def fitted(toxic: list[str], clean: list[str], landmarks: list[str]) -> Machine:
     """Nystroem features of the segments, then the machine, folded into subsequence weights."""
-    tables = np.stack([profile(s) for s in landmarks]).astype(np.float32)
+    tables, known, columns = profiles(landmarks)
     each = toxic + clean
-    near, own = kernels(each, tables), kernels(landmarks, tables)
+    near, own = kernels(each, tables, columns), kernels(landmarks, tables, columns)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     sure = values > 1e-6 * values.max()
     root = vectors[:, sure] / np.sqrt(values[sure])
@@ -176,7 +191,9 @@ def fitted(toxic: list[str], clean: list[str], landmarks: list[str]) -> Machine:
     target = np.array([1.0] * len(toxic) + [-1.0] * len(clean))
     share = np.where(target > 0, 0.5 / len(toxic), 0.5 / len(clean)) * len(target)
     found = squared_hinge(features, target, PENALTY * share)
-    return Machine(tables.T @ (root @ found[:-1]), float(found[-1]))
+    weights = np.zeros(SYMBOLS**3)
+    weights[known] = (tables.T @ (root @ found[:-1]))[1:]
+    return Machine(weights, float(found[-1]))
 
 
 def squared_hinge(features: np.ndarray, target: np.ndarray, cost: np.ndarray) -> np.ndarray:
