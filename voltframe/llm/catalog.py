@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voltframe.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
+from voltframe.llm import decontaminate, exact_dedup, near_dedup, packing, sharding, toxicity, url_rules, warc
 from voltframe.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
@@ -112,3 +112,59 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+SQL["op1_sharding"] = f"""
+WITH doc AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ' ' || coalesce(text, '')), 1, 15))::BIGINT AS bits
+  FROM documents
+), each AS (SELECT *, d, bits >> (60 - d) AS prefix FROM doc, unnest(range(0, 61)) AS u(d)),
+fits AS (
+  SELECT d, prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_docs
+  FROM each GROUP BY ALL HAVING sum(n_bytes) <= {sharding.SHARD_BYTES}
+), first AS (
+  SELECT doc_id, n_bytes, bits, min(d) AS depth, arg_min(shard_bytes, d) AS shard_bytes, arg_min(shard_docs, d) AS shard_docs
+  FROM each JOIN fits USING (d, prefix) GROUP BY doc_id, n_bytes, bits
+)
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(bits >> (60 - depth)), depth::INT, '0') END AS shard,
+  depth::INT AS depth, shard_bytes, shard_docs
+FROM first
+"""
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        F.col("page").alias("page_id"),
+        F.col("size").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        F.col("refers").alias("refers_to"),
+    )
+
+
+SQL["op8_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled as the document of its number is: bad where of low quality or toxic."""
+    pages = table(spark, sf_dir, "pages")
+    bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)) == 1
+    marks = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.when(bad, "block").otherwise("allow").alias("label"))
+    rules = url_rules.mine(pages.select("page_id", "url").join(marks, "page_id"))
+    return url_rules.judge(pages.select("page_id", "url"), rules).select("row.page_id", "host", "path", "rule", "verdict")
