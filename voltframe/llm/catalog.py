@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voltframe.llm import decontaminate, exact_dedup, near_dedup, packing, sharding, toxicity, url_rules, warc
+from voltframe.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, sharding, toxicity, url_rules, warc
 from voltframe.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
@@ -168,3 +168,22 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.when(bad, "block").otherwise("allow").alias("label"))
     rules = url_rules.mine(pages.select("page_id", "url").join(marks, "page_id"))
     return url_rules.judge(pages.select("page_id", "url"), rules).select("row.page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.learn(pages)).select("row.page_id", "row.url", "text", "n_chars")
+
+
+SQL["op7_html_text"] = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') AS body FROM pages
+), b AS (
+  SELECT page_id, url, list_transform(
+    string_split(regexp_replace(regexp_replace(body, '</?(p|h1)>', chr(1), 'g'), '<[^>]*>', ' ', 'g'), chr(1)),
+    lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(x, '&quot;', '"'), '&#x27;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))
+  ) AS blocks FROM a
+), c AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10)) AS text FROM b)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM c
+"""
