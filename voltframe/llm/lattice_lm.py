@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,89 +71,110 @@ def normalised(weights: np.ndarray) -> np.ndarray:
 class Lattice:
     """Piece look-up by rolling hash, and forward and backward recursions over many words of one length at a time."""
 
-    SLOTS = 20
+    SLOTS = 18
 
     def __init__(self, names: list[str]) -> None:
         self.longest = max(map(len, names[1:]))
-        self.tables: list[tuple[np.uint64, np.ndarray, np.ndarray]] = []
-        left = {int(self._hash(np.array([[ord(c) for c in name]], np.uint64))[0]): k for k, name in enumerate(names) if k}
-        if len(left) != len(names) - 1:
+        number = {name: k for k, name in enumerate(names) if k}
+        longer = {name[:k] for name in number for k in range(1, len(name))}
+        each = sorted({*number, *longer})
+        # Each piece and each beginning of one: its number or -1, and whether a longer piece begins with it.
+        left = {_rolled(name): (number.get(name, -1), name in longer) for name in each}
+        if len(left) != len(each):
             raise ValueError("two pieces have one hash")
+        self.tables: list[tuple[np.uint64, np.ndarray, np.ndarray, np.ndarray]] = []
         # Pieces that meet in a slot go on to a further table.
         for turn in itertools.count():
             if not left:
                 break
-            factor = np.uint64(int(HASH) * (2 * turn + 3) % 2**64 | 1)
-            held, owner, met = np.zeros(1 << self.SLOTS, np.uint64), np.full(1 << self.SLOTS, -1, np.int32), {}
-            for value, number in left.items():
-                slot = (value * int(factor) % 2**64) >> (64 - self.SLOTS)
-                if owner[slot] < 0:
-                    held[slot], owner[slot] = value, number
+            factor = int(HASH) * (2 * turn + 3) % 2**64 | 1
+            held, owner, more = np.zeros(1 << self.SLOTS, np.uint64), np.full(1 << self.SLOTS, -1, np.int32), np.zeros(1 << self.SLOTS, bool)
+            met = {}
+            for value, (piece, extended) in left.items():
+                slot = (value * factor % 2**64) >> (64 - self.SLOTS)
+                if held[slot]:
+                    met[value] = piece, extended
                 else:
-                    met[value] = number
-            self.tables.append((factor, held, owner))
+                    held[slot], owner[slot], more[slot] = value, piece, extended
+            self.tables.append((np.uint64(factor), held, owner, more))
             left = met
 
-    @staticmethod
-    def _hash(points: np.ndarray) -> np.ndarray:
-        value = np.zeros(len(points), np.uint64)
-        for k in range(points.shape[1]):
-            value = value * HASH + points[:, k] + np.uint64(1)
-        return value
-
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """Piece numbers of hashes, -1 where there is none."""
-        found = np.full(len(value), -1, np.int32)
-        for factor, held, owner in self.tables:
-            slot = ((value * factor) >> np.uint64(64 - self.SLOTS)).astype(np.int64)
-            found = np.where((held[slot] == value) & (owner[slot] >= 0), owner[slot], found)
-        return found
-
-    def arcs(self, points: np.ndarray, weights: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(start, stop, piece numbers, log weights) in order of start; spelled characters have number 0."""
+    def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece numbers of hashes, -1 where there is none, and whether a longer piece begins so."""
+        found, more = np.full(len(value), -1, np.int32), np.zeros(len(value), bool)
+        open_ = np.arange(len(value))
+        for factor, held, owner, extended in self.tables:
+            asked = value[open_]
+            slot = ((asked * factor) >> np.uint64(64 - self.SLOTS)).astype(np.int64)
+            there = held[slot]
+            hit = there == asked
+            found[open_[hit]], more[open_[hit]] = owner[slot[hit]], extended[slot[hit]]
+            # Only what met another hash in its slot can be in a further table.
+            open_ = open_[~hit & (there != 0)]
+        return found, more
+
+    def arcs(self, points: np.ndarray, weights: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(start, stop, words, piece numbers, log weights) in order of start; spelled characters have number 0."""
         length = points.shape[1]
-        size = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+        size = _bytes(points)
         for start in range(length):
-            value = np.zeros(len(points), np.uint64)
+            rows, value = np.arange(len(points)), np.zeros(len(points), np.uint64)
             for stop in range(start + 1, min(length, start + self.longest) + 1):
-                value = value * HASH + points[:, stop - 1] + np.uint64(1)
-                found = self.find(value)
-                weight = np.where(found >= 0, weights[found], -np.inf)
+                value = value * HASH + points[rows, stop - 1] + np.uint64(1)
+                found, more = self.find(value)
                 if stop == start + 1:
-                    spelled = found < 0
-                    weight = np.where(spelled, size[:, start] * (weights[0] - np.log(256.0)), weight)
-                    found = np.where(spelled, 0, found)
-                elif not (found >= 0).any():
-                    continue
-                yield start, stop, found, weight
+                    weight = np.where(found >= 0, weights[found], size[:, start] * (weights[0] - np.log(256.0)))
+                    yield start, stop, rows, np.maximum(found, 0), weight
+                else:
+                    hit = found >= 0
+                    if hit.any():
+                        yield start, stop, rows[hit], found[hit], weights[found[hit]]
+                rows, value = rows[more], value[more]
+                if not len(rows):
+                    break
 
     def marginal(self, points: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Natural log of the summed weight of all segmentations of each word."""
-        ahead = [np.zeros(len(points))] + [np.full(len(points), -np.inf) for _ in range(points.shape[1])]
-        for start, stop, _, weight in self.arcs(points, weights):
-            ahead[stop] = np.logaddexp(ahead[stop], ahead[start] + weight)
+        ahead = _borders(points, first=True)
+        for start, stop, rows, _, weight in self.arcs(points, weights):
+            ahead[stop, rows] = np.logaddexp(ahead[stop, rows], ahead[start, rows] + weight)
         return ahead[-1]
 
     def expected(self, points: np.ndarray, weights: np.ndarray, counts: np.ndarray, pieces: int) -> np.ndarray:
         """Expected number of uses of each piece in `counts` occurrences of each word."""
         each = list(self.arcs(points, weights))
-        length = points.shape[1]
-        ahead = [np.zeros(len(points))] + [np.full(len(points), -np.inf) for _ in range(length)]
-        behind = [np.full(len(points), -np.inf) for _ in range(length)] + [np.zeros(len(points))]
-        for start, stop, _, weight in each:
-            ahead[stop] = np.logaddexp(ahead[stop], ahead[start] + weight)
-        for start, stop, _, weight in reversed(each):
-            behind[start] = np.logaddexp(behind[start], behind[stop] + weight)
+        ahead, behind = _borders(points, first=True), _borders(points, first=False)
+        for start, stop, rows, _, weight in each:
+            ahead[stop, rows] = np.logaddexp(ahead[stop, rows], ahead[start, rows] + weight)
+        for start, stop, rows, _, weight in reversed(each):
+            behind[start, rows] = np.logaddexp(behind[start, rows], behind[stop, rows] + weight)
         total = np.zeros(pieces)
-        size = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
-        for start, stop, found, weight in each:
-            share = counts * np.exp(ahead[start] + weight + behind[stop] - ahead[-1])
-            if stop == start + 1:
-                share = np.where(found == 0, share * size[:, start], share)
-            total += np.bincount(np.maximum(found, 0), np.where(found >= 0, share, 0.0), pieces)
+        size = _bytes(points)
+        for start, stop, rows, found, weight in each:
+            share = counts[rows] * np.exp(ahead[start, rows] + weight + behind[stop, rows] - ahead[-1, rows])
+            total += np.bincount(found, np.where(found == 0, share * size[rows, start], share), pieces)
         return total
 
 
+def _rolled(name: str) -> int:
+    value = 0
+    for char in name:
+        value = (value * int(HASH) + ord(char) + 1) % 2**64
+    return value
+
+
+def _bytes(points: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes of each character."""
+    return 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+
+
+def _borders(points: np.ndarray, first: bool) -> np.ndarray:
+    """Log sums at every border between characters: 0 at the first or last one, nothing elsewhere yet."""
+    sums = np.full((points.shape[1] + 1, len(points)), -np.inf)
+    sums[0 if first else -1] = 0
+    return sums
+
+
 def _by_length(each: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places and code points (with the mark of a word's start) of words of equal length."""
     names = [START + word.decode("utf-8", "replace") for word in each]
@@ -211,19 +233,22 @@ def word_counts(docs: DataFrame, train: Column, text: str = "text") -> DataFrame
     return narrow.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def piece_weights(counts: DataFrame, path: str = VOCABULARY, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
-    """Pieces and log weights after expectation-maximisation over all training words."""
+def piece_weights(counts: DataFrame, path: str = VOCABULARY, rounds: int = ROUNDS) -> tuple[Broadcast, np.ndarray]:
+    """The lattice of the pieces, as sent to the tasks, and log weights after expectation-maximisation over all
+    training words."""
     names, weights = pieces(path)
     context = counts.sparkSession.sparkContext
+    # Some 15 MB, as large as the vocabulary makes it.
+    lattice = context.broadcast(Lattice(names))
     for _ in range(rounds):
-        shared = context.broadcast((names, weights))
+        shared = context.broadcast(weights)
 
         def expect(parts: Batches) -> Batches:
-            own, now = shared.value
-            lattice, total = Lattice(own), np.zeros(len(own))
+            now = shared.value
+            total = np.zeros(len(now))
             for part in _merged(parts, LATTICE_WORDS):
                 for at, points in _by_length(part.column("word").to_pylist()):
-                    total += lattice.expected(points, now, np.ones(len(at)), len(own))
+                    total += lattice.value.expected(points, now, np.ones(len(at)), len(now))
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["piece", "n"])
 
@@ -236,19 +261,17 @@ def piece_weights(counts: DataFrame, path: str = VOCABULARY, rounds: int = ROUND
         for row in rows:
             total[row["piece"]] = row["n"]
         weights = normalised(total)
-    return names, weights
+    return lattice, weights
 
 
-def word_scores(counts: DataFrame, names: list[str], weights: np.ndarray, tokens: int, distinct: int, discount: float) -> DataFrame:
+def word_scores(counts: DataFrame, lattice: Broadcast, weights: np.ndarray, tokens: int, distinct: int, discount: float) -> DataFrame:
     """(word, c, base, score): log10 of the add-one estimate and of the model's probability."""
-    shared = counts.sparkSession.sparkContext.broadcast((names, weights))
+    shared = counts.sparkSession.sparkContext.broadcast(weights)
 
     def score(parts: Batches) -> Batches:
-        own, now = shared.value
-        lattice = Lattice(own)
         for part in _merged(parts, LATTICE_WORDS):
             many = np.array(part.column("c").to_pylist(), np.float64)
-            paths = log_marginals(lattice, now, part.column("word").to_pylist())
+            paths = log_marginals(lattice.value, shared.value, part.column("word").to_pylist())
             if tokens:
                 seen = np.maximum(many - discount, 0) / tokens
                 with np.errstate(divide="ignore"):
@@ -269,8 +292,8 @@ def scored(docs: DataFrame, train: Column, text: str = "text", path: str = VOCAB
     ).first()
     # Held away from the ends, where tiny corpora would put it.
     discount = min(0.95, max(0.05, once / (once + 2 * twice) if once else 0.0))
-    names, weights = piece_weights(counts, path)
-    table = written(word_scores(counts, names, weights, tokens, distinct, discount), "word-scores")
+    lattice, weights = piece_weights(counts, path)
+    table = written(word_scores(counts, lattice, weights, tokens, distinct, discount), "word-scores")
     shared = docs.sparkSession.sparkContext.broadcast(_commonest(table))
     index: dict[bytes, int] = {}
 
