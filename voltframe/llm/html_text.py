@@ -84,6 +84,7 @@ class Page:
     def __init__(self, page: str) -> None:
         self.blocks: list[list[str]] = [[]]
         self.holders: list[tuple[str, ...]] = [()]
+        self.inside = [False]
         self.items: list[tuple[int, int, str]] = []  # (block, words, tag): a text or a tag
         stack: list[tuple[str, tuple[str, ...]]] = []
         held: tuple[str, ...] = ()
@@ -117,12 +118,13 @@ class Page:
             if name not in INLINE:
                 self.blocks.append([])
                 self.holders.append(held)
+                self.inside.append(any(tag in ARTICLE for tag, _ in stack))
 
     def text(self, weights: dict[str, float]) -> str:
         good = [all(_word(weights, key) > 0 for key in held) for held in self.holders]
-        scores = [
-            (words if good[block] else -words) if words else weights.get(f"<{tag}", -0.02) for block, words, tag in self.items
-        ]
+        # What is left out of an article doesn't part it.
+        value = [1 if fine else 0 if inside else -1 for fine, inside in zip(good, self.inside)]
+        scores = [words * value[block] if words else weights.get(f"<{tag}", -0.02) for block, words, tag in self.items]
         first, last = best_region(scores)
         chosen = dict.fromkeys(self.items[k][0] for k in range(first, last) if self.items[k][1])
         joined = (" ".join(html.unescape("".join(self.blocks[block])).split()) for block in chosen if good[block])
