@@ -101,3 +101,12 @@ def test_rdf_xml(spark, tmp_path, listed):
         ("urn:uuid:1", "rdf:type", md + "FullModel", "iri"),
     ]
     assert {r.graph for r in quads.collect()} == {"urn:graph:A_EQ_1"}
+
+
+def test_literal_text_keeps_its_blanks(spark, tmp_path):
+    (tmp_path / "m.xml").write_text(
+        '<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:cim="http://iec.ch/TC57/2013/CIM-schema-cim16#">\n'
+        '  <cim:Substation rdf:ID="_s1">\n    <cim:IdentifiedObject.name> a b </cim:IdentifiedObject.name>\n  </cim:Substation>\n</rdf:RDF>'
+    )
+    found = q.read_rdf_xml(spark, str(tmp_path)).filter("object_kind = 'literal'").collect()
+    assert [row.object for row in found] == [" a b "]

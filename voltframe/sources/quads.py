@@ -268,7 +268,7 @@ def read_rdf_xml(
     found, spaces = _xml_layout(spark, paths)
     tables = []
     for tag in found if properties is None else [c for c in found if c in properties]:
-        reader = spark.read.format("xml").options(rowTag=tag, inferSchema="false", mode="FAILFAST", recursiveFileLookup="true")
+        reader = spark.read.format("xml").options(rowTag=tag, inferSchema="false", mode="FAILFAST", recursiveFileLookup="true", ignoreSurroundingSpaces="false")
         if properties is not None:
             reader = reader.schema(_record_schema(properties[tag]))
         records = reader.load(paths)
