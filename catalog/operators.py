@@ -33,6 +33,9 @@ from voltframe.plans.branches import ROOT3
 from voltframe.plans.schemas import SCHEMAS
 from voltframe.session import ensure_checkpoint_dir
 from voltframe.sources import quads as q
+from voltframe.sources.entities import VIEWS, rejected_literals
+
+POINT_OF_SITE = VIEWS["substation"].columns["delivery_point"][0]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -163,6 +166,76 @@ def _(m: GridModel) -> DataFrame:
     return GridModel.from_quads(_place_quads(m)).substation_voltage_level()
 
 
+CIM_NAME = "http://iec.ch/TC57/2013/CIM-schema-cim16#"
+
+
+def _own_quads(rows: DataFrame, *facts: tuple[str, str, str]) -> DataFrame:
+    """Quads of one subject per row: SQL for the subject, the property (local name, or type) and the object."""
+    entries = [f"struct({s} AS subject, '{p}' AS property, CAST({o} AS string) AS object)" for s, p, o in facts]
+    found = rows.select(F.explode(F.expr(f"array({', '.join(entries)})")).alias("x")).select("x.*").filter("object IS NOT NULL")
+    is_type = F.col("property") == "type"
+    return found.select(
+        F.lit("urn:graph:EQ").alias("graph"),
+        "subject",
+        F.when(is_type, "rdf:type").otherwise(F.concat(F.lit("cim:"), "property")).alias("predicate"),
+        F.when(is_type, F.concat(F.lit(CIM_NAME), "object")).otherwise(F.col("object")).alias("object"),
+        F.when(is_type, "iri").otherwise("literal").alias("object_kind"),
+        F.lit(None).cast("string").alias("datatype"),
+        F.lit(None).cast("string").alias("lang"),
+    )
+
+
+@table_query(
+    "quads_multi_valued",
+    "supplier",
+    """SELECT 'ss-' || s_suppkey AS id, name, point, bv.voltage FROM supplier,
+         LATERAL (SELECT unnest([s_name, 'second']) AS name),
+         LATERAL (SELECT unnest(CASE WHEN s_suppkey % 3 = 0 THEN ['dp-1', 'dp-2'] ELSE ['dp-1'] END) AS point),
+         LATERAL (SELECT unnest(CASE WHEN s_suppkey % 2 = 0 THEN [132.0, 420.0] ELSE [420.0] END)::DOUBLE AS voltage) bv""",
+)
+def _(supplier: DataFrame) -> DataFrame:
+    """Two names, delivery points and voltages of one subject: a row for every combination, as in a join of bags."""
+    site, level = "'ss-' || s_suppkey", "'bv-' || s_suppkey"
+    quads = _own_quads(
+        supplier,
+        (site, "type", "'Substation'"),
+        (site, "IdentifiedObject.name", "s_name"),
+        (site, "IdentifiedObject.name", "'second'"),
+        (site, POINT_OF_SITE, "'dp-1'"),
+        (site, POINT_OF_SITE, "CASE WHEN s_suppkey % 3 = 0 THEN 'dp-2' END"),
+        (level, "type", "'BaseVoltage'"),
+        (level, "BaseVoltage.nominalVoltage", "'420'"),
+        (level, "BaseVoltage.nominalVoltage", "CASE WHEN s_suppkey % 2 = 0 THEN '132.0' END"),
+    )
+    grid_model = GridModel.from_quads(quads, several=["IdentifiedObject.name", POINT_OF_SITE, "BaseVoltage.nominalVoltage"])
+    voltage = grid_model["base_voltage"].select(F.expr("'ss-' || substring(id, 4)").alias("id"), F.col("nominal_voltage").alias("voltage"))
+    return grid_model["substation"].select("id", "name", F.col("delivery_point").alias("point")).join(voltage, "id")
+
+
+@table_query(
+    "quads_rejected_literals",
+    "part",
+    """SELECT 'ACLineSegment.r' AS property, p_size || ',5' AS value, count(*) AS n FROM part WHERE p_size > 25 GROUP BY ALL
+       UNION ALL SELECT 'ACDCTerminal.sequenceNumber', p_size || '.0', count(*) FROM part WHERE p_size < 10 GROUP BY ALL""",
+)
+def _(part: DataFrame) -> DataFrame:
+    line, end = "'l-' || p_partkey", "'t-' || p_partkey"
+    quads = _own_quads(
+        part,
+        (line, "ACLineSegment.r", "p_size || CASE WHEN p_size > 25 THEN ',5' ELSE '.5' END"),
+        (end, "ACDCTerminal.sequenceNumber", "p_size || CASE WHEN p_size < 10 THEN '.0' ELSE '' END"),
+    )
+    return rejected_literals(quads)
+
+
+@query(
+    "report_options",
+    f"SELECT count(*) AS n FROM (SELECT DISTINCT * FROM ({REPORT_SQL['ac_lines']}) LIMIT 5 OFFSET 2)",
+)
+def _(m: GridModel) -> DataFrame:
+    return m.ac_lines(distinct=True, offset=2, limit=5).agg(F.count("*").alias("n"))
+
+
 LINE_VIEWS = (
     "ac_line terminal connectivity_node voltage_level substation sub_geographical_region geographical_region base_voltage "
     "operational_limit operational_limit_set sv_status sv_power_flow"
@@ -190,9 +263,12 @@ def _(m: GridModel) -> DataFrame:
     return q.graphs(_place_quads(m)).select("graph", q.equipment_graph().alias("equipment"), q.state_graph().alias("state"))
 
 
-@query("store_empty", "SELECT false AS empty")
+@query("store_empty", "SELECT s_acctbal IS NULL AS empty, 'filled' AS store FROM supplier LIMIT 1 UNION ALL SELECT true, 'none'")
 def _(m: GridModel) -> DataFrame:
-    return _place_quads(m).limit(1).agg((F.count("*") == 0).alias("empty"))
+    places = _place_quads(m)
+    stores = {"filled": places, "none": q.scan(places, graph="urn:graph:none")}
+    rows = [(q.is_empty(store), name) for name, store in stores.items()]
+    return places.sparkSession.createDataFrame(rows, "empty boolean, store string")
 
 
 @table_query(

@@ -110,3 +110,53 @@ def test_literal_text_keeps_its_blanks(spark, tmp_path):
     )
     found = q.read_rdf_xml(spark, str(tmp_path)).filter("object_kind = 'literal'").collect()
     assert [row.object for row in found] == [" a b "]
+
+
+FORMS = """<?xml version="1.0"?>
+<r:RDF xmlns:r="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:c="http://iec.ch/TC57/2013/CIM-schema-cim16#">
+  <!-- <c:Breaker r:ID="_gone"/> -->
+  <c:Substation
+      r:ID="_s1"
+      c:IdentifiedObject.aliasName="x"><c:IdentifiedObject.name xml:lang="en">A</c:IdentifiedObject.name></c:Substation><c:Substation r:about="#_s2"/>
+  <r:Description r:about="#_s3"><r:type r:resource="http://iec.ch/TC57/2013/CIM-schema-cim16#Substation"/>
+    <c:IdentifiedObject.name r:datatype="http://www.w3.org/2001/XMLSchema#string"><![CDATA[<b>]]></c:IdentifiedObject.name></r:Description>
+  <c:Location r:nodeID="p"><c:Location.mainAddress><c:StreetAddress><c:StreetAddress.poBox/></c:StreetAddress></c:Location.mainAddress></c:Location>
+  <c:Substation r:ID="_s4"><c:PowerSystemResource.Location r:nodeID="p"/></c:Substation>
+</r:RDF>"""
+
+
+def test_rdf_xml_forms(spark, tmp_path):
+    (tmp_path / "f.xml").write_text(FORMS)
+    rows = q.read_rdf_xml(spark, str(tmp_path), base="urn:m#").collect()
+    cim = "http://iec.ch/TC57/2013/CIM-schema-cim16#"
+    types = sorted((r.subject, r.object.removeprefix(cim)) for r in rows if r.predicate == "rdf:type")
+    place = next(r.subject for r in rows if r.object == cim + "Location")
+    street = next(r.subject for r in rows if r.object == cim + "StreetAddress")
+    assert types == sorted([(f"urn:m#_s{i}", "Substation") for i in (1, 2, 3, 4)] + [(place, "Location"), (street, "StreetAddress")])
+    others = {(r.subject, r.predicate, r.object, r.object_kind, r.datatype, r.lang) for r in rows if r.predicate != "rdf:type"}
+    assert others == {
+        ("urn:m#_s1", "cim:IdentifiedObject.aliasName", "x", "literal", None, None),
+        ("urn:m#_s1", "cim:IdentifiedObject.name", "A", "literal", None, "en"),
+        ("urn:m#_s3", "cim:IdentifiedObject.name", "<b>", "literal", "xsd:string", None),
+        (place, "cim:Location.mainAddress", street, "bnode", None, None),
+        (street, "cim:StreetAddress.poBox", "", "literal", None, None),
+        ("urn:m#_s4", "cim:PowerSystemResource.Location", place, "bnode", None, None),
+    }
+
+
+@pytest.mark.parametrize("text", ["<a>", "<r:RDF xmlns:r='http://www.w3.org/1999/02/22-rdf-syntax-ns#'/>", FORMS.replace('<c:Substation r:about="#_s2"/>', '<c:S><c:x r:parseType="Collection"/></c:S>')])
+def test_rdf_xml_that_is_not_read_fails(spark, tmp_path, text):
+    (tmp_path / "f.xml").write_text(text)
+    with pytest.raises(PySparkException, match="f.xml"):
+        q.read_rdf_xml(spark, str(tmp_path)).collect()
+
+
+def test_rdf_xml_is_one_scan(spark, tmp_path):
+    (tmp_path / "f.xml").write_text(XML)
+    text = q.read_rdf_xml(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1
+
+
+def test_blank_nodes_with_dots_and_escaped_iris(spark):
+    found = q.parse_nquads(lines(spark, r"_:a.1 <urn:p#x> _:b.1 _:g..2 .", r"<urn:s\u00e9> <urn:p#x> <urn:o\u00e9>.", "_:a <urn:p#x> _:c.")).collect()
+    assert [(r.graph, r.subject, r.object) for r in found] == [("_:g..2", "_:a.1", "_:b.1"), (None, "urn:sé", "urn:oé"), (None, "_:a", "_:c")]

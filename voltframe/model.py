@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ from voltframe.sources.entities import (
     view_quads,
 )
 
+if TYPE_CHECKING:
+    from voltframe.operators.validate import Schema
+
 ViewSource = DataFrame | Callable[[], DataFrame]
 Mapper = Callable[[DataFrame], DataFrame]
 CONCURRENT_WRITES = 8
@@ -55,14 +59,31 @@ class GridModel:
             report = report.transform(mapper)
         return report
 
-    def report(self, name: str, **arguments: object) -> DataFrame:
-        """A report with its declared column types."""
-        from voltframe.operators.validate import coerce
+    def report(
+        self, name: str, *, distinct: bool = False, limit: int | None = None, offset: int | None = None, **arguments: object
+    ) -> DataFrame:
+        """A report with its declared column types; a value that doesn't convert fails."""
+        from voltframe.operators.validate import coerce, options
         from voltframe.plans import REPORTS
         from voltframe.plans.schemas import SCHEMAS
 
         rows = REPORTS[name](self, **arguments)
-        return coerce(rows, SCHEMAS[name]) if name in SCHEMAS else rows
+        return options(coerce(rows, SCHEMAS[name], strict=True) if name in SCHEMAS else rows, distinct, limit, offset)
+
+    def query(self, rows: DataFrame, schema: Schema | None = None) -> DataFrame:
+        """A user's rows as a finished table.
+
+        Columns of value structs (value, datatype, kind) are converted by the datatype they hold, found in one
+        aggregation; then the columns of `schema` are cast and the value mappers applied.
+        """
+        from voltframe.operators.validate import coerce, convert, datatypes_of
+
+        typed = [f.name for f in rows.schema.fields if {"value", "datatype", "kind"} <= set(getattr(f.dataType, "names", ()))]
+        if typed:
+            seen = datatypes_of(rows, typed).first().asDict()
+            plain = rows.withColumns({c: F.col(f"{c}.value") for c in typed})
+            rows = convert(plain, {c: kind for c, kind in seen.items() if kind is not None})
+        return self.finish(coerce(rows, schema, strict=True) if schema else rows)
 
     def check(self, name: str, **arguments: object) -> DataFrame:
         """Violations of the declared schema of a report: rule, column, violations."""
@@ -85,22 +106,27 @@ class GridModel:
         state: DataFrame | None = None,
         mappers: Iterable[Mapper] = (),
         materialize: bool = False,
+        several: Iterable[str] = (),
     ) -> GridModel:
         """Views over one quad table, or over an equipment table plus a state table.
 
         With `materialize`, the grouped subjects are written once to the shared folder, which pays off as
         soon as a report reads more than a few views.
 
+        A property with several values of one subject fails the reports that use it. Named in `several` (local
+        name) it gives a row for every value in the views that have it, also to reports that don't use it.
+
         With two tables, state properties and state views read only the state side, as do the
         association and class quads of state objects; everything else reads the equipment side.
         """
+        several = tuple(several)
         if state is None:
-            main, side = EntityTable(quads, materialize), None
+            main, side = EntityTable(quads, materialize, several), None
         else:
             prop = local_name(F.col("predicate"))
             own = state.filter(prop.isin(*STATE))
-            main = EntityTable(quads.filter(~prop.isin(*STATE)).unionByName(own), materialize)
-            side = EntityTable(state, materialize)
+            main = EntityTable(quads.filter(~prop.isin(*STATE)).unionByName(own), materialize, several)
+            side = EntityTable(state, materialize, several)
 
         def table(name: str) -> EntityTable:
             return side if side is not None and name in STATE_VIEWS else main

@@ -104,14 +104,23 @@ class Schema:
     unique: tuple[str, ...] = ()
 
 
-def coerce(df: DataFrame, schema: Schema) -> DataFrame:
-    """Cast the declared columns; other columns pass through."""
+def coerce(df: DataFrame, schema: Schema, strict: bool = False) -> DataFrame:
+    """Cast the declared columns; other columns pass through.
+
+    A value that doesn't convert becomes NULL (`failed_casts` counts them), or fails the query when `strict`.
+    """
     kinds = dict(df.dtypes)
     casts = {}
     for column, field in schema.fields.items():
         if kinds[column] == field.kind:
             continue
-        casts[column] = truth(column) if field.kind == "boolean" else F.col(column).try_cast(field.kind)
+        if field.kind == "boolean":
+            casts[column] = truth(column)
+            continue
+        value, cast = F.col(column), F.col(column).try_cast(field.kind)
+        said = F.concat(F.lit(f"{column} is no {field.kind}: "), value.cast("string"))
+        failed = F.when(value.isNotNull() & cast.isNull(), F.raise_error(said))
+        casts[column] = failed.otherwise(cast) if strict else cast
     return df.withColumns(casts) if casts else df
 
 

@@ -6,6 +6,7 @@ A view row is one subject. A column names the CIM property it comes from (local
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -500,64 +501,116 @@ def local_name(iri: Column) -> Column:
     return iri
 
 
+MANY_VALUED = frozenset(edge.prop for edge in EDGES.values())
+PROPERTIES = sorted({prop for view in VIEWS.values() for prop, _ in view.columns.values()} - MANY_VALUED)
+ANCHORS = sorted({view.columns[anchor][0] for view in VIEWS.values() for anchor in view.anchors})
+# Class combinations of a stored entity table, each a folder; more than a vocabulary can give is an error.
+MAX_KINDS = 10_000
+
+
+def _parsed(kind: str, value: Column, prop: str, subject: Column) -> Column:
+    """The typed value; a literal that isn't the declared number fails, naming property and subject."""
+    typed = CASTS[kind](value)
+    if kind not in (NUMBER, INTEGER):
+        return typed
+    said = F.concat(F.lit(f"{prop} of "), subject, F.lit(": not a number: "), value)
+    return F.when(value.isNotNull() & typed.isNull(), F.raise_error(said)).otherwise(typed)
+
+
+def _only(found: Column, prop: str, subject: Column) -> Column:
+    """The value of a (value, other) pair; a second value fails, naming property and subject."""
+    said = F.concat(
+        F.lit(f"{prop} of "), subject, F.lit(" has several values: "), found["value"], F.lit(", "), found["other"],
+        F.lit("; name the property in `several` for a row of each"),
+    )
+    return F.when(found["other"].isNotNull(), F.raise_error(said)).otherwise(found["value"])
+
+
+def _stored_name(prop: str) -> str:
+    return prop.replace(".", "__")
+
+
 @dataclass
 class EntityTable:
-    """One row per subject: class names and a map of its single-valued properties.
+    """One row per subject: class names and its properties.
 
-    With `materialize` the rows are written once, a folder per combination of classes, and a view reads only
-    the folders that can hold its subjects.
+    A property has one value per subject, or the report that uses it fails; those named in `several` give a row
+    for every value. A view groups the quads of its own properties only. With `materialize` the rows are written
+    once, a folder per combination of classes and a column per property, and a view reads only the folders that
+    can hold its subjects.
     """
 
     quads: DataFrame
     materialize: bool = False
-    subjects: DataFrame = field(init=False)
+    several: tuple[str, ...] = ()
+    stored: DataFrame | None = field(init=False, default=None)
     kinds: dict[str, set[str]] = field(init=False, default_factory=dict)
 
     def __post_init__(self) -> None:
-        many_valued = [edge.prop for edge in EDGES.values()]
-        named = self.quads.withColumn("property", local_name(F.col("predicate"))).filter(
-            ~F.col("property").isin(*many_valued)
-        )
+        unknown = set(self.several) - set(PROPERTIES)
+        if unknown:
+            raise ValueError(f"no view has the properties {sorted(unknown)}")
+        if self.materialize:
+            joined = F.concat(F.lit("is-"), F.array_join("types", "+"))
+            columns = [F.col("properties")[prop].alias(_stored_name(prop)) for prop in PROPERTIES]
+            rows = self._grouped(PROPERTIES).select("subject", "types", *columns, joined.alias("kind"))
+            self.stored = written(rows.hint("rebalance", "kind"), "entities", partition_by="kind")
+            present = [F.max(F.col(_stored_name(prop)).isNotNull()).alias(prop) for prop in ANCHORS]
+            found = self.stored.groupBy("kind").agg(*present).limit(MAX_KINDS + 1).collect()
+            if len(found) > MAX_KINDS:
+                raise ValueError(f"more than {MAX_KINDS} combinations of classes")
+            self.kinds = {row.kind: {prop for prop in ANCHORS if row[prop]} for row in found}
+
+    def _grouped(self, properties: Iterable[str]) -> DataFrame:
+        """subject, types, and a map of the given properties; the filter prunes quads stored by predicate."""
+        prop = local_name(F.col("predicate"))
+        named = self.quads.filter(prop.isin(TYPE_PROPERTY, *properties)).withColumn("property", prop)
         kind = F.when(F.col("property") == TYPE_PROPERTY, local_name(F.col("object")))
         # Copies of a value collapse before the exchange, so a hot subject never lands in one task as a whole;
         # what is collected per subject afterwards is bounded by the vocabulary.
-        values = named.groupBy("subject", "property", kind.alias("type")).agg(F.min("object").alias("value"))
-        entry = F.when(F.col("type").isNull(), F.struct("property", "value"))
-        self.subjects = values.groupBy("subject").agg(
+        values = named.groupBy("subject", "property", kind.alias("type")).agg(F.min("object").alias("value"), F.max("object").alias("last"))
+        other = F.when(F.col("last") != F.col("value"), F.col("last"))
+        entry = F.when(F.col("type").isNull(), F.struct("property", F.struct("value", other.alias("other"))))
+        return values.groupBy("subject").agg(
             F.map_from_entries(F.collect_list(entry)).alias("properties"),
             F.array_sort(F.collect_set("type")).alias("types"),
         )
-        if self.materialize:
-            joined = F.concat(F.lit("is-"), F.array_join("types", "+"))
-            rows = self.subjects.withColumn("kind", joined).hint("rebalance", "kind")
-            self.subjects = written(rows, "entities", partition_by="kind")
-            # Class combinations and property names: vocabulary-sized, whatever the number of subjects.
-            for row in self.subjects.select("kind", F.explode_outer(F.map_keys("properties")).alias("p")).distinct().collect():
-                self.kinds.setdefault(row.kind, set()).update([row.p] if row.p else [])
-
-    def _candidates(self, spec: View, anchors: list[str]) -> DataFrame:
-        if not self.materialize:
-            return self.subjects
+
+    def _candidates(self, spec: View, properties: list[str], anchors: list[str]) -> tuple[DataFrame, Callable[[str], Column]]:
+        """Rows that can belong to a view, and how to get a property of them."""
+        if self.stored is None:
+            return self._grouped(properties), lambda prop: F.col("properties")[prop]
         chosen = [
             kind
-            for kind, properties in self.kinds.items()
-            if set(kind.removeprefix("is-").split("+")) & set(spec.classes) or properties & set(anchors)
+            for kind, present in self.kinds.items()
+            if set(kind.removeprefix("is-").split("+")) & set(spec.classes) or present & set(anchors)
         ]
-        return self.subjects.filter(F.col("kind").isin(*chosen))
+        return self.stored.filter(F.col("kind").isin(*chosen)), lambda prop: F.col(_stored_name(prop))
 
     def view(self, name: str) -> DataFrame:
         spec = VIEWS[name]
-        columns = {
-            column: CASTS[kind](F.col("properties")[prop]).alias(column) for column, (prop, kind) in spec.columns.items()
-        }
+        used = {c: (prop, kind) for c, (prop, kind) in spec.columns.items() if prop not in MANY_VALUED}
         anchors = [spec.columns[anchor][0] for anchor in spec.anchors]
+        rows, found = self._candidates(spec, sorted({prop for prop, _ in used.values()}), anchors)
         belongs = F.lit(False)
         if spec.classes:
             belongs = belongs | F.arrays_overlap("types", F.array(*map(F.lit, spec.classes)))
         for prop in anchors:
-            belongs = belongs | F.col("properties")[prop].isNotNull()
-        rows = self._candidates(spec, anchors).filter(belongs)
-        return rows.select(F.col("subject").alias("id"), "types", *columns.values())
+            belongs = belongs | found(prop).isNotNull()
+        rows = rows.filter(belongs)
+        subject = F.col("subject")
+        columns = {}
+        for column, (prop, kind) in spec.columns.items():
+            if column not in used:
+                columns[column] = CASTS[kind](F.lit(None).cast("string"))
+            elif prop not in self.several:
+                columns[column] = _parsed(kind, _only(found(prop), prop, subject), prop, subject)
+        rows = rows.select(subject, "types", *[value.alias(column) for column, value in columns.items()])
+        for column, (prop, kind) in used.items():
+            if prop in self.several:
+                mine = self.quads.filter(local_name(F.col("predicate")) == prop).select("subject", F.col("object").alias(column)).distinct()
+                rows = rows.join(mine.withColumn(column, _parsed(kind, F.col(column), prop, subject)), "subject", "left")
+        return rows.select(subject.alias("id"), "types", *spec.columns)
 
     def edge(self, name: str) -> DataFrame:
         spec = EDGES[name]
@@ -568,6 +621,19 @@ class EntityTable:
         )
 
 
+def rejected_literals(quads: DataFrame) -> DataFrame:
+    """property, value, n: the literals that aren't the number a view declares, on which a report would fail."""
+    kinds: dict[str, set[str]] = {}
+    for view in VIEWS.values():
+        for prop, kind in view.columns.values():
+            kinds.setdefault(prop, set()).add(kind)
+    numbers = [prop for prop, found in kinds.items() if found & {NUMBER, INTEGER}]
+    whole = [prop for prop in numbers if INTEGER in kinds[prop]]
+    rows = quads.select(local_name(F.col("predicate")).alias("property"), F.col("object").alias("value"))
+    parsed = F.when(F.col("property").isin(*whole), int_of("value").cast("double")).otherwise(double_of("value"))
+    return rows.filter(F.col("property").isin(*numbers)).filter(parsed.isNull()).groupBy("property", "value").agg(F.count("*").alias("n"))
+
+
 def view_quads(name: str, rows: DataFrame, graph: str) -> DataFrame:
     """The quads of one entity view: its classes and every bound column."""
     spec = VIEWS[name]

@@ -6,13 +6,14 @@ datatype (prefixed), lang.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from voltframe.functions.namespaces import expand, extended, shorten
+from voltframe.sources.rdf_xml import RDF, Document
 
 QUAD_COLUMNS = ["graph", "subject", "predicate", "object", "object_kind", "datatype", "lang"]
 QUAD_SCHEMA = ", ".join(f"{c} string" for c in QUAD_COLUMNS)
@@ -23,10 +24,12 @@ BASE_IRI = "urn:model#"
 # been set aside: what is left of a literal then has no quote in it, so that texts of any length match without
 # nested repetition.
 _TERM = r"<([^>]*)>"
+# A blank node's label may hold dots, but not end with one.
+_BLANK = r'(_:[^\s.<>"#]+(?:\.+[^\s.<>"#]+)*)'
 _STATEMENT = (
-    rf"^\s*(?:{_TERM}|(_:\S+))\s*{_TERM}\s*"
-    rf'(?:{_TERM}|(_:[^\s.]+)|"([^"]*)"(?:\^\^{_TERM}|@([A-Za-z0-9-]+))?)'
-    rf"\s*(?:{_TERM}|(_:[^\s.]+))?\s*\.\s*(?s:#.*)?$"
+    rf"^\s*(?:{_TERM}|{_BLANK})\s*{_TERM}\s*"
+    rf'(?:{_TERM}|{_BLANK}|"([^"]*)"(?:\^\^{_TERM}|@([A-Za-z0-9-]+))?)'
+    rf"\s*(?:{_TERM}|{_BLANK})?\s*\.\s*(?s:#.*)?$"
 )
 _SET_ASIDE = {"\\\\": "\n1", '\\"': "\n2"}
 _GROUP_END = "\n|"
@@ -35,7 +38,7 @@ _ESCAPES = {"\\t": "\t", "\\b": "\b", "\\n": "\n", "\\r": "\r", "\\f": "\f", '\\
 
 
 def _unescape(text: Column) -> Column:
-    """Resolve the escapes of a quoted literal; texts without a backslash are left alone."""
+    """Resolve the escapes of a literal or an IRI; texts without a backslash are left alone."""
     named = F.create_map(*[F.lit(t) for pair in _ESCAPES.items() for t in pair])
 
     def token(t: Column) -> Column:
@@ -80,14 +83,14 @@ def parse_nquads(lines: DataFrame, prefixes: Mapping[str, str] | None = None, gr
     for escape, mark in _SET_ASIDE.items():
         literal = F.replace(literal, F.lit(mark), F.lit(escape))
     resource = F.coalesce(group(4), group(5))
-    own_graph = F.coalesce(group(9), group(10))
+    own_graph = _unescape(F.coalesce(group(9), group(10)))
     return rows.select(
         (F.lit(graph) if graph else own_graph).alias("graph"),
-        F.coalesce(group(1), group(2)).alias("subject"),
-        shorten(group(3), names).alias("predicate"),
-        F.when(resource.isNull(), _unescape(literal)).otherwise(resource).alias("object"),
+        _unescape(F.coalesce(group(1), group(2))).alias("subject"),
+        shorten(_unescape(group(3)), names).alias("predicate"),
+        _unescape(F.when(resource.isNull(), literal).otherwise(resource)).alias("object"),
         F.when(group(4).isNotNull(), "iri").when(group(5).isNotNull(), "bnode").otherwise("literal").alias("object_kind"),
-        shorten(group(7), names).alias("datatype"),
+        shorten(_unescape(group(7)), names).alias("datatype"),
         group(8).alias("lang"),
     )
 
@@ -183,73 +186,7 @@ def read_quads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*QUAD_COLUMNS)
 
 
-# CIM RDF/XML: a flat list of typed elements whose children are literals or references.
-
-_RECORD = r"<([A-Za-z_][\w.-]*:[\w.-]+)\s+(?:[\w.-]+:[\w.-]+\s*=\s*[\"'][^\"']*[\"']\s+)*rdf:(?:ID|about)\s*="
-_PREFIX = r"xmlns:([\w.-]+)\s*=\s*[\"']([^\"']+)[\"']"
-
-
-def _xml_layout(spark: SparkSession, paths: str | list[str]) -> tuple[list[str], dict[str, str]]:
-    """Element names and namespace prefixes in use: vocabulary-sized, whatever the number of records."""
-    found = spark.read.option("recursiveFileLookup", "true").text(paths).select(
-        F.explode(
-            F.concat(
-                F.transform(F.regexp_extract_all("value", F.lit(_RECORD), 1), lambda c: F.struct(c.alias("a"), F.lit("").alias("b"))),
-                F.transform(
-                    F.regexp_extract_all("value", F.lit(_PREFIX), 0),
-                    lambda c: F.struct(F.regexp_extract(c, _PREFIX, 1).alias("a"), F.regexp_extract(c, _PREFIX, 2).alias("b")),
-                ),
-            )
-        ).alias("x")
-    )
-    rows = found.select("x.a", "x.b").distinct().collect()
-    spaces: dict[str, str] = {}
-    for row in rows:
-        if row.b and spaces.setdefault(row.a, row.b) != row.b:
-            raise ValueError(f"prefix {row.a} stands for several namespaces; read those files apart")
-    return sorted(row.a for row in rows if not row.b), spaces
-
-
-def _absolute(reference: Column, base: str) -> Column:
-    """`#_x` and `_x` name the same subject; absolute IRIs stay."""
-    return F.when(reference.rlike(r"^[A-Za-z][\w+.-]*:"), reference).otherwise(
-        F.concat(F.lit(base), F.regexp_replace(reference, "^#", ""))
-    )
-
-
-def _values(name: str, kind: T.DataType, base: str) -> Column:
-    """An array of (predicate, object, kind, datatype, lang) for one property of a record."""
-    column = F.col(f"`{name}`")
-    if isinstance(kind, T.ArrayType):
-        items, kind = column, kind.elementType
-    else:
-        items = F.array(column)
-    fields = kind.fieldNames() if isinstance(kind, T.StructType) else []
-    unknown = set(fields) - {"_VALUE", "_rdf:resource", "_rdf:datatype", "_xml:lang", "_rdf:parseType"}
-    if unknown:
-        raise ValueError(f"{name} has nested elements {sorted(unknown)}")
-
-    def field(item: Column, key: str) -> Column:
-        return item.getField(key).cast("string") if key in fields else F.lit(None).cast("string")
-
-    def entry(item: Column) -> Column:
-        text = field(item, "_VALUE") if fields else item.cast("string")
-        target = field(item, "_rdf:resource")
-        return F.struct(
-            F.lit(name).alias("tag"),
-            F.coalesce(_absolute(target, base), text).alias("object"),
-            F.when(target.isNotNull(), "iri").otherwise("literal").alias("object_kind"),
-            field(item, "_rdf:datatype").alias("datatype"),
-            field(item, "_xml:lang").alias("lang"),
-        )
-
-    return F.coalesce(F.transform(items, entry), F.array().cast("array<struct<tag:string,object:string,object_kind:string,datatype:string,lang:string>>"))
-
-
-def _record_schema(properties: Sequence[str]) -> T.StructType:
-    value = T.StructType([T.StructField(c, T.StringType()) for c in ("_VALUE", "_rdf:resource", "_rdf:datatype", "_xml:lang")])
-    keys = [T.StructField(c, T.StringType()) for c in ("_rdf:ID", "_rdf:about")]
-    return T.StructType(keys + [T.StructField(p, T.ArrayType(value)) for p in properties])
+# RDF/XML
 
 
 def read_rdf_xml(
@@ -259,45 +196,31 @@ def read_rdf_xml(
     base: str = BASE_IRI,
     properties: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """CIM RDF/XML files as quads, one graph per file, named after the file.
+    """RDF/XML files as quads, one graph per file, named after the file.
 
-    Each class is one pass over the files with its own row tag, after one pass that finds its properties.
-    `properties` (element name -> property names) limits the classes and saves that pass.
+    One scan and one pass, whatever the number of classes: an XML parser runs over each file in the task that reads
+    it, so a file (at most 2 GB) is the unit of parallelism. Relative references are taken from `base`.
+    `properties` (element name -> property names, with the prefixes of the file) keeps only those classes and
+    properties. Malformed XML, a file without records, and forms that aren't read (collections, XML literals,
+    containers, reified statements) fail, naming the file.
     """
     names = extended(prefixes)
-    found, spaces = _xml_layout(spark, paths)
-    tables = []
-    for tag in found if properties is None else [c for c in found if c in properties]:
-        reader = spark.read.format("xml").options(rowTag=tag, inferSchema="false", mode="FAILFAST", recursiveFileLookup="true", ignoreSurroundingSpaces="false")
-        if properties is not None:
-            reader = reader.schema(_record_schema(properties[tag]))
-        records = reader.load(paths)
-        keys = [F.col(f"`{c}`") for c in ("_rdf:ID", "_rdf:about") if c in records.columns]
-        stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?$", 1)
-        children = [f for f in records.schema.fields if not f.name.startswith("_")]
-        kind = F.struct(
-            F.lit("rdf:type").alias("tag"), F.lit(tag).alias("object"), F.lit("iri").alias("object_kind"),
-            F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang"),
-        )
-        facts = F.concat(F.array(kind), *[_values(f.name, f.dataType, base) for f in children])
-        tables.append(
-            records.select(
-                F.concat(F.lit(GRAPH_PREFIX), stem).alias("graph"),
-                _absolute(F.coalesce(*keys).cast("string"), base).alias("subject"),
-                F.explode(facts).alias("fact"),
-            ).select("graph", "subject", "fact.*")
-        )
-    if not tables:
-        return spark.createDataFrame([], QUAD_SCHEMA)
-    rows = tables[0]
-    for table in tables[1:]:
-        rows = rows.unionByName(table)
-    is_type = F.col("tag") == "rdf:type"
-    return rows.filter("object IS NOT NULL").select(
-        "graph",
+    wanted = None if properties is None else {name: tuple(found) for name, found in properties.items()}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+
+    def facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, content in zip(batch["file"], batch["content"]):
+                for found in Document(file, base, wanted).statements(content):
+                    yield pd.DataFrame(found, columns=QUAD_COLUMNS[1:], dtype=object).assign(graph=file)
+
+    rows = files.select(F.col("_metadata.file_name").alias("file"), "content").mapInPandas(facts, QUAD_SCHEMA)
+    stem = F.regexp_extract("graph", r"^(.*?)(?:\.[^.]*)?$", 1)
+    return rows.select(
+        F.concat(F.lit(GRAPH_PREFIX), stem).alias("graph"),
         "subject",
-        F.when(is_type, F.lit("rdf:type")).otherwise(shorten(expand(F.col("tag"), spaces), names)).alias("predicate"),
-        F.when(is_type, expand(F.col("object"), spaces)).otherwise(F.col("object")).alias("object"),
+        F.when(F.col("predicate") == f"{RDF}type", "rdf:type").otherwise(shorten(F.col("predicate"), names)).alias("predicate"),
+        "object",
         "object_kind",
         shorten(F.col("datatype"), names).alias("datatype"),
         "lang",
