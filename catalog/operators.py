@@ -263,7 +263,11 @@ def _(m: GridModel) -> DataFrame:
     return q.graphs(_place_quads(m)).select("graph", q.equipment_graph().alias("equipment"), q.state_graph().alias("state"))
 
 
-@query("store_empty", "SELECT s_acctbal IS NULL AS empty, 'filled' AS store FROM supplier LIMIT 1 UNION ALL SELECT true, 'none'")
+@query(
+    "store_empty",
+    """SELECT count(*) = 0 AS empty, 'filled' AS store FROM supplier
+       UNION ALL SELECT count(*) = 0, 'none' FROM supplier WHERE s_suppkey IS NULL""",
+)
 def _(m: GridModel) -> DataFrame:
     places = _place_quads(m)
     stores = {"filled": places, "none": q.scan(places, graph="urn:graph:none")}

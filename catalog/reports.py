@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from catalog.grid_sql import grid
 from catalog.report_sql import REPORT_SQL
 from voltframe.model import GridModel
-from voltframe.plans import REPORTS
 from voltframe.session import configure
 from voltframe.sources.star import star_model
 
@@ -25,6 +24,12 @@ ROUNDED = {
     "sv_power_deviation": {"sum_terminal_flow": 4},
     "hvdc": {"r": 3},
 }
+# Columns that the reports declare as bigint.
+WIDE = {
+    "transformers": ["end_number"],
+    "transformer_windings": ["end_number"],
+    "phase_tap_changer": ["neutral_step", "high_step", "low_step"],
+}
 ARGUMENTS = {"exchange": {"region": "E"}}
 # Direct-current equipment meets at nodes of suppliers, where parallel lines occur.
 NODE_OF = {"hvdc": "'dn-' || supp"}
@@ -41,11 +46,17 @@ def model(spark: SparkSession, folder: str, **options: str | bool) -> GridModel:
 def report(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         options = {"node_of": NODE_OF[name]} if name in NODE_OF else {}
-        df = REPORTS[name](model(spark, folder, **options), **ARGUMENTS.get(name, {}))
+        df = model(spark, folder, **options).report(name, **ARGUMENTS.get(name, {}))
         return rounded(df, ROUNDED.get(name, {}))
 
     return run
 
 
+def declared(name: str) -> str:
+    """Check SQL of a report with the types it declares."""
+    casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in WIDE.get(name, ()))
+    return f"SELECT * REPLACE ({casts}) FROM ({REPORT_SQL[name]})" if casts else REPORT_SQL[name]
+
+
 QUERIES: dict[str, Query] = {f"report_{name}": report(name) for name in REPORT_SQL}
-SQL: dict[str, str] = {f"report_{name}": grid(sql) for name, sql in REPORT_SQL.items()}
+SQL: dict[str, str] = {f"report_{name}": grid(declared(name)) for name in REPORT_SQL}

@@ -599,13 +599,13 @@ class EntityTable:
             belongs = belongs | found(prop).isNotNull()
         rows = rows.filter(belongs)
         subject = F.col("subject")
-        columns = {}
-        for column, (prop, kind) in spec.columns.items():
-            if column not in used:
-                columns[column] = CASTS[kind](F.lit(None).cast("string"))
-            elif prop not in self.several:
-                columns[column] = _parsed(kind, _only(found(prop), prop, subject), prop, subject)
-        rows = rows.select(subject, "types", *[value.alias(column) for column, value in columns.items()])
+        single = {c: (prop, kind) for c, (prop, kind) in used.items() if prop not in self.several}
+        unset = [CASTS[kind](F.lit(None).cast("string")).alias(c) for c, (_, kind) in spec.columns.items() if c not in used]
+        # Step by step, so that a look-up is not repeated wherever its result is needed.
+        rows = rows.select(subject, "types", *[found(prop).alias(c) for c, (prop, _) in single.items()])
+        rows = rows.select(subject, "types", *[_only(F.col(c), prop, subject).alias(c) for c, (prop, _) in single.items()])
+        parsed = [_parsed(kind, F.col(c), prop, subject).alias(c) for c, (prop, kind) in single.items()]
+        rows = rows.select(subject, "types", *parsed, *unset)
         for column, (prop, kind) in used.items():
             if prop in self.several:
                 mine = self.quads.filter(local_name(F.col("predicate")) == prop).select("subject", F.col("object").alias(column)).distinct()
