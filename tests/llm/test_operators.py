@@ -116,6 +116,21 @@ def test_near_groups_match_all_pairs(spark, docs, none):
     assert near_dedup.near_groups(none).count() == 0
 
 
+def test_near_copies_around_one_long_passage(spark):
+    # Any two texts are 0.73 alike, 120 planted pairs just over 0.75; most buckets hold some hundred texts.
+    rng = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(112))
+    rows = []
+    for pair in range(200):
+        for one in range(2):
+            start = f"s{pair} t{pair}" if pair < 120 else f"s{pair}x{one} t{pair}"
+            rows.append((len(rows), f"{passage} {start} " + " ".join(f"o{rng.getrandbits(40)}" for _ in range(18))))
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(frame).collect()}
+    assert got == {k: k - k % 2 if k < 240 else k for k in range(400)}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 200), (200, 100)], "a long, b long")
     got = {r.node: r.component for r in near_dedup.components(links).collect()}

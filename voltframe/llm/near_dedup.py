@@ -12,7 +12,10 @@ when 100 * |intersection| >= 75 * |union|, which is always decided on the full s
    many pairs as members, not their square. Signatures refuse pairs far below the threshold, full sets decide.
 4. Buckets that still hold several components are taken up again: all pairs across components where a bucket
    is small, the next central ones against all members where it is large, until a pass finds no link.
-5. Links become components by alternating large-star and small-star steps over written tables.
+5. What large buckets then still hold in several components is joined exactly: two linked sets share one of their
+   rarest shingles, so a set is filed under its rarest quarter and compared across components where it meets others
+   at a place from which the threshold can still be reached.
+6. Links become components by alternating large-star and small-star steps over written tables.
 
 Defined results: null texts are empty. Documents without id are in the class of their set, but never represent
 one; a class in which nobody has an id has a null component. Rows that repeat an id are one node. Extra columns
@@ -39,6 +42,8 @@ SIGNATURE_FLOOR = 0.75 - 5 * (0.75 * 0.25 / HASHES) ** 0.5
 # Buckets up to this size compare all pairs of different components, larger ones this many leaders a pass.
 SMALL_BUCKET = 24
 LEADERS = 4
+# Counters by which shingles are ordered from rare to common (8 MB); any order gives the same links.
+COUNTERS = 1 << 20
 # Ids up to this many (32 MB) are broadcast to pick rows; beyond, the join is shuffled.
 BROADCAST_IDS = 4_000_000
 # Words whose hashes a task keeps at a time.
@@ -276,6 +281,53 @@ def _next_pairs(held: DataFrame, turn: int) -> DataFrame:
     return _ordered(far.union(few.join(other, "key").filter("node < peer AND component <> part").select("node", "peer")))
 
 
+def _heads(held: DataFrame, sets: DataFrame) -> DataFrame:
+    """(item, node, component, n, place): the rarest shingles of the members of large buckets, of which linked sets share one."""
+    many = held.filter(F.col("size") > SMALL_BUCKET).select("node", "component").distinct()
+    each = written(many.join(sets, "node"), "open-sets")
+    counted = each.select(F.explode("items").alias("item")).groupBy(F.pmod("item", F.lit(COUNTERS)).alias("slot")).count().toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[counted.column("slot").to_numpy()] = counted.column("count").to_numpy()
+    shared = held.sparkSession.sparkContext.broadcast(counts)
+
+    def head(parts: Batches) -> Batches:
+        for part in parts:
+            values, offsets = part.column("items").values.to_numpy(), part.column("items").offsets.to_numpy()
+            first = []
+            for a, b in zip(offsets, offsets[1:]):
+                own, n = values[a:b], b - a
+                length = n + (-n * SIMILARITY[0]) // SIMILARITY[1] + 1
+                first.append(own[np.lexsort((own, shared.value[own % COUNTERS]))[:length]])
+            sizes = np.array([len(f) for f in first], np.int64)
+            rows = pa.array(np.repeat(np.arange(len(first)), sizes))
+            columns = {
+                "item": pa.array(np.concatenate(first) if first else np.empty(0, np.int64), pa.int64()),
+                "node": part.column("node").take(rows),
+                "component": part.column("component").take(rows),
+                "n": pa.array(np.repeat(np.diff(offsets), sizes), pa.int64()),
+                "place": pa.array(np.concatenate([np.arange(k) for k in sizes]) if first else [], pa.int64()),
+            }
+            for start in range(0, len(rows), 50_000):
+                yield pa.RecordBatch.from_arrays([c.slice(start, 50_000) for c in columns.values()], list(columns))
+
+    kind = each.schema["node"].dataType.simpleString()
+    return written(each.mapInArrow(head, f"item long, node {kind}, component {kind}, n long, place long"), "heads")
+
+
+def _far_pairs(held: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs across components of large buckets that may be linked; the largest component of an item meets the others only."""
+    heads = _heads(held, sets)
+    sizes = heads.groupBy("item", "component").count()
+    most = sizes.groupBy("item").agg(F.max_by("component", F.struct("count", "component")).alias("most"), F.count("*").alias("parts"))
+    posted = written(heads.join(written(most.filter("parts > 1").select("item", "most"), "mixed"), "item"), "posted")
+    other = posted.filter("component <> most").select("item", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "n", "place")])
+    # The places of the first common item leave room for enough common ones behind them.
+    whole = F.col("n") + F.col("other_n")
+    room = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
+    near = (F.col("component") != F.col("other_component")) & (room * sum(SIMILARITY) >= whole * SIMILARITY[0])
+    return _ordered(posted.join(other, "item").filter(near).select("node", "other_node"))
+
+
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The sketches of all documents, and per class (low, high) its representative and component."""
     drawn = written(sketches(docs, id, text), "sketches")
@@ -294,11 +346,13 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[Da
         new = written(_verified(_next_pairs(held, turn), nodes, sets), "links")
         found = new.limit(1).count()
         if found:
-            links = links.union(new)
             parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new))
         turn += 1
         if not found and turn > 1:
             break
+    if held.filter(F.col("size") > SMALL_BUCKET).limit(1).count():
+        new = written(_verified(_far_pairs(held, sets), nodes, sets), "links")
+        parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new))
     named = nodes.join(parts, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component"))
     return drawn, written(named, "classes")
 
