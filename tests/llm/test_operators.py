@@ -307,6 +307,29 @@ def test_given_rules_and_mined_ones(spark):
     assert url_rules.judged_by(url_rules.indexed(rules), "http://other.com/news/1") == "allow"
 
 
+def test_rules_are_mined_from_all_tokens(spark):
+    rng = random.Random(6)
+    rows = [(f"http://a.b.c.example.net/one/two/three/four/{k}?page=1&{'bad' if k % 2 else 'fine'}=2", "block" if k % 2 else "allow") for k in range(100)]
+    rules = url_rules.mine(spark.createDataFrame(rows, "url string, label string"))
+    assert sorted(rules, key=lambda r: r[1], reverse=True) == [(frozenset({"key bad"}), "block", 1.0), (frozenset({"key fine"}), "allow", 1.0)]
+    rows = []
+    for _ in range(300):
+        url = f"http://{rng.choice('ab')}.{rng.choice('xy')}.net/" + "/".join(w for w in ("p", "q", "r") if rng.random() < 0.5)
+        rows.append((url, "block" if rng.random() < (0.9 if "/q" in url or "a.x" in url else 0.3) else "allow"))
+    each = [(frozenset(url_rules.tokens(u)), label) for u, label in rows]
+    every = set()
+    for own in {own for own, _ in each}:
+        every.update(frozenset(c) for n in range(1, len(own) + 1) for c in combinations(sorted(own), n))
+    brute = []
+    for own in every:
+        labels = [label for row, label in each if own <= row]
+        for label in {*labels}:
+            if labels.count(label) >= 20 and labels.count(label) / len(labels) >= 0.8:
+                brute.append((own, label, labels.count(label) / len(labels)))
+    got = url_rules.mine(spark.createDataFrame(rows, "url string, label string"))
+    assert len(got) > 2 and set(got) == set(url_rules.pruned(brute))
+
+
 def test_every_stage_of_the_pipeline(spark):
     import corpus_pipeline
 

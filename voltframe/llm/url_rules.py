@@ -1,13 +1,14 @@
-"""URL verdicts: given rules, else association rules that FP-growth mines from labelled URLs.
+"""URL verdicts: given rules, else association rules mined from labelled URLs.
 
-A URL is a set of tokens: host labels and suffixes, words of the path and keys of the query. Labelled URLs (with the
-label as one more item) are mined by Spark's FP-growth; rules that conclude a label are kept if they reach the
-support and confidence below and are surer than every kept rule they contain. Matching files each rule under its
-rarest token, so that a URL looks only at rules of its own tokens. The surest fitting rule decides; without one the
-verdict is allow.
+A URL is a set of tokens: host labels and suffixes, words of the path and keys of the query. Of the labelled URLs
+those token sets are mined, level by level, that with a label reach the support below and are rarer than each of
+their subsets; a set as common as a subset of its own (a label beside its host suffix) says what that one says. Rules
+that conclude a label are kept if they reach the confidence and are surer than every kept rule they contain; these are
+the same rules that all frequent sets would give. Matching files each rule under its rarest token, so that a URL looks
+only at rules of its own tokens. The surest fitting rule decides; without one the verdict is allow.
 
-Given rules fit a host with all its subdomains and a prefix of the path; the longest one wins. Mining looks at the
-first `MINED_TOKENS` tokens of a URL, because item sets grow with two to their number; matching looks at all.
+Given rules fit a host with all its subdomains and a prefix of the path; the longest one wins. Mining and
+matching look at all tokens of a URL.
 
 Defined results: null URLs and those without "://" have empty host and path, fit no given rule, and are allowed
 unless a mined rule fits. Repeated rows are judged alike. Without labels no rule is mined.
@@ -15,22 +16,23 @@ unless a mined rule fits. Repeated rows are judged alike. Without labels no rule
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import pyarrow as pa
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import appended, lowered, packed, texts
+from voltframe.llm.common import Batches, appended, lowered, packed, texts
+from voltframe.session import written
 
 # The given rules, host and path prefix with their verdict.
 GIVEN = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
 SUPPORT, CONFIDENCE = 0.01, 0.8
 # A rule holds in at least so many labelled rows, whatever share of them that is.
 LEAST_ROWS = 20
-MINED_TOKENS = 10
 # Mined rules up to this many are sent to the tasks (some 30 MB); the support bounds them in practice.
 MOST_RULES = 100_000
 
@@ -65,23 +67,94 @@ def tokens(url: str) -> list[str]:
     return list(dict.fromkeys(out))
 
 
-def _tokenised(df: DataFrame, most: int | None) -> DataFrame:
-    return appended(df, lambda part: [pa.array([tokens(u.decode("utf-8", "replace"))[:most] for u in texts(part, "url")], pa.list_(pa.string()))], "tokens array<string>")
+def _tokenised(df: DataFrame) -> DataFrame:
+    return appended(df, lambda part: [pa.array([tokens(u.decode("utf-8", "replace")) for u in texts(part, "url")], pa.list_(pa.string()))], "tokens array<string>")
+
+
+def _counted(rows: DataFrame, sets: list[tuple[int, ...]]) -> dict[tuple[int, ...], dict[str, int]]:
+    """How many rows (items, label, n) of each label hold each of the sets; items and sets are sorted."""
+    tree: dict = {}
+    for number, each in enumerate(sets):
+        at = tree
+        for item in each[:-1]:
+            at = at.setdefault(item, {})
+        at[each[-1]] = number
+    shared = rows.sparkSession.sparkContext.broadcast(tree)
+
+    def count(parts: Batches) -> Batches:
+        seen: Counter = Counter()
+
+        def walk(at: dict, items: list[int], start: int, label: str, n: int) -> None:
+            for k in range(start, len(items)):
+                below = at.get(items[k])
+                if isinstance(below, dict):
+                    walk(below, items, k + 1, label, n)
+                elif below is not None:
+                    seen[below, label] += n
+
+        for part in parts:
+            for items, label, n in zip(*(part.column(name).to_pylist() for name in ("items", "label", "n"))):
+                walk(shared.value, items, 0, label, n)
+        keys = list(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())],
+            ["number", "label", "n"],
+        )
+
+    found: dict = defaultdict(dict)
+    for row in rows.mapInArrow(count, "number long, label string, n long").groupBy("number", "label").agg(F.sum("n").alias("n")).collect():
+        found[sets[row["number"]]][row["label"]] = row["n"]
+    return found
+
+
+def _joined(sets: set[tuple[int, ...]]) -> list[tuple[int, ...]]:
+    """The sets of one more item all of whose subsets are among the sets."""
+    ends = defaultdict(list)
+    for each in sorted(sets):
+        ends[each[:-1]].append(each[-1])
+    longer = ((*head, one, other) for head, last in ends.items() for one, other in combinations(last, 2))
+    return [each for each in longer if all(each[:k] + each[k + 1 :] in sets for k in range(len(each) - 2))]
 
 
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> list[tuple[frozenset, str, float]]:
     """Rules (tokens, label, confidence) from rows (url, label)."""
-    items = _tokenised(labelled.filter("label IS NOT NULL").select("url", "label"), MINED_TOKENS)
-    items = items.select(F.concat("tokens", F.array(F.concat(F.lit("= "), "label"))).alias("items"))
+    items = written(_tokenised(labelled.filter("label IS NOT NULL").select("url", "label")).select("tokens", "label"), "tokens")
     count = items.count()
     if count < LEAST_ROWS:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST_ROWS / count), minConfidence=confidence).fit(items)
-    found = model.associationRules.filter(F.element_at("consequent", 1).startswith("= ")).filter(~F.exists("antecedent", lambda a: a.startswith("= ")))
-    rows = found.limit(MOST_RULES + 1).collect()
-    if len(rows) > MOST_RULES:
-        raise ValueError("more rules than may be sent to the tasks; raise the support")
-    return pruned([(frozenset(r["antecedent"]), r["consequent"][0][2:], r["confidence"]) for r in rows])
+    least = max(LEAST_ROWS, math.ceil(support * count))
+    each = items.select(F.explode("tokens").alias("token"), "label").groupBy("token", "label").count()
+    often = each.groupBy("token").agg(F.max("count").alias("most"), F.collect_list(F.struct("label", "count")).alias("counts"))
+    rows = often.filter(F.col("most") >= least).orderBy("most", "token").collect()
+    names = [row["token"] for row in rows]
+    places = items.sparkSession.sparkContext.broadcast({name: k for k, name in enumerate(names)})
+
+    def placed(part: pa.RecordBatch) -> list[pa.Array]:
+        known = places.value
+        return [pa.array([sorted(known[t] for t in own if t in known) for own in part.column("tokens").to_pylist()], pa.list_(pa.int32()))]
+
+    # Tokens under the support are in no rule, and URLs alike in the others are counted together.
+    alike = written(appended(items, placed, "items array<int>").groupBy("items", "label").agg(F.count("*").alias("n")), "alike")
+    found = {(k,): {c["label"]: c["count"] for c in row["counts"]} for k, row in enumerate(rows)}
+    rules: list[tuple[frozenset, str, float]] = []
+    totals: dict[tuple[int, ...], int] = {}
+    while found:
+        open_ = {}
+        for own, counts in found.items():
+            total = sum(counts.values())
+            shorter = (totals[own[:k] + own[k + 1 :]] for k in range(len(own)) if len(own) > 1)
+            if max(counts.values()) < least or total in shorter:
+                continue
+            rules += [(frozenset(names[k] for k in own), label, n / total) for label, n in counts.items() if n >= least and n / total >= confidence]
+            # Below a set of one label only, nothing is surer.
+            if len(counts) > 1:
+                open_[own] = total
+        if len(rules) > MOST_RULES:
+            raise ValueError("more rules than may be sent to the tasks; raise the support")
+        totals = open_
+        longer = _joined(set(open_))
+        found = _counted(alike, longer) if longer else {}
+    return pruned(rules)
 
 
 def pruned(rules: list[tuple[frozenset, str, float]]) -> list[tuple[frozenset, str, float]]:
