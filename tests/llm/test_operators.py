@@ -293,6 +293,27 @@ def test_toxicity_on_held_out_texts(spark):
     assert toxicity.train(docs, labels.limit(0)) == 0.0
 
 
+def test_rare_insults_beside_a_common_one(spark):
+    # Four of five toxic texts hold one insult, the others one of four that look unlike it.
+    rng = random.Random(7)
+    plain = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    rare = ["zwackel", "bloofy", "quimpig", "vexhudd"]
+    rows, insults = [], {}
+    for k in range(2400):
+        each = rng.sample(plain, 20)
+        if k % 2:
+            insults[k] = "grumpf" if k % 10 != 1 else rare[k // 10 % 4]
+            each[rng.randrange(20)] = insults[k]
+        rows.append((k, " ".join(each)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    got = {r.row.doc_id: r.score >= 0.5 for r in toxicity.scored(docs, toxicity.train(docs, labels)).collect()}
+    assert sum(got[k] for k in got if k not in insults) <= 12
+    for insult in ["grumpf", *rare]:
+        found = [got[k] for k, own in insults.items() if own == insult]
+        assert sum(found) >= 0.95 * len(found), insult
+
+
 def test_given_rules_and_mined_ones(spark):
     urls = ["http://A.net/x", "https://example.net/en/1", "http://b.example.com/de/2?x", "http://www.site.org/fr/", "net/", None, "", "http://net", "http://x.com/a#://net/"]
     rows = [(k, u) for k, u in enumerate(urls)]

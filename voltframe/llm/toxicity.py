@@ -18,6 +18,7 @@ of toxic ones among them (0 if there are none). Repeated labels of one id count
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from itertools import combinations
 
@@ -37,10 +38,9 @@ WINDOW, STEP = 16, 8
 SYMBOLS = 64
 START, END, SIGN = 62, 63, 61
 PENALTY = 10.0
-# A character run counts as a sign of toxic texts from this log-odds ratio, and from this ratio times its toxic texts, on
-LEAST_ODDS, LEAST_EVIDENCE = 3.0, 8.0
-# ... and from this share of the strongest sign's evidence on.
-LEAST_SHARE = 0.1
+# A character run counts as a sign of toxic texts from this log-odds ratio on, if so many toxic ones among its texts are
+# chance with at most this probability, for any of all runs together; how strong other signs are does not matter.
+LEAST_ODDS, CHANCE = 3.0, 0.01
 # Distinct segments whose scores a task keeps at a time.
 KEPT_SEGMENTS = 300_000
 EDGES = "\"'`.,;:!?()[]{}<>|/\\*_-+=~#$%&@^"
@@ -255,8 +255,13 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
     return written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "sample")
 
 
-def _associated(train: DataFrame, count: int) -> dict[str, float]:
-    """Character runs (whole segments, and five long, marks at the ends included) that tell toxic texts, with the strength of the evidence."""
+def _associated(train: DataFrame) -> dict[str, float]:
+    """Character runs (whole segments, and five long, marks at the ends included) that tell toxic texts, with the strength of the evidence.
+
+    Equal texts of one label count once. The chance of so many toxic texts is bounded by Chernoff's exp(-n KL(share,
+    toxic share of all)), and multiplied by the number of runs that are tested.
+    """
+    train = written(train.distinct(), "distinct-texts")
     totals = {row["toxic"]: row["count"] for row in train.groupBy("toxic").count().collect()}
 
     def counted(parts: Batches) -> Batches:
@@ -279,12 +284,14 @@ def _associated(train: DataFrame, count: int) -> dict[str, float]:
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"),
     )
+    each = written(each, "runs")
     odds = F.log(((F.col("bad") + 0.5) / (totals[1] + 1)) / ((F.col("good") + 0.5) / (totals[0] + 1)))
-    top = each.filter("bad > 2").withColumn("odds", odds).filter(F.col("odds") > LEAST_ODDS)
-    top = top.withColumn("evidence", F.col("bad") * F.col("odds")).orderBy(F.desc("evidence"), "run").limit(count)
-    rows = top.collect()
-    least = max(LEAST_EVIDENCE, LEAST_SHARE * rows[0]["evidence"]) if rows else 0
-    return {row["run"]: row["evidence"] for row in rows if row["evidence"] > least}
+    whole, part = F.col("bad") + F.col("good"), totals[1] / (totals[0] + totals[1])
+    clean = F.when(F.col("good") > 0, F.col("good") * F.log(F.col("good") / whole / (1 - part))).otherwise(0.0)
+    surprise = F.col("bad") * F.log(F.col("bad") / whole / part) + clean
+    sure = surprise > F.lit(math.log(max(1, each.count()) / CHANCE))
+    top = each.filter("bad > 0").withColumn("odds", odds).filter((F.col("odds") > LEAST_ODDS) & sure)
+    return {row["run"]: row["bad"] * row["odds"] for row in top.orderBy("run").collect()}
 
 
 def _runs(segment: str) -> set[str]:
@@ -323,7 +330,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TEXTS_PER_LABEL)
     """A machine, or the share of toxic texts where only one label occurs."""
     chosen = sample(docs, labels, per_label)
     sizes = {row["toxic"]: row["count"] for row in chosen.groupBy("toxic").count().collect()}
-    evidence = _associated(chosen, 600) if len(sizes) == 2 else {}
+    evidence = _associated(chosen) if len(sizes) == 2 else {}
     if not evidence:
         return min(0.49, float(_marks(labels).agg(F.avg("toxic")).first()[0] or 0.0))
 
