@@ -231,6 +231,16 @@ def test_main_text(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_keys_beyond_those_sent_are_looked_up(spark, monkeypatch):
+    body = "".join(f"<p>some words {k}</p>" for k in range(10))
+    page = f"<html><body><article>{body}</article><div class=zz9>junk after the text</div></body></html>"
+    pages = spark.createDataFrame([(k, "u", page) for k in range(30)] + [(99, "u", None)], "page_id long, url string, html string")
+    monkeypatch.setattr(html_text, "MOST_KEYS", 1)
+    got = {r.row.page_id: r.text for r in html_text.extract(pages, html_text.learn(pages)).collect()}
+    want = "\n\n".join(f"some words {k}" for k in range(10))
+    assert got == {**{k: want for k in range(30)}, 99: ""}
+
+
 def test_best_region_is_the_greatest_sum():
     rng = random.Random(3)
     for _ in range(50):

@@ -8,7 +8,8 @@ styles, comments and other unseen elements never are text.
 
 Weights are learned from labelled pages: those that mark their text themselves, with exactly one article (or main)
 element. They are shares of word and tag counts over all such pages; keys not seen in training fall back on the
-names below. At most `MOST_KEYS` keys, those seen most often, are sent to the tasks.
+names below. The `MOST_KEYS` keys seen most often are sent to the tasks; where more are learned, the other keys of a page
+are joined with the table of all keys.
 
 Defined results: null and empty pages have empty text; white space in a block becomes one space; blocks are joined
 by an empty line; character references are decoded, also without a semicolon where HTML allows that; a page cut
@@ -19,14 +20,15 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import ChainMap, Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.llm.common import Batches, appended, packed, texts
+from voltframe.session import written
 
 MOST_KEYS = 5000
 LEAST_SEEN = 20
@@ -120,7 +122,10 @@ class Page:
                 self.holders.append(held)
                 self.inside.append(any(tag in ARTICLE for tag, _ in stack))
 
-    def text(self, weights: dict[str, float]) -> str:
+    def keys(self) -> set[str]:
+        return {key for held in self.holders for key in held} | {f"<{tag}" for _, words, tag in self.items if not words}
+
+    def text(self, weights: Mapping[str, float]) -> str:
         good = [all(_word(weights, key) > 0 for key in held) for held in self.holders]
         # What is left out of an article doesn't part it.
         value = [1 if fine else 0 if inside else -1 for fine, inside in zip(good, self.inside)]
@@ -131,7 +136,7 @@ class Page:
         return "\n\n".join(block for block in joined if block)
 
 
-def _word(weights: dict[str, float], key: str) -> float:
+def _word(weights: Mapping[str, float], key: str) -> float:
     return weights[key] if key in weights else -1.0 if _named_furniture(key) else 1.0
 
 
@@ -147,7 +152,18 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return found
 
 
-def learn(pages: DataFrame, payload: str = "html") -> dict[str, float]:
+class Weights(dict):
+    """The weights of the keys seen most often, and the table (key, good, n) of all if there are more."""
+
+    table: DataFrame | None = None
+
+
+def _weight(key: str, good: int, n: int) -> float:
+    part = good / n
+    return -0.02 - (1 - part) if key[0] == "<" else 2 * part - 1 or -0.01
+
+
+def learn(pages: DataFrame, payload: str = "html") -> Weights:
     """Weights of containers' words and of tags from pages that mark exactly one article.
 
     A container's words weigh the share inside the article less the share outside; it is the container itself, so
@@ -169,9 +185,12 @@ def learn(pages: DataFrame, payload: str = "html") -> dict[str, float]:
     each = pages.select(F.col(payload).alias("html")).mapInArrow(count, "key string, inside boolean, n long").groupBy("key").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("good"), F.sum("n").alias("n")
     )
-    rows = each.filter(F.col("n") >= LEAST_SEEN).orderBy(F.desc("n"), "key").limit(MOST_KEYS).collect()
-    share = {row["key"]: row["good"] / row["n"] for row in rows}
-    return {key: -0.02 - (1 - part) if key[0] == "<" else 2 * part - 1 or -0.01 for key, part in share.items()}
+    known = written(each.filter(F.col("n") >= LEAST_SEEN), "keys")
+    rows = known.orderBy(F.desc("n"), "key").limit(MOST_KEYS + 1).collect()
+    weights = Weights({row["key"]: _weight(*row) for row in rows[:MOST_KEYS]})
+    if len(rows) > MOST_KEYS:
+        weights.table = known
+    return weights
 
 
 def _count(page: str, seen: Counter) -> None:
@@ -207,10 +226,38 @@ def _count(page: str, seen: Counter) -> None:
 
 def extract(pages: DataFrame, weights: dict[str, float], payload: str = "html") -> DataFrame:
     """`row` (the page's own columns), text and n_chars."""
-    shared = pages.sparkSession.sparkContext.broadcast(weights)
+    shared = pages.sparkSession.sparkContext.broadcast(dict(weights))
+    whole = packed(pages, html=payload)
+    table = getattr(weights, "table", None)
+    if table is not None:
+        whole = _with_rest(whole, shared, table)
 
     def main(part: pa.RecordBatch) -> list[pa.Array]:
-        found = [Page(content.decode("utf-8", "replace")).text(shared.value) for content in texts(part, "html")]
+        rest = part.column("rest").to_pylist() if "rest" in part.schema.names else [None] * part.num_rows
+        found = []
+        for content, more in zip(texts(part, "html"), rest):
+            own = {r["key"]: _weight(r["key"], r["good"], r["n"]) for r in more or ()}
+            found.append(Page(content.decode("utf-8", "replace")).text(ChainMap(own, shared.value) if own else shared.value))
         return [pa.array(found, pa.string()), pa.array([len(f) for f in found], pa.int64())]
 
-    return appended(packed(pages, html=payload), main, "text string, n_chars long").drop("html")
+    return appended(whole, main, "text string, n_chars long").drop("html", "digest", "rest")
+
+
+def _with_rest(whole: DataFrame, shared, table: DataFrame) -> DataFrame:
+    """`whole` with digest and rest, the learned keys of the page that were not sent; equal pages are looked up once."""
+    content = F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary"))
+    whole = whole.withColumn("digest", F.sha2(content, 256))
+
+    def other(parts: Batches) -> Batches:
+        for part in parts:
+            pairs = [
+                (digest, key)
+                for digest, content in zip(part.column("digest").to_pylist(), texts(part, "html"))
+                for key in Page(content.decode("utf-8", "replace")).keys()
+                if key not in shared.value
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1)], ["digest", "key"])
+
+    found = whole.select("digest", "html").mapInArrow(other, "digest string, key string").distinct()
+    rest = found.join(table, "key").groupBy("digest").agg(F.collect_list(F.struct("key", "good", "n")).alias("rest"))
+    return whole.join(written(rest, "rest"), "digest", "left")
