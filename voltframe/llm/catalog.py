@@ -8,7 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voltframe.llm import decontaminate, exact_dedup, html_text, lattice_lm, near_dedup, packing, sharding, toxicity, url_rules, warc
+from voltframe.llm import (
+    decontaminate,
+    exact_dedup,
+    html_text,
+    lattice_lm,
+    near_dedup,
+    packing,
+    sharding,
+    toxicity,
+    url_rules,
+    warc,
+    whitening,
+)
 from voltframe.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
@@ -195,3 +207,9 @@ def op6_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
     scored = lattice_lm.scored(docs, ~F.col("held_out"))
     return scored.select("row.doc_id", "row.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.components(table(spark, sf_dir, "embeddings"), "embedding")
+    return found.select("row.vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
