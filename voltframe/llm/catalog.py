@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from voltframe.llm import (
+    byte_bpe,
     decontaminate,
     exact_dedup,
     html_text,
@@ -213,3 +214,14 @@ def op6_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.components(table(spark, sf_dir, "embeddings"), "embedding")
     return found.select("row.vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return byte_bpe.decode(encoded).select(
+        "row.row.doc_id",
+        F.size("row.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("row.ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
