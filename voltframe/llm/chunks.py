@@ -18,7 +18,7 @@ PART = re.compile(r"\s*\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*)?|\s+")
 # Bytes of text that a task works on at a time; a longer text is worked on alone.
 SLICE_BYTES = 4 << 20
 # Parts up to so many characters are kept, and so many of them.
-KEPT_LENGTH, KEPT_PARTS = 48, 250_000
+KEPT_LENGTH, KEPT_PARTS = 48, 400_000
 
 
 def parts(text: str) -> list[str]:
@@ -27,12 +27,17 @@ def parts(text: str) -> list[str]:
 
 def slices(batch: pa.RecordBatch, name: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most `limit` bytes of the named text column, or of one row."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_pylist()
+    for start, stop in spans(batch.column(name), limit):
+        yield batch.slice(start, stop - start)
+
+
+def spans(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     start, held = 0, 0
     for at, size in enumerate(sizes):
         if at > start and held + size > limit:
-            yield batch.slice(start, at - start)
+            yield start, at
             start, held = at, 0
         held += size
-    if batch.num_rows > start:
-        yield batch.slice(start)
+    if len(sizes) > start:
+        yield start, len(sizes)

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import Batches, appended, packed, remainder, texts
+from voltframe.llm.chunks import spans
+from voltframe.llm.common import Batches, appended, remainder, texts
 from voltframe.session import written
 
 TEXTS_PER_LABEL = 1500
@@ -42,7 +43,7 @@ PENALTY = 10.0
 # chance with at most this probability, for any of all runs together; how strong other signs are does not matter.
 LEAST_ODDS, CHANCE = 3.0, 0.01
 # Distinct segments whose scores a task keeps at a time.
-KEPT_SEGMENTS = 300_000
+KEPT_SEGMENTS = 200_000
 EDGES = "\"'`.,;:!?()[]{}<>|/\\*_-+=~#$%&@^"
 
 
@@ -369,25 +370,33 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TEXTS_PER_LABEL)
 
 
 def scored(docs: DataFrame, machine: Machine | float, text: str = "text") -> DataFrame:
-    """`row` (the document's own columns) and score."""
-    whole = packed(docs, text=text)
+    """`row` (the document's own columns) and score.
+
+    A text travels once, inside its row, and a task holds the segments of some megabytes of text at a time.
+    """
+    whole = docs.select(F.struct(*[f"`{name}`" for name in docs.columns]).alias("row"))
     if not isinstance(machine, Machine):
         return whole.select("row", F.lit(float(machine)).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared, number = docs.sparkSession.sparkContext.broadcast(machine), docs.columns.index(text)
     kept: dict[str, float] = {}
 
     def score(part: pa.RecordBatch) -> list[pa.Array]:
-        own = shared.value
-        each = [segments(content.decode("utf-8", "replace")) for content in texts(part, "text")]
-        new = list({s for found in each for s in found if s not in kept})
-        if len(kept) + len(new) > KEPT_SEGMENTS:
-            kept.clear()
-            new = list({s for found in each for s in found})
-        kept.update(zip(new, own.decide(new).tolist()))
-        worst = np.array([max(map(kept.__getitem__, found), default=-1.0) for found in each])
-        return [pa.array(own.score(worst), pa.float64())]
-
-    return appended(whole, score, "score double").drop("text")
+        column = part.column("row").field(number).cast(pa.binary())
+        worst = [_worst(column.slice(start, stop - start).to_pylist(), shared.value, kept) for start, stop in spans(column)]
+        return [pa.array(shared.value.score(np.concatenate(worst)), pa.float64())]
+
+    return appended(whole, score, "score double")
+
+
+def _worst(contents: list[bytes | None], machine: Machine, kept: dict[str, float]) -> np.ndarray:
+    """The decision on the worst segment of each text; what segments get is kept for the next ones."""
+    each = [segments((content or b"").decode("utf-8", "replace")) for content in contents]
+    new = list({s for found in each for s in found if s not in kept})
+    if len(kept) + len(new) > KEPT_SEGMENTS:
+        kept.clear()
+        new = list({s for found in each for s in found})
+    kept.update(zip(new, machine.decide(new).tolist()))
+    return np.array([max(map(kept.__getitem__, found), default=-1.0) for found in each])
 
 
 def clean(docs: DataFrame, machine: Machine | float, text: str = "text") -> DataFrame:
