@@ -41,6 +41,8 @@ MATCH = regex.compile(public_tokenizers.PATTERN)
 # Pairs of tokens whose compatibility a task keeps.
 KEPT_PAIRS = 1_000_000
 NONE = -1
+# Bits of an id.
+BITS = 24
 
 
 class Vocabulary:
@@ -51,13 +53,15 @@ class Vocabulary:
         self.bytes = {number: token for token, number in ranks.items()}
         self.widest = max(map(len, ranks))
         self.late = max(self.bytes) + 1
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        # Whether two tokens stay apart, by both ids in one number.
+        self.apart: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         for token, number in ranks.items():
-            # One character a byte, as the automaton takes texts.
-            self.automaton.add_word(token.decode("latin-1"), (number, len(token)))
+            # Tokens that no merge makes only stand for whole matches. One character a byte, as the automaton takes texts.
+            if self.made(number):
+                self.automaton.add_word(token.decode("latin-1"), (number, len(token)))
         self.automaton.make_automaton()
-        self.halves: dict[int, tuple[int, int] | None] = {}
-        self.apart: dict[tuple[int, int], bool] = {}
 
     def merged(self, content: bytes, before: int) -> list[bytes]:
         """What merges of a rank under `before` make of the bytes, lowest rank and then leftmost first."""
@@ -81,13 +85,28 @@ class Vocabulary:
 
     def stand(self, left: int, right: int) -> bool:
         """True if the bytes of both tokens together are encoded as these two."""
-        found = self.apart.get((left, right))
-        if found is None:
-            if len(self.apart) >= KEPT_PAIRS:
-                self.apart.clear()
-            found = self.apart[left, right] = self._stand(left, right)
+        if len(self.apart) >= KEPT_PAIRS:
+            self.apart.clear()
+        found = self.apart[left << BITS | right] = self._stand(left, right)
         return found
 
+    def lasts(self, content: bytes) -> list[int]:
+        """The last token of every prefix, from one byte on."""
+        apart, last = self.apart, [NONE] * len(content)
+        for place, (token, size) in self.automaton.iter(content.decode("latin-1")):
+            # One token is the right one, so the others needn't be looked at.
+            if last[place] == NONE:
+                before = place - size
+                if before < 0:
+                    last[place] = token
+                else:
+                    found = apart.get(last[before] << BITS | token)
+                    if found or (found is None and self.stand(last[before], token)):
+                        last[place] = token
+        if NONE in last:
+            raise ValueError("the vocabulary does not hold every byte")
+        return last
+
     def _stand(self, left: int, right: int) -> bool:
         # `soon` is the first rank that is too late for a merge across the border to take place at this stage.
         soon = self.late
@@ -110,16 +129,14 @@ class Prefixes:
     """The last token of every prefix of some bytes, from one byte on."""
 
     def __init__(self, vocabulary: Vocabulary, content: bytes = b"") -> None:
-        self.vocabulary, self.content, self.last = vocabulary, b"", []
-        self.append(content)
+        self.vocabulary, self.content, self.last = vocabulary, content, vocabulary.lasts(content)
 
     def _further(self, stop_early=None) -> None:
         """Fill in `last` from its end to the end of the content; `stop_early(end)` may end it before."""
         own, last = self.vocabulary, self.last
+        # Tokens that end behind what is known begin here at the earliest.
         base = max(0, len(last) - own.widest + 1)
-        known = len(last)
-        token_of = NONE
-        at = known
+        known, token_of, at = len(last), NONE, len(last)
         for place, (token, size) in own.automaton.iter(self.content[base:].decode("latin-1")):
             end = base + place + 1
             if end <= known:
@@ -127,21 +144,14 @@ class Prefixes:
             if end > at:
                 # A new position: the one before is complete.
                 if at > known:
-                    self._put(token_of)
+                    last.append(token_of)
                     if stop_early is not None and stop_early(len(last)):
                         return
                 at, token_of = end, NONE
-            if token_of == NONE and own.made(token):
-                start = end - size
-                if start == 0 or own.stand(last[start - 1], token):
-                    token_of = token
+            if token_of == NONE and (end == size or own.stand(last[end - size - 1], token)):
+                token_of = token
         if at > known:
-            self._put(token_of)
-
-    def _put(self, token: int) -> None:
-        if token == NONE:
-            raise ValueError("the vocabulary does not hold every byte")
-        self.last.append(token)
+            last.append(token_of)
 
     def append(self, content: bytes) -> None:
         self.content += content
@@ -227,24 +237,42 @@ def place(name: str) -> str:
 
 
 class Coder:
-    """Encodes texts, keeping the ids of short parts."""
+    """Encodes texts, keeping the ids of short parts and of short matches."""
 
     def __init__(self, own: Vocabulary) -> None:
-        self.own, self.kept = own, {}
+        self.own, self.parts, self.matches = own, {}, {}
 
     def __call__(self, text: str) -> list[int]:
-        kept, out = self.kept, []
+        kept, out = self.parts, []
         for part in chunks.parts(text):
             found = kept.get(part)
             if found is None:
-                found = [token for match in MATCH.findall(part) for token in encoded_match(self.own, match)]
-                if len(part) <= chunks.KEPT_LENGTH:
-                    if len(kept) >= chunks.KEPT_PARTS:
-                        kept.clear()
-                    kept[part] = found
+                found = tuple([token for match in MATCH.findall(part) for token in self._match(match)])
+                _keep(kept, part, found)
             out += found
         return out
 
+    def _match(self, match: str) -> tuple[int, ...]:
+        found = self.matches.get(match)
+        if found is None:
+            found = tuple(encoded_match(self.own, match))
+            _keep(self.matches, match, found)
+        return found
+
+
+def _keep(kept: dict[str, tuple[int, ...]], text: str, ids: tuple[int, ...]) -> None:
+    # Tuples, which the garbage collector soon leaves alone.
+    if len(text) <= chunks.KEPT_LENGTH:
+        if len(kept) >= chunks.KEPT_PARTS:
+            kept.clear()
+        kept[text] = ids
+
+
+@functools.lru_cache(maxsize=4)
+def coder(path: str) -> Coder:
+    """One for all tasks of a worker, so that a part is encoded once a worker while it is kept."""
+    return Coder(vocabulary(path))
+
 
 def encode(docs: DataFrame, text: str = "text", tokenizer: str = VOCABULARY) -> DataFrame:
     """`row` (the document's own columns without the text) and `ids`, the text's tokens."""
@@ -252,7 +280,7 @@ def encode(docs: DataFrame, text: str = "text", tokenizer: str = VOCABULARY) ->
     whole = docs.select(F.col(text).alias("text"), F.struct(*[f"`{name}`" for name in rest or [text]]).alias("row"))
 
     def each(batches: Batches) -> Batches:
-        code = Coder(vocabulary(place(tokenizer)))
+        code = coder(place(tokenizer))
         for batch in batches:
             for part in chunks.slices(batch, "text"):
                 ids, ends = [], [0]
