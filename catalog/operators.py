@@ -207,7 +207,7 @@ def _(supplier: DataFrame) -> DataFrame:
         (level, "BaseVoltage.nominalVoltage", "'420'"),
         (level, "BaseVoltage.nominalVoltage", "CASE WHEN s_suppkey % 2 = 0 THEN '132.0' END"),
     )
-    grid_model = GridModel.from_quads(quads, several=["IdentifiedObject.name", POINT_OF_SITE, "BaseVoltage.nominalVoltage"])
+    grid_model = GridModel.from_quads(quads)
     voltage = grid_model["base_voltage"].select(F.expr("'ss-' || substring(id, 4)").alias("id"), F.col("nominal_voltage").alias("voltage"))
     return grid_model["substation"].select("id", "name", F.col("delivery_point").alias("point")).join(voltage, "id")
 

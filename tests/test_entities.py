@@ -16,20 +16,27 @@ def store(spark, text):
 
 
 @pytest.mark.parametrize("materialize", [False, True])
-def test_several_values(spark, materialize):
+def test_several_values_are_rows_only_where_they_are_used(spark, tmp_path, materialize):
     both = store(spark, EQ).unionByName(store(spark, f'ss1 a Substation; {NAME} "Second"; {POINT} dp1; {POINT} dp2'))
-    strict = GridModel.from_quads(both, materialize=materialize)["substation"]
-    assert strict.select("id", "region").count() == 2
-    with pytest.raises(PySparkException, match="IdentifiedObject.name of ss1 has several values: North, Second"):
-        strict.select("id", "name").collect()
-    loose = GridModel.from_quads(both, materialize=materialize, several=[NAME, POINT])["substation"]
-    found = sorted((r.id, r.name, r.delivery_point) for r in loose.collect() if r.id == "ss1")
-    assert found == [("ss1", n, p) for n in ("North", "Second") for p in ("dp1", "dp2")]
-    assert loose.filter("id = 'ss2' AND delivery_point IS NULL").count() == 1
+    model = GridModel.from_quads(both, materialize=materialize)
+    for grid in (model, model.save(f"{tmp_path}/saved", ["substation"])):
+        view = grid["substation"]
+        assert view.select("id", "region").count() == 2
+        assert sorted((r.id, r.name) for r in view.select("id", "name").collect())[:2] == [("ss1", "North"), ("ss1", "Second")]
+        found = sorted((r.id, r.name, r.delivery_point) for r in view.collect() if r.id == "ss1")
+        assert found == [("ss1", n, p) for n in ("North", "Second") for p in ("dp1", "dp2")]
+        # A condition uses its columns too, and a row passes with the value that fulfils it.
+        assert [r.id for r in view.filter(f"delivery_point = 'dp2'").select("id").collect()] == ["ss1"]
+        assert view.filter("id = 'ss2' AND delivery_point IS NULL").count() == 1
     with pytest.raises(ValueError, match="no view"):
         GridModel.from_quads(both, several=["No.such"])
 
 
+def test_no_sort_in_the_plan_of_a_view(spark):
+    plan = GridModel.from_quads(store(spark, EQ))["substation"].select("id", "name")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Window" not in plan
+
+
 def test_bad_literals_fail_and_are_listed(spark):
     bad = store(spark, EQ.replace('ACLineSegment.r "1.5"', 'ACLineSegment.r "1,5"'))
     grid = GridModel.from_quads(bad)

@@ -9,6 +9,7 @@ from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from voltframe.sources.entities import (
     BUCKET_KEYS,
@@ -17,6 +18,7 @@ from voltframe.sources.entities import (
     STATE_VIEWS,
     VIEWS,
     EntityTable,
+    EntityView,
     edge_quads,
     local_name,
     view_quads,
@@ -25,6 +27,10 @@ from voltframe.sources.entities import (
 if TYPE_CHECKING:
     from voltframe.operators.validate import Schema
 
+def _stored(view: DataFrame | EntityView) -> DataFrame:
+    return view.stored() if isinstance(view, EntityView) else view
+
+
 ViewSource = DataFrame | Callable[[], DataFrame]
 Mapper = Callable[[DataFrame], DataFrame]
 CONCURRENT_WRITES = 8
@@ -152,7 +158,7 @@ class GridModel:
         views = {name: self[name] for name in chosen}
         # The jobs are independent; submitting a few at a time keeps the cluster busy at their tails.
         with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-            list(pool.map(lambda n: views[n].write.mode("overwrite").parquet(f"{folder}/{n}"), chosen))
+            list(pool.map(lambda n: _stored(views[n]).write.mode("overwrite").parquet(f"{folder}/{n}"), chosen))
         return GridModel.load(self[chosen[0]].sparkSession, folder, chosen, self.mappers)
 
     def save_buckets(
@@ -165,22 +171,24 @@ class GridModel:
         chosen = list(names or self.names())
         spark = self[chosen[0]].sparkSession
         for name in chosen:
-            view, key = self[name], BUCKET_KEYS.get(name, "id")
+            view, key = _stored(self[name]), BUCKET_KEYS.get(name, "id")
             writer = view.write.mode("overwrite").option("path", f"{folder}/{name}")
-            if key in view.columns:
+            if key in view.columns and not isinstance(view.schema[key].dataType, ArrayType):
                 writer = writer.bucketBy(buckets, key).sortBy(key)
             writer.saveAsTable(f"{prefix}{name}")
-        return GridModel({name: (lambda n=name: spark.table(f"{prefix}{n}")) for name in chosen}, self.mappers)
+        return GridModel({name: (lambda n=name: EntityView.loaded(n, spark.table(f"{prefix}{n}"))) for name in chosen}, self.mappers)
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str, names: Iterable[str], mappers: Iterable[Mapper] = ()) -> GridModel:
-        return cls({name: (lambda n=name: spark.read.parquet(f"{folder}/{n}")) for name in names}, mappers)
+        return cls({name: (lambda n=name: EntityView.loaded(n, spark.read.parquet(f"{folder}/{n}"))) for name in names}, mappers)
 
     def to_quads(self, graph: str, names: Iterable[str] | None = None) -> DataFrame:
         """The views as one quad table."""
         chosen = [n for n in (names or self.names()) if n in VIEWS or n in EDGES]
         tables = [(view_quads if n in VIEWS else edge_quads)(n, self[n], graph) for n in chosen]
-        return reduce(DataFrame.unionByName, tables)
+        # Rows that differ in one column only repeat the facts of the others.
+        each = [t.distinct() if isinstance(self[n], EntityView) else t for n, t in zip(chosen, tables)]
+        return reduce(DataFrame.unionByName, each)
 
     def register(self, prefix: str = "") -> None:
         """Expose the views to spark.sql for user-written queries."""

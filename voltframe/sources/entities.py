@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltframe.functions import bool_of, double_of, int_of
 from voltframe.session import written
@@ -517,27 +519,95 @@ def _parsed(kind: str, value: Column, prop: str, subject: Column) -> Column:
     return F.when(value.isNotNull() & typed.isNull(), F.raise_error(said)).otherwise(typed)
 
 
-def _only(found: Column, prop: str, subject: Column) -> Column:
-    """The value of a (value, other) pair; a second value fails, naming property and subject."""
-    said = F.concat(
-        F.lit(f"{prop} of "), subject, F.lit(" has several values: "), found["value"], F.lit(", "), found["other"],
-        F.lit("; name the property in `several` for a row of each"),
-    )
-    return F.when(found["other"].isNotNull(), F.raise_error(said)).otherwise(found["value"])
+def _values(prop: Column | str) -> Column:
+    """All values of a property among the facts of a subject."""
+    return F.transform(F.filter("facts", lambda f: f["property"] == prop), lambda f: f["value"])
 
 
 def _stored_name(prop: str) -> str:
     return prop.replace(".", "__")
 
 
+class EntityView:
+    """One row per subject whose columns may hold several values; it becomes rows when columns are chosen from it.
+
+    `rows` has an array for each column in `several`. Filters wait until `select` names the columns that are used;
+    then there is a row for every combination of the values of these, as in a join of the properties' quads, while
+    columns that nothing uses neither multiply rows nor are read. Any other use takes all columns.
+    """
+
+    def __init__(self, rows: DataFrame, kinds: dict[str, tuple[str, str]], several: frozenset[str], conditions: tuple = ()) -> None:
+        self._rows, self._kinds, self._several, self._conditions = rows, kinds, several, conditions
+
+    @property
+    def columns(self) -> list[str]:
+        return self._rows.columns
+
+    def filter(self, condition: Column | str) -> EntityView:
+        return EntityView(self._rows, self._kinds, self._several, (*self._conditions, condition))
+
+    where = filter
+
+    def select(self, *columns: Column | str) -> DataFrame:
+        plain = self._with_rows(())
+        probe = reduce(DataFrame.filter, self._conditions, plain).select(*columns)
+        return reduce(DataFrame.filter, self._conditions, self._with_rows(_used(probe, plain))).select(*columns)
+
+    def __getattr__(self, name: str):
+        # Everything else a DataFrame can do, over all columns.
+        if name.startswith("__"):
+            raise AttributeError(name)
+        return getattr(reduce(DataFrame.filter, self._conditions, self._with_rows(self._several)), name)
+
+    def __getitem__(self, column: str) -> Column:
+        return F.col(column)
+
+    def _with_rows(self, used: Iterable[str]) -> DataFrame:
+        """A row for each value of the used columns; of the others the first value stands for all."""
+        rows = self._rows
+        for column in sorted(self._several & set(used)):
+            rows = rows.withColumn(column, F.explode_outer(column))
+        rest = [F.get(F.col(c), F.lit(0)).alias(c) if c in self._several.difference(used) else F.col(c) for c in rows.columns]
+        rows = rows.select(*rest)
+        parsed = [_parsed(self._kinds[c][1], F.col(c), self._kinds[c][0], F.col("id")).alias(c) if c in self._kinds else F.col(c) for c in rows.columns]
+        return rows.select(*parsed)
+
+    def stored(self) -> DataFrame:
+        """What `save` writes: arrays of texts only where some subject has several values, else the typed value."""
+        sizes = [F.max(F.size(F.coalesce(c, F.array()))).alias(c) for c in sorted(self._several)]
+        found = self._rows.agg(*sizes).first() if sizes else {}
+        many = {c for c in self._several if (found[c] or 0) > 1}
+        one = EntityView(self._rows, {c: k for c, k in self._kinds.items() if c not in many}, self._several - many, self._conditions)
+        return reduce(DataFrame.filter, self._conditions, one._with_rows(self._several - many))
+
+    @staticmethod
+    def loaded(name: str, rows: DataFrame) -> DataFrame | EntityView:
+        """A stored view: as it is where every column has one value."""
+        many = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.ArrayType) and f.name != "types"}
+        if not many or name not in VIEWS:
+            return rows
+        return EntityView(rows, {c: k for c, k in VIEWS[name].columns.items() if c in many}, frozenset(many))
+
+
+def _used(probe: DataFrame, plain: DataFrame) -> set[str]:
+    """Columns of `plain` that the operators of `probe` above it refer to."""
+    node, end = probe._jdf.queryExecution().analyzed(), plain._jdf.queryExecution().analyzed()
+    names: set[str] = set()
+    while not node.fastEquals(end):
+        references = node.references().iterator()
+        while references.hasNext():
+            names.add(references.next().name())
+        node = node.children().head()
+    return names
+
+
 @dataclass
 class EntityTable:
-    """One row per subject: class names and its properties.
+    """One row per subject: class names and its properties, each with all its different values.
 
-    A property has one value per subject, or the report that uses it fails; those named in `several` give a row
-    for every value. A view groups the quads of its own properties only. With `materialize` the rows are written
-    once, a folder per combination of classes and a column per property, and a view reads only the folders that
-    can hold its subjects.
+    A view groups the quads of its own properties only. With `materialize` the rows are written once, a folder per
+    combination of classes and a column per property (further values in a map beside them), and a view reads only
+    the folders that can hold its subjects. Properties that never have several values there are read as they are.
     """
 
     quads: DataFrame
@@ -545,6 +615,7 @@ class EntityTable:
     several: tuple[str, ...] = ()
     stored: DataFrame | None = field(init=False, default=None)
     kinds: dict[str, set[str]] = field(init=False, default_factory=dict)
+    repeated: set[str] = field(init=False, default_factory=set)
 
     def __post_init__(self) -> None:
         unknown = set(self.several) - set(PROPERTIES)
@@ -552,65 +623,67 @@ class EntityTable:
             raise ValueError(f"no view has the properties {sorted(unknown)}")
         if self.materialize:
             joined = F.concat(F.lit("is-"), F.array_join("types", "+"))
-            columns = [F.col("properties")[prop].alias(_stored_name(prop)) for prop in PROPERTIES]
-            rows = self._grouped(PROPERTIES).select("subject", "types", *columns, joined.alias("kind"))
+            columns = [F.get(_values(prop), F.lit(0)).alias(_stored_name(prop)) for prop in PROPERTIES]
+            # Properties with more than one value, whole; mostly none.
+            names = F.array_distinct(F.transform("facts", lambda f: f["property"]))
+            more = F.filter(F.transform(names, lambda n: F.struct(n.alias("property"), _values(n).alias("value"))), lambda f: F.size(f["value"]) > 1)
+            further = F.when(F.size(more) > 0, F.map_from_entries(more))
+            rows = self._grouped(PROPERTIES).select("subject", "types", *columns, further.alias("further"), joined.alias("kind"))
             self.stored = written(rows.hint("rebalance", "kind"), "entities", partition_by="kind")
             present = [F.max(F.col(_stored_name(prop)).isNotNull()).alias(prop) for prop in ANCHORS]
-            found = self.stored.groupBy("kind").agg(*present).limit(MAX_KINDS + 1).collect()
+            again = F.array_distinct(F.flatten(F.collect_set(F.map_keys("further")))).alias("again")
+            found = self.stored.groupBy("kind").agg(*present, again).limit(MAX_KINDS + 1).collect()
             if len(found) > MAX_KINDS:
                 raise ValueError(f"more than {MAX_KINDS} combinations of classes")
             self.kinds = {row.kind: {prop for prop in ANCHORS if row[prop]} for row in found}
+            self.repeated = {prop for row in found for prop in row.again}
 
     def _grouped(self, properties: Iterable[str]) -> DataFrame:
-        """subject, types, and a map of the given properties; the filter prunes quads stored by predicate."""
+        """subject, types, and the different facts (property, value); the filter prunes quads stored by predicate."""
         prop = local_name(F.col("predicate"))
         named = self.quads.filter(prop.isin(TYPE_PROPERTY, *properties)).withColumn("property", prop)
-        kind = F.when(F.col("property") == TYPE_PROPERTY, local_name(F.col("object")))
-        # Copies of a value collapse before the exchange, so a hot subject never lands in one task as a whole;
-        # what is collected per subject afterwards is bounded by the vocabulary.
-        values = named.groupBy("subject", "property", kind.alias("type")).agg(F.min("object").alias("value"), F.max("object").alias("last"))
-        other = F.when(F.col("last") != F.col("value"), F.col("last"))
-        entry = F.when(F.col("type").isNull(), F.struct("property", F.struct("value", other.alias("other"))))
-        return values.groupBy("subject").agg(
-            F.map_from_entries(F.collect_list(entry)).alias("properties"),
-            F.array_sort(F.collect_set("type")).alias("types"),
+        value = F.when(F.col("property") == TYPE_PROPERTY, local_name(F.col("object"))).otherwise(F.col("object"))
+        # Copies of a value collapse before the exchange, in a hash aggregate that has keys only, so a hot subject
+        # never lands in one task as a whole; what is collected per subject afterwards is its different facts.
+        facts = named.select("subject", "property", value.alias("value")).distinct()
+        typed = F.col("property") == TYPE_PROPERTY
+        return facts.groupBy("subject").agg(
+            F.collect_list(F.when(~typed, F.struct("property", "value"))).alias("facts"),
+            F.array_sort(F.collect_list(F.when(typed, F.col("value")))).alias("types"),
         )
 
     def _candidates(self, spec: View, properties: list[str], anchors: list[str]) -> tuple[DataFrame, Callable[[str], Column]]:
-        """Rows that can belong to a view, and how to get a property of them."""
+        """Rows that can belong to a view, and how to get a property of them: an array where it may have several values."""
         if self.stored is None:
-            return self._grouped(properties), lambda prop: F.col("properties")[prop]
+            return self._grouped(properties), _values
         chosen = [
             kind
             for kind, present in self.kinds.items()
             if set(kind.removeprefix("is-").split("+")) & set(spec.classes) or present & set(anchors)
         ]
-        return self.stored.filter(F.col("kind").isin(*chosen)), lambda prop: F.col(_stored_name(prop))
 
-    def view(self, name: str) -> DataFrame:
+        def found(prop: str) -> Column:
+            one = F.col(_stored_name(prop))
+            return F.coalesce(F.col("further")[prop], F.array(one)) if prop in self.repeated else one
+
+        return self.stored.filter(F.col("kind").isin(*chosen)), found
+
+    def view(self, name: str) -> EntityView:
         spec = VIEWS[name]
         used = {c: (prop, kind) for c, (prop, kind) in spec.columns.items() if prop not in MANY_VALUED}
         anchors = [spec.columns[anchor][0] for anchor in spec.anchors]
         rows, found = self._candidates(spec, sorted({prop for prop, _ in used.values()}), anchors)
+        several = {c for c, (prop, _) in used.items() if self.stored is None or prop in self.repeated}
         belongs = F.lit(False)
         if spec.classes:
             belongs = belongs | F.arrays_overlap("types", F.array(*map(F.lit, spec.classes)))
-        for prop in anchors:
-            belongs = belongs | found(prop).isNotNull()
-        rows = rows.filter(belongs)
-        subject = F.col("subject")
-        single = {c: (prop, kind) for c, (prop, kind) in used.items() if prop not in self.several}
+        for anchor in spec.anchors:
+            value = found(spec.columns[anchor][0])
+            belongs = belongs | (F.get(value, F.lit(0)) if anchor in several else value).isNotNull()
         unset = [CASTS[kind](F.lit(None).cast("string")).alias(c) for c, (_, kind) in spec.columns.items() if c not in used]
-        # Step by step, so that a look-up is not repeated wherever its result is needed.
-        rows = rows.select(subject, "types", *[found(prop).alias(c) for c, (prop, _) in single.items()])
-        rows = rows.select(subject, "types", *[_only(F.col(c), prop, subject).alias(c) for c, (prop, _) in single.items()])
-        parsed = [_parsed(kind, F.col(c), prop, subject).alias(c) for c, (prop, kind) in single.items()]
-        rows = rows.select(subject, "types", *parsed, *unset)
-        for column, (prop, kind) in used.items():
-            if prop in self.several:
-                mine = self.quads.filter(local_name(F.col("predicate")) == prop).select("subject", F.col("object").alias(column)).distinct()
-                rows = rows.join(mine.withColumn(column, _parsed(kind, F.col(column), prop, subject)), "subject", "left")
-        return rows.select(subject.alias("id"), "types", *spec.columns)
+        values = [found(prop).alias(c) for c, (prop, _) in used.items()]
+        rows = rows.filter(belongs).select(F.col("subject").alias("id"), "types", *values, *unset).select("id", "types", *spec.columns)
+        return EntityView(rows, used, frozenset(several))
 
     def edge(self, name: str) -> DataFrame:
         spec = EDGES[name]
