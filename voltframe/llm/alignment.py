@@ -47,7 +47,7 @@ from voltframe.session import written
 
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Bytes of text whose records are sorted together, and bytes of runs that a task holds before it spills them.
-GROUP_BYTES, HELD_BYTES = 8 << 20, 64 << 20
+GROUP_BYTES, HELD_BYTES = 4 << 20, 64 << 20
 # Bytes of bodies, compressed, that one salted part of a partition has about.
 PART_BYTES = 16 << 20
 # Pairs that are decoded at a time from each run, and that leave together as one block of counts.

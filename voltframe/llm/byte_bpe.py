@@ -39,7 +39,7 @@ from voltframe.llm.common import Batches, packed, texts
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MATCH = regex.compile(public_tokenizers.PATTERN)
 # Pairs of tokens whose compatibility a task keeps.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 250_000
 NONE = -1
 # Bits of an id.
 BITS = 24
@@ -227,8 +227,14 @@ def encoded_match(vocabulary: Vocabulary, match: str) -> list[int]:
 
 @functools.lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary({token: rank for rank, token in token_bytes(path).items()})
+
+
+@functools.lru_cache(maxsize=4)
+def token_bytes(path: str) -> dict[int, bytes]:
+    """All that decoding needs."""
     with open(path, "rb") as file:
-        return Vocabulary({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)})
+        return {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, file)}
 
 
 def place(name: str) -> str:
@@ -298,7 +304,7 @@ def decode(rows: DataFrame, ids: str = "ids", tokenizer: str = VOCABULARY) -> Da
     whole = packed(rows, ids=ids)
 
     def each(batches: Batches) -> Batches:
-        token = vocabulary(place(tokenizer)).bytes.__getitem__
+        token = token_bytes(place(tokenizer)).__getitem__
         for part in batches:
             column = part.column("ids")
             numbers = column.flatten().to_pylist()

@@ -18,7 +18,7 @@ PART = re.compile(r"\s*\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*)?|\s+")
 # Bytes of text that a task works on at a time; a longer text is worked on alone.
 SLICE_BYTES = 4 << 20
 # Parts up to so many characters are kept, and so many of them.
-KEPT_LENGTH, KEPT_PARTS = 48, 400_000
+KEPT_LENGTH, KEPT_PARTS = 48, 150_000
 
 
 def parts(text: str) -> list[str]:
