@@ -212,6 +212,40 @@ def _(supplier: DataFrame) -> DataFrame:
     return grid_model["substation"].select("id", "name", F.col("delivery_point").alias("point")).join(voltage, "id")
 
 
+@table_query(
+    "adapted_reports",
+    "supplier",
+    """SELECT 'connections' AS report, 'sw-' || s_suppkey AS mrid, 'a-' || s_suppkey AS first, 'b-' || s_suppkey AS second, NULL::BOOLEAN AS enabled FROM supplier
+       UNION ALL
+       SELECT 'switches', 'sw-' || s_suppkey, 'n-' || s_suppkey % 7, 'n-' || s_suppkey % 5, flag
+       FROM supplier, LATERAL (SELECT unnest(CASE WHEN s_suppkey % 3 = 0 THEN [true, false] ELSE [true] END) AS flag)""",
+)
+def _(supplier: DataFrame) -> DataFrame:
+    """Switches, a third of them flagged as left out, after the enrichment flags them all as analysed.
+
+    Both flags then hold: a report that asks for the flag keeps each switch once, one that shows it has a row for each.
+    """
+    switch, a, b = "'sw-' || s_suppkey", "'a-' || s_suppkey", "'b-' || s_suppkey"
+    near, far = "'n-' || s_suppkey % 7", "'n-' || s_suppkey % 5"
+    facts = [
+        (switch, "type", "'Breaker'"), (switch, "IdentifiedObject.mRID", switch), (switch, "IdentifiedObject.name", "s_name"),
+        (switch, "Switch.normalOpen", "'false'"), (switch, "Equipment.networkAnalysisEnable", "CASE WHEN s_suppkey % 3 = 0 THEN 'false' END"),
+    ]
+    for end, node, nr in ((a, near, 1), (b, far, 2)):
+        facts += [
+            (end, "type", "'Terminal'"), (end, "IdentifiedObject.mRID", end), (end, "Terminal.ConductingEquipment", switch),
+            (end, "Terminal.ConnectivityNode", node), (end, "ACDCTerminal.sequenceNumber", f"'{nr}'"),
+            (node, "type", "'ConnectivityNode'"), (node, "IdentifiedObject.mRID", node),
+        ]
+    grid_model = GridModel.from_quads(enrich.adapt(_own_quads(supplier, *facts)), materialize=True)
+    none = F.lit(None).cast("boolean")
+    pairs = grid_model.connections().select(F.lit("connections").alias("report"), "mrid", F.col("t_mrid_1").alias("first"), F.col("t_mrid_2").alias("second"), none.alias("enabled"))
+    shown = grid_model.switches().select(
+        F.lit("switches").alias("report"), "mrid", F.col("connectivity_node_1").alias("first"), F.col("connectivity_node_2").alias("second"), F.col("network_enabled").alias("enabled")
+    )
+    return pairs.unionByName(shown)
+
+
 @table_query(
     "quads_rejected_literals",
     "part",

@@ -26,7 +26,7 @@ def test_several_values_are_rows_only_where_they_are_used(spark, tmp_path, mater
         found = sorted((r.id, r.name, r.delivery_point) for r in view.collect() if r.id == "ss1")
         assert found == [("ss1", n, p) for n in ("North", "Second") for p in ("dp1", "dp2")]
         # A condition uses its columns too, and a row passes with the value that fulfils it.
-        assert [r.id for r in view.filter(f"delivery_point = 'dp2'").select("id").collect()] == ["ss1"]
+        assert [r.id for r in view.filter("delivery_point = 'dp2'").select("id").collect()] == ["ss1"]
         assert view.filter("id = 'ss2' AND delivery_point IS NULL").count() == 1
     with pytest.raises(ValueError, match="no view"):
         GridModel.from_quads(both, several=["No.such"])
