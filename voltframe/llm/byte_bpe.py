@@ -34,12 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltframe.llm import chunks
-from voltframe.llm.common import Batches, packed, texts
+from voltframe.llm.common import Batches, texts
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MATCH = regex.compile(public_tokenizers.PATTERN)
 # Pairs of tokens whose compatibility a task keeps.
 KEPT_PAIRS = 250_000
+# Ids that a task decodes at a time, or one row's.
+DECODED_IDS = 500_000
 NONE = -1
 # Bits of an id.
 BITS = 24
@@ -301,15 +303,17 @@ def encode(docs: DataFrame, text: str = "text", tokenizer: str = VOCABULARY) ->
 
 def decode(rows: DataFrame, ids: str = "ids", tokenizer: str = VOCABULARY) -> DataFrame:
     """The columns of `rows` as a struct `row`, and `decoded`, the bytes of the ids."""
-    whole = packed(rows, ids=ids)
+    whole, number = rows.select(F.struct(*[f"`{name}`" for name in rows.columns]).alias("row")), rows.columns.index(ids)
 
     def each(batches: Batches) -> Batches:
         token = token_bytes(place(tokenizer)).__getitem__
-        for part in batches:
-            column = part.column("ids")
-            numbers = column.flatten().to_pylist()
-            ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(column), 0).to_pylist()]).tolist()
-            decoded = [b"".join(map(token, numbers[start:stop])) for start, stop in pairwise(ends)]
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(decoded, pa.binary())], ["row", "decoded"])
+        for batch in batches:
+            lengths = pc.fill_null(pc.list_value_length(batch.column("row").field(number)), 0)
+            for start, stop in chunks.runs(lengths.to_pylist(), DECODED_IDS):
+                part = batch.slice(start, stop - start)
+                numbers = part.column("row").field(number).flatten().to_pylist()
+                ends = np.cumsum([0, *lengths[start:stop].to_pylist()]).tolist()
+                decoded = [b"".join(map(token, numbers[begin:end])) for begin, end in pairwise(ends)]
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(decoded, pa.binary())], ["row", "decoded"])
 
     return whole.mapInArrow(each, T.StructType([whole.schema["row"], *T._parse_datatype_string("decoded binary").fields]))

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 # White space that does not begin with a blank stays inside a part.
 PART = re.compile(r"\s*\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*)?|\s+")
 # Bytes of text that a task works on at a time; a longer text is worked on alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # Parts up to so many characters are kept, and so many of them.
 KEPT_LENGTH, KEPT_PARTS = 48, 150_000
 
@@ -32,7 +32,11 @@ def slices(batch: pa.RecordBatch, name: str, limit: int = SLICE_BYTES) -> Iterat
 
 
 def spans(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    return runs(pc.fill_null(pc.binary_length(column), 0).to_pylist(), limit)
+
+
+def runs(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Neighbours whose sizes add up to at most `limit`, or one alone."""
     start, held = 0, 0
     for at, size in enumerate(sizes):
         if at > start and held + size > limit:
