@@ -150,6 +150,30 @@ def test_boundaries_are_optimal():
         assert len(got) <= 3 and got[-1] == lengths[-1]
 
 
+def test_boundaries_over_long_lengths_are_the_optimum(spark):
+    rng = np.random.default_rng(5)
+    for scale in (50, 3_000, 2_000_000):
+        lengths = np.unique(rng.integers(1, scale, 300))
+        counts = rng.integers(1, 50, len(lengths))
+        got = packing.boundaries(lengths, counts, lengths * counts, 7)
+        before = np.concatenate([[0], np.cumsum(counts)])
+        least = [0] + [int(lengths[j - 1] * before[j]) for j in range(1, len(lengths) + 1)]
+        for _ in range(6):
+            least = [0] + [
+                min(int(least[i] + lengths[j - 1] * (before[j] - before[i])) for i in range(j)) for j in range(1, len(lengths) + 1)
+            ]
+        each = np.array(got)[np.searchsorted(got, lengths)]
+        assert int((each * counts).sum()) == least[-1] and len(got) <= 7 and got[-1] == lengths[-1]
+    # Through the whole query: lengths that differ by one beyond a thousand words are told apart.
+    sizes = [1500, 1500, 1501, 1503, 4000, 4001, 4001, 9000]
+    frame = spark.createDataFrame([(k, "w " * (n - 1)) for k, n in enumerate(sizes)], "doc_id long, text string")
+    for buckets in (1, 2, 3, 4, 6):
+        marks = {r.doc_id: r.bucket for r in packing.pack(frame, buckets=buckets).collect()}
+        inner = sorted(set(sizes))[:-1]
+        best = min(packing.padding(sizes, sorted({*c, 9000})) for r in range(buckets) for c in combinations(inner, r))
+        assert sum(marks[k] - n for k, n in enumerate(sizes)) == best
+
+
 def test_packed_batches_keep_every_row_within_the_budget(docs, none):
     rows = packing.pack(docs, batch_tokens=50).collect()
     assert len(rows) == docs.count()
@@ -361,6 +385,57 @@ def test_rules_are_mined_from_all_tokens(spark):
     assert len(got) > 2 and set(got) == set(url_rules.pruned(brute))
 
 
+def test_rules_of_labelled_urls_by_host_path_and_query(spark):
+    rows = [(f"http://shop{k % 7}.spam.biz/offer/{k}?aff=1", "block") for k in range(40)]
+    rows += [(f"http://www.school.org/course/{k}?page=2", "allow") for k in range(50)]
+    rows += [(f"http://www.mixed.com/{'casino/' if k % 4 else 'garden/'}{k}", "block" if k % 4 else "allow") for k in range(120)]
+    rows += [(f"http://www.mixed.com/casino/blog/{k}", "allow") for k in range(30)]
+    rows += [(None, "block"), ("no address", "block"), ("http://www.school.org/x", None)]
+    got = {(frozenset(own), label): sure for own, label, sure in url_rules.mine(spark.createDataFrame(rows, "url string, label string"))}
+    assert got[frozenset({"host spam.biz"}), "block"] == got[frozenset({"key aff"}), "block"] == 1.0
+    assert got[frozenset({"host school.org"}), "allow"] == 1.0
+    assert got[frozenset({"path garden"}), "allow"] == got[frozenset({"path blog"}), "allow"] == 1.0
+    # 90 of the 120 URLs about casinos are bad: not sure enough alone.
+    assert (frozenset({"path casino"}), "block") not in got
+    pages = spark.createDataFrame([(1, "http://x.spam.biz/"), (2, "http://y.de/blog/casino"), (3, "http://y.de/"), (4, None)], "page_id long, url string")
+    rules = [(own, label, sure) for (own, label), sure in got.items()]
+    assert {r.row.page_id: r.verdict for r in url_rules.judge(pages, rules).collect()} == {1: "block", 2: "allow", 3: "allow", 4: "allow"}
+    # Equally sure rules of one length: the later label wins, in any order of the rules.
+    tied = [(frozenset({"path a"}), "allow", 0.9), (frozenset({"path b"}), "block", 0.9)]
+    assert {url_rules.judged_by(url_rules.indexed(order), "http://z/a/b") for order in (tied, tied[::-1])} == {"block"}
+
+
+def test_url_rules_over_empty_tables_and_alike_tokens(spark):
+    empty = spark.createDataFrame([], "url string, label string")
+    assert url_rules.mine(empty) == []
+    assert url_rules.judge(spark.createDataFrame([], "page_id long, url string"), []).count() == 0
+    # Twenty words of exactly the same rows are mined as one, and all of them are rules.
+    words_ = "/".join(f"w{chr(97 + k)}" for k in range(20))
+    rows = [(f"http://a.net/{words_}/x", "block") for _ in range(200)] + [("http://a.net/y", "allow")] * 200
+    got = url_rules.mine(spark.createDataFrame(rows, "url string, label string"))
+    assert {own for own, label, _ in got if label == "block"} == {frozenset({f"path w{chr(97 + k)}"}) for k in range(20)} | {frozenset({"path x"})}
+
+
+def test_given_rules_over_whole_pages_equal_brute_force(spark):
+    from voltframe.llm import catalog
+
+    folder = "/root/testdata/sf0.01"
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url").collect()}
+    got = catalog.QUERIES["op10_url_rules"](spark, folder).collect()
+    assert sorted(r.page_id for r in got) == sorted(pages)
+    for r in got:
+        _, mark, rest = (pages[r.page_id] or "").partition("://")
+        place = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest)) if mark else 0
+        name, where = (rest[:place].lower(), rest[place:].split("#")[0].split("?")[0]) if mark else ("", "")
+        fitting = [
+            h + p for h, p in url_rules.GIVEN if ("." + name).endswith("." + h) and where.startswith(p)
+        ]
+        rule = max(fitting, key=len, default=None)
+        assert (r["host"], r["path"], r["rule"]) == (name, where, rule)
+        if rule:
+            assert r.verdict == {h + p: v for (h, p), v in url_rules.GIVEN.items()}[rule]
+
+
 def test_every_stage_of_the_pipeline(spark):
     import corpus_pipeline
 

@@ -26,9 +26,6 @@ from voltframe.session import written
 
 BUCKETS = 16
 BATCH_TOKENS = 65_536
-# Lengths up to here are told apart one by one, longer ones to one part in as many: some thousand cells, however
-# long the longest text is. A cell's boundary is the longest length in it.
-EXACT = 1024
 
 
 def tokens(text: str) -> Column:
@@ -36,15 +33,10 @@ def tokens(text: str) -> Column:
     return F.size(F.filter(gaps, lambda word: word != "")).cast("long") + 1
 
 
-def _cell(length: Column) -> Column:
-    step = F.greatest(F.lit(1).cast("long"), F.pow(2, F.floor(F.log2(length / EXACT)) + 1).cast("long"))
-    return F.when(length <= EXACT, length).otherwise(F.ceil(length / step) * step)
-
-
 def boundaries(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buckets: int = BUCKETS) -> list[int]:
     """Boundaries, ascending, that minimise the padding of `counts` sequences with `totals` tokens up to `lengths`.
 
-    best[k][j]: the least padded size of the first j cells in k buckets; the tokens themselves are constant.
+    best[j]: the least padded size of the first j lengths in the buckets so far; the tokens themselves are constant.
     """
     cells = len(lengths)
     if not cells:
@@ -54,13 +46,8 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buck
     best = np.concatenate([[0.0], padded * before[1:]])
     cuts = []
     for _ in range(1, min(buckets, cells)):
-        new, cut = best.copy(), np.zeros(cells + 1, np.int64)
-        for j in range(1, cells + 1):
-            cost = best[:j] + padded[j - 1] * (before[j] - before[:j])
-            cut[j] = int(np.argmin(cost))
-            new[j] = cost[cut[j]]
+        best, cut = _with_one_more(best, padded, before)
         cuts.append(cut)
-        best = new
     out, j = [], cells
     for cut in reversed(cuts):
         out.append(int(lengths[j - 1]))
@@ -72,6 +59,33 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buck
     return sorted(out)
 
 
+def _with_one_more(best: np.ndarray, padded: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least padded sizes with one more bucket, and where the last bucket starts.
+
+    A later end never wants an earlier start (the cost is Monge), so the best start of the middle end bounds those on
+    both sides of it. All middles of a level are taken at once, at twice the number of lengths at most.
+    """
+    cells = len(padded)
+    new, cut = best.copy(), np.zeros(cells + 1, np.int64)
+    ends, starts = np.array([[1, cells]]), np.array([[0, cells - 1]])
+    while len(ends):
+        middle = ends.sum(axis=1) // 2
+        sizes = np.minimum(starts[:, 1], middle - 1) - starts[:, 0] + 1
+        offsets = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(ends)), sizes)
+        start = np.arange(len(owner)) - (offsets - starts[:, 0])[owner]
+        cost = best[start] + padded[middle - 1][owner] * (before[middle][owner] - before[start])
+        least = np.minimum.reduceat(cost, offsets)
+        hits = np.flatnonzero(cost == least[owner])
+        chosen = start[hits[np.unique(owner[hits], return_index=True)[1]]]
+        new[middle], cut[middle] = least, chosen
+        ends = np.concatenate([np.stack([ends[:, 0], middle - 1], 1), np.stack([middle + 1, ends[:, 1]], 1)])
+        starts = np.concatenate([np.stack([starts[:, 0], chosen], 1), np.stack([chosen, starts[:, 1]], 1)])
+        open_ = ends[:, 0] <= ends[:, 1]
+        ends, starts = ends[open_], starts[open_]
+    return new, cut
+
+
 def pack(
     docs: DataFrame, id: str = "doc_id", text: str = "text", length: str | None = None,
     buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS,
@@ -79,12 +93,10 @@ def pack(
     """Per sequence: its id, n_tokens, bucket (the length it is padded to), batch (number within the bucket), slot."""
     size = F.greatest(F.lit(1), F.coalesce(F.col(length), F.lit(1))).cast("long") if length else tokens(text)
     sized = written(docs.select(F.col(id).alias("id"), size.alias("n_tokens")), "lengths")
-    # One row a cell; the number of cells has the bound given at EXACT.
-    cells = sized.groupBy(_cell(F.col("n_tokens")).alias("cell")).agg(
-        F.max("n_tokens").alias("length"), F.count("*").alias("n"), F.sum("n_tokens").alias("total")
-    )
-    rows = sorted(cells.collect(), key=lambda row: row["length"])
-    marks = boundaries(*(np.array([row[c] for row in rows], np.int64) for c in ("length", "n", "total")), buckets)
+    # All lengths, told apart one by one. As d different lengths have over d * d / 2 tokens together, there are at most
+    # some millions of them in 10 ** 13 tokens.
+    lengths = sized.groupBy("n_tokens").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("total")).orderBy("n_tokens").toArrow()
+    marks = boundaries(*(lengths.column(name).to_numpy() for name in ("n_tokens", "n", "total")), buckets)
     bucket = F.lit(None).cast("long")
     for mark in reversed(marks):
         bucket = F.when(F.col("n_tokens") <= mark, F.lit(mark).cast("long")).otherwise(bucket)
