@@ -176,7 +176,8 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 @query
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page is labelled as the document of its number is: bad where of low quality or toxic."""
+    """A page is labelled as the document of its number is: bad where of low quality or toxic. These labels say nothing
+    about the page itself, so rules need not be found; tests mine labelled URLs that have them."""
     pages = table(spark, sf_dir, "pages")
     bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)) == 1
     marks = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.when(bad, "block").otherwise("allow").alias("label"))

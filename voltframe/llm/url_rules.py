@@ -1,11 +1,13 @@
 """URL verdicts: given rules, else association rules mined from labelled URLs.
 
-A URL is a set of tokens: host labels and suffixes, words of the path and keys of the query. Of the labelled URLs
-those token sets are mined, level by level, that with a label reach the support below and are rarer than each of
-their subsets; a set as common as a subset of its own (a label beside its host suffix) says what that one says. Rules
-that conclude a label are kept if they reach the confidence and are surer than every kept rule they contain; these are
-the same rules that all frequent sets would give. Matching files each rule under its rarest token, so that a URL looks
-only at rules of its own tokens. The surest fitting rule decides; without one the verdict is allow.
+A URL is a set of tokens: host labels and suffixes, words of the path and keys of the query. Tokens under the support
+are in no rule and are left out before mining; tokens of exactly the same rows (a label beside its host suffix) are
+mined as one and told apart again in the rules; a token of all rows makes no longer rule surer and is judged alone.
+None of this loses a rule. FP-growth then mines the sets of tokens and label; a rule is a set with a label that
+reaches the confidence, and is kept if it is surer than every kept rule it contains. Sets and rules stay distributed
+until they are pruned. Matching files each rule under its rarest token, so that a URL looks only at rules of its own
+tokens. The surest fitting rule decides, of equals the longer one, then the later label; without one the verdict is
+allow.
 
 Given rules fit a host with all its subdomains and a prefix of the path; the longest one wins. Mining and
 matching look at all tokens of a URL.
@@ -19,10 +21,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from itertools import combinations
+from itertools import product
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.fpm import FPGrowth
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from voltframe.llm.common import Batches, appended, lowered, packed, texts
@@ -71,90 +74,78 @@ def _tokenised(df: DataFrame) -> DataFrame:
     return appended(df, lambda part: [pa.array([tokens(u.decode("utf-8", "replace")) for u in texts(part, "url")], pa.list_(pa.string()))], "tokens array<string>")
 
 
-def _counted(rows: DataFrame, sets: list[tuple[int, ...]]) -> dict[tuple[int, ...], dict[str, int]]:
-    """How many rows (items, label, n) of each label hold each of the sets; items and sets are sorted."""
-    tree: dict = {}
-    for number, each in enumerate(sets):
-        at = tree
-        for item in each[:-1]:
-            at = at.setdefault(item, {})
-        at[each[-1]] = number
-    shared = rows.sparkSession.sparkContext.broadcast(tree)
-
-    def count(parts: Batches) -> Batches:
-        seen: Counter = Counter()
-
-        def walk(at: dict, items: list[int], start: int, label: str, n: int) -> None:
-            for k in range(start, len(items)):
-                below = at.get(items[k])
-                if isinstance(below, dict):
-                    walk(below, items, k + 1, label, n)
-                elif below is not None:
-                    seen[below, label] += n
-
-        for part in parts:
-            for items, label, n in zip(*(part.column(name).to_pylist() for name in ("items", "label", "n"))):
-                walk(shared.value, items, 0, label, n)
-        keys = list(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())],
-            ["number", "label", "n"],
-        )
-
-    found: dict = defaultdict(dict)
-    for row in rows.mapInArrow(count, "number long, label string, n long").groupBy("number", "label").agg(F.sum("n").alias("n")).collect():
-        found[sets[row["number"]]][row["label"]] = row["n"]
-    return found
-
-
-def _joined(sets: set[tuple[int, ...]]) -> list[tuple[int, ...]]:
-    """The sets of one more item all of whose subsets are among the sets."""
-    ends = defaultdict(list)
-    for each in sorted(sets):
-        ends[each[:-1]].append(each[-1])
-    longer = ((*head, one, other) for head, last in ends.items() for one, other in combinations(last, 2))
-    return [each for each in longer if all(each[:k] + each[k + 1 :] in sets for k in range(len(each) - 2))]
-
-
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> list[tuple[frozenset, str, float]]:
     """Rules (tokens, label, confidence) from rows (url, label)."""
-    items = written(_tokenised(labelled.filter("label IS NOT NULL").select("url", "label")).select("tokens", "label"), "tokens")
+    tokenised = _tokenised(labelled.filter("label IS NOT NULL").select("url", "label")).select("tokens", "label")
+    items = written(tokenised.withColumn("place", F.monotonically_increasing_id()), "tokens")
     count = items.count()
     if count < LEAST_ROWS:
         return []
     least = max(LEAST_ROWS, math.ceil(support * count))
-    each = items.select(F.explode("tokens").alias("token"), "label").groupBy("token", "label").count()
-    often = each.groupBy("token").agg(F.max("count").alias("most"), F.collect_list(F.struct("label", "count")).alias("counts"))
-    rows = often.filter(F.col("most") >= least).orderBy("most", "token").collect()
-    names = [row["token"] for row in rows]
-    places = items.sparkSession.sparkContext.broadcast({name: k for k, name in enumerate(names)})
+    # Tokens with the same rows have the same fingerprint: their number and two 64-bit sums of row hashes.
+    each = items.select(F.explode("tokens").alias("token"), "label", "place").groupBy("token", "label").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("place")).alias("one"), F.bit_xor(F.xxhash64("place", F.lit(1))).alias("two")
+    )
+    often = each.groupBy("token").agg(
+        F.sum("n").alias("total"), F.max("n").alias("most"), F.bit_xor("one").alias("one"), F.bit_xor("two").alias("two"),
+        F.collect_list(F.struct("label", "n")).alias("labels"),
+    )
+    # At most the tokens of one mean URL divided by the support, however many URLs there are.
+    rows = often.filter(F.col("most") >= least).orderBy("token").collect()
+    alike = defaultdict(list)
+    for row in rows:
+        alike[row["total"], row["one"], row["two"]].append(row)
+    everywhere = [row for same in alike.values() for row in same if row["total"] == count]
+    rules = [
+        (frozenset([row["token"]]), each["label"], each["n"] / count)
+        for row in everywhere for each in row["labels"] if each["n"] >= least and each["n"] / count >= confidence
+    ]
+    classes = [[row["token"] for row in same] for (total, *_), same in alike.items() if total < count]
+    labels = sorted({each["label"] for row in rows for each in row["labels"]})
+    if classes:
+        found = _frequent(items, classes, labels, least, count, confidence)
+        for row in found:
+            members = product(*(classes[k] for k in row["own"]))
+            rules += [(frozenset(own), labels[-1 - row["label"]], row["sure"]) for own in members]
+    return pruned(rules)
+
+
+def _frequent(items: DataFrame, classes: list[list[str]], labels: list[str], least: int, count: int, confidence: float) -> list[Row]:
+    """Rules (own, label, sure) over numbers of classes; labels are numbered from -1 downwards."""
+    numbers = {same[0]: k for k, same in enumerate(classes)}
+    names = {label: -1 - k for k, label in enumerate(labels)}
+    shared = items.sparkSession.sparkContext.broadcast((numbers, names))
 
     def placed(part: pa.RecordBatch) -> list[pa.Array]:
-        known = places.value
-        return [pa.array([sorted(known[t] for t in own if t in known) for own in part.column("tokens").to_pylist()], pa.list_(pa.int32()))]
-
-    # Tokens under the support are in no rule, and URLs alike in the others are counted together.
-    alike = written(appended(items, placed, "items array<int>").groupBy("items", "label").agg(F.count("*").alias("n")), "alike")
-    found = {(k,): {c["label"]: c["count"] for c in row["counts"]} for k, row in enumerate(rows)}
-    rules: list[tuple[frozenset, str, float]] = []
-    totals: dict[tuple[int, ...], int] = {}
-    while found:
-        open_ = {}
-        for own, counts in found.items():
-            total = sum(counts.values())
-            shorter = (totals[own[:k] + own[k + 1 :]] for k in range(len(own)) if len(own) > 1)
-            if max(counts.values()) < least or total in shorter:
-                continue
-            rules += [(frozenset(names[k] for k in own), label, n / total) for label, n in counts.items() if n >= least and n / total >= confidence]
-            # Below a set of one label only, nothing is surer.
-            if len(counts) > 1:
-                open_[own] = total
-        if len(rules) > MOST_RULES:
-            raise ValueError("more rules than may be sent to the tasks; raise the support")
-        totals = open_
-        longer = _joined(set(open_))
-        found = _counted(alike, longer) if longer else {}
-    return pruned(rules)
+        known, marks = shared.value
+        pairs = zip(part.column("tokens").to_pylist(), part.column("label").to_pylist())
+        return [pa.array([[known[t] for t in own if t in known] + [marks[m] for m in (label,) if m in marks] for own, label in pairs], pa.list_(pa.int32()))]
+
+    baskets = written(appended(items, placed, "items array<int>").select("items"), "baskets")
+    # Half a row less than the least number, so that no rounding of the share asks for one row more.
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / count).fit(baskets)
+    parts = model.freqItemsets.select(
+        F.array_sort(F.filter("items", lambda item: item >= 0)).alias("own"), F.array_min(F.filter("items", lambda item: item < 0)).alias("label"), "freq"
+    )
+    sets = written(parts.filter(F.size("own") > 0), "sets")
+    totals = sets.filter("label IS NULL").select("own", F.col("freq").alias("total"))
+    sure = (F.col("freq") / F.col("total")).alias("sure")
+    rules = written(sets.filter("label IS NOT NULL").join(totals, "own").select("own", "label", sure).filter(F.col("sure") >= confidence), "rules")
+    # Most needless rules are so by a rule of one item less; what longer ones remain is pruned below.
+    shorter = rules.select(F.col("own").alias("less"), F.col("label").alias("mark"), F.col("sure").alias("other"))
+    less = rules.withColumn("less", F.explode(F.transform("own", lambda item: F.array_remove("own", item))))
+    needless = less.join(shorter, (less["less"] == shorter["less"]) & (F.col("label") == F.col("mark")) & (F.col("other") >= F.col("sure")))
+    kept = written(rules.join(needless.select("own", "label").distinct(), ["own", "label"], "left_anti"), "kept")
+    most = kept.select(F.sum(_expanded(F.col("own"), classes))).first()[0] or 0
+    if most > MOST_RULES:
+        raise ValueError("more rules than may be sent to the tasks; raise the support")
+    return kept.orderBy("own", "label").collect()
+
+
+def _expanded(own: Column, classes: list[list[str]]) -> Column:
+    """How many rules over tokens a rule over classes stands for."""
+    sizes = F.array(*[F.lit(float(len(same))) for same in classes])
+    return F.aggregate(own, F.lit(1.0), lambda n, k: n * F.get(sizes, k))
 
 
 def pruned(rules: list[tuple[frozenset, str, float]]) -> list[tuple[frozenset, str, float]]:
