@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +32,10 @@ from voltframe.operators import enrich, joins, validate
 from voltframe.plans import shared
 from voltframe.plans.branches import ROOT3
 from voltframe.plans.schemas import SCHEMAS
-from voltframe.session import ensure_checkpoint_dir
+from voltframe.session import ensure_checkpoint_dir, scratch_folder
 from voltframe.sources import quads as q
 from voltframe.sources.entities import VIEWS, rejected_literals
+from voltframe.sources.store import QuadStore
 
 POINT_OF_SITE = VIEWS["substation"].columns["delivery_point"][0]
 
@@ -292,6 +294,47 @@ def _(m: GridModel) -> DataFrame:
     return both["terminal"].join(flows, "id").select("mrid", "connected", "p")
 
 
+def _place_store(m: GridModel) -> QuadStore:
+    """A store of the places, its equipment graph loaded again twice with the regions only."""
+    places = _place_quads(m)
+    spark = places.sparkSession
+    store = QuadStore(spark, scratch_folder(spark, "store"), buckets=8)
+    store.load(places)
+    regions = q.scan(places, predicate="cim:Substation.Region")
+    store.load(regions)
+    store.load(regions)
+    return store
+
+
+@query(
+    "quads_graph_loaded_again",
+    """SELECT 'urn:graph:A_EQ_1' AS graph, 'ss-' || s_suppkey AS subject, 'cim:Substation.Region' AS predicate, 'sg-' || s_nationkey AS object
+       FROM supplier
+       UNION ALL SELECT 'urn:graph:A_SV_1', 'sv-' || p_partkey, 'rdf:type', 'http://iec.ch/TC57/2013/CIM-schema-cim16#SvVoltage'
+       FROM part WHERE p_brand <> 'Brand#1'""",
+)
+def _(m: GridModel) -> DataFrame:
+    kept = _place_store(m).quads().filter("graph = 'urn:graph:A_EQ_1' OR predicate = 'rdf:type'")
+    return kept.select("graph", "subject", "predicate", "object")
+
+
+@query(
+    "scan_bound_terms",
+    """SELECT 'object' AS bound, 'ss-' || s_suppkey AS subject, 'sg-' || s_nationkey AS object FROM supplier WHERE s_nationkey = 3
+       UNION ALL SELECT 'subject', 'ss-' || s_suppkey, 'sg-' || s_nationkey FROM supplier WHERE s_suppkey = 7
+       UNION ALL SELECT 'class', 'sv-' || p_partkey, 'http://iec.ch/TC57/2013/CIM-schema-cim16#SvVoltage' FROM part WHERE p_brand <> 'Brand#1'""",
+)
+def _(m: GridModel) -> DataFrame:
+    store = _place_store(m)
+    found = {
+        "object": store.links_to("sg-3"),
+        "subject": store.scan(subject="ss-7"),
+        "class": store.links_to("http://iec.ch/TC57/2013/CIM-schema-cim16#SvVoltage", predicate="rdf:type"),
+    }
+    each = [rows.select(F.lit(bound).alias("bound"), "subject", "object") for bound, rows in found.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
 @query("graphs_by_profile", "SELECT 'urn:graph:A_EQ_1' AS graph, true AS equipment, false AS state UNION ALL SELECT 'urn:graph:A_SV_1', false, true")
 def _(m: GridModel) -> DataFrame:
     return q.graphs(_place_quads(m)).select("graph", q.equipment_graph().alias("equipment"), q.state_graph().alias("state"))

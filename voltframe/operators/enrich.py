@@ -7,12 +7,13 @@ named by a hash of the rule and the subject, so a recomputed task gives the same
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltframe.functions import is_uuid, md5_uuid
-from voltframe.operators.aggregates import first_per_key
 from voltframe.operators.joins import without
 from voltframe.session import written
 from voltframe.sources.entities import CIM
@@ -168,16 +169,33 @@ def analysis_flags(quads: DataFrame) -> DataFrame:
     return _emit(rows, [_text("subject", "SN:Equipment.networkAnalysisEnable", "true", "boolean")], F.col("graph"))
 
 
-def first_quads(quads: DataFrame) -> DataFrame:
-    """One quad per subject, equipment graphs first."""
-    order = [~F.coalesce(F.col("graph").contains("EQ"), F.lit(False)), "predicate", "object"]
-    return first_per_key(quads.select(*QUAD_COLUMNS), ["subject"], order)
+def ranked(values: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Different values with a number `rank`, those of equipment graphs first; written, so that the numbers stay.
+
+    Values are graphs, or graphs with classes: files times vocabulary, however many quads there are.
+    """
+    later = ~F.coalesce(F.col("graph").contains("EQ"), F.lit(False))
+    return written(values.distinct().orderBy(later, *order).withColumn("rank", F.monotonically_increasing_id()), "ranks")
+
+
+def with_ranks(quads: DataFrame, codes: DataFrame) -> DataFrame:
+    """The quads with the rank of their values in place of these."""
+    columns = [c for c in codes.columns if c != "rank"]
+    other = codes.select(*[F.col(c).alias(f"_{c}") for c in columns], "rank")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return quads.join(other, same).drop(*columns, *other.columns[:-1])
 
 
 def direct_types(quads: DataFrame) -> DataFrame:
-    """One class per subject, that of the equipment graph first."""
-    first = first_quads(quads.filter(F.col("predicate") == TYPE))
-    return first.withColumn("predicate", F.lit("sesame:directType"))
+    """One class per subject, that of the equipment graph first.
+
+    The minimum of a number per subject is a hash aggregate that combines before the exchange; the classes come back
+    from the table of numbers.
+    """
+    rows = quads.filter(F.col("predicate") == TYPE).select("subject", "graph", "object", "object_kind", "datatype", "lang")
+    codes = ranked(rows.drop("subject"), ["object", "graph", "object_kind", "datatype", "lang"])
+    first = with_ranks(rows, codes).groupBy("subject").agg(F.min("rank").alias("rank"))
+    return first.join(codes, "rank").withColumn("predicate", F.lit("sesame:directType")).select(*QUAD_COLUMNS)
 
 
 def _literal_quad(first: DataFrame, predicate: str, value: Column) -> DataFrame:
@@ -187,11 +205,17 @@ def _literal_quad(first: DataFrame, predicate: str, value: Column) -> DataFrame:
 
 
 def missing_mrids(quads: DataFrame) -> DataFrame:
-    """An mRID for every subject without one: the UUID in its IRI, else a hash of the IRI in UUID form."""
-    known = quads.filter(F.col("predicate") == MRID).select("subject")
+    """An mRID for every subject without one: the UUID in its IRI, else a hash of the IRI in UUID form.
+
+    It goes to the first graph of the subject, equipment graphs first. One aggregation finds the graph and whether
+    there is an mRID, so the quads are exchanged once, combined.
+    """
+    codes = ranked(quads.select("graph"), ["graph"])
+    rows = with_ranks(quads.select("subject", F.col("predicate").eqNullSafe(MRID).alias("known"), "graph"), codes)
+    first = rows.groupBy("subject").agg(F.min("rank").alias("rank"), F.max("known").alias("known"))
     name = F.substring_index(F.regexp_replace("subject", "^_:", ""), "#_", -1)
     value = F.when(is_uuid(name), name).otherwise(md5_uuid(name))
-    return _literal_quad(first_quads(without(quads, known, "subject")), MRID, value)
+    return _literal_quad(first.filter("NOT known").join(codes, "rank"), MRID, value)
 
 
 def copy_mrids(quads: DataFrame, rdf_type: str | None = None, graph: str | None = None) -> DataFrame:
