@@ -1086,6 +1086,35 @@ def _(m: GridModel) -> DataFrame:
     return enrich.analysis_flags(m.to_quads("urn:graph:EQ", ["terminal"])).select("subject", "predicate", "object")
 
 
+@table_query(
+    "enrich_two_versions",
+    "supplier",
+    f"""WITH s AS (SELECT 'tn-' || s_suppkey AS tn, md5('tn-' || s_suppkey) AS h, s_suppkey % 2 = 0 AS old FROM supplier),
+       f AS (SELECT tn, h, {BLANK.format(rule="zero_injection", key="tn")} AS b, CASE WHEN old THEN 'cim:' ELSE 'http://iec.ch/TC57/CIM100#' END AS p,
+               CASE WHEN old THEN 'http://iec.ch/TC57/2013/CIM-schema-cim16#' ELSE 'http://iec.ch/TC57/CIM100#' END AS ns FROM s)
+       SELECT b AS subject, p || 'SvInjection.TopologicalNode' AS predicate, tn AS object FROM f
+       UNION ALL SELECT b, p || 'SvInjection.pInjection', '0.0' FROM f
+       UNION ALL SELECT b, 'rdf:type', ns || 'SvInjection' FROM f
+       UNION ALL SELECT tn, p || 'IdentifiedObject.mRID',
+         substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21) FROM f""",
+)
+def _(supplier: DataFrame) -> DataFrame:
+    """Nodes of two CIM versions in one table: what is added carries the version of the node."""
+    old = F.col("s_suppkey") % 2 == 0
+    none = F.lit(None).cast("string")
+    nodes = supplier.select(
+        F.when(old, "urn:graph:TP_16").otherwise("urn:graph:TP_100").alias("graph"),
+        F.concat(F.lit("tn-"), "s_suppkey").alias("subject"),
+        F.lit("rdf:type").alias("predicate"),
+        F.concat(F.when(old, enrich.CIM).otherwise("http://iec.ch/TC57/CIM100#"), F.lit("TopologicalNode")).alias("object"),
+        F.lit("iri").alias("object_kind"),
+        none.alias("datatype"),
+        none.alias("lang"),
+    )
+    added = enrich.zero_injection(nodes).unionByName(enrich.missing_mrids(nodes))
+    return added.select("subject", "predicate", "object")
+
+
 CLASS = "'http://iec.ch/TC57/2013/CIM-schema-cim16#' || "
 
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tests.grid import EQ, STATE, quads
 from voltframe import GridModel
@@ -63,3 +64,35 @@ def test_all_steps_feed_the_reports(store):
     assert model.sv_injection().count() == 0
     assert {r.mrid for r in model.connectivity_nodes().collect()} == {"cn1", "cn2", "cn3"}
     assert whole.groupBy("subject", "predicate", "object", "graph").count().filter("count > 1").count() == 0
+
+
+def in_version(rows, namespace):
+    """The same quads in another CIM version, read without a prefix for it."""
+    other = rows
+    for term in ("predicate", "object"):
+        other = other.withColumn(term, F.regexp_replace(term, "^(cim:|http://iec.ch/TC57/2013/CIM-schema-cim16#)", namespace))
+    return other
+
+
+def test_every_step_in_another_version_adds_the_same(store):
+    namespace = "http://iec.ch/TC57/CIM100#"
+
+    def facts(rows, replaced=""):
+        out = set()
+        for r in rows.collect():
+            terms = [t.replace("http://iec.ch/TC57/2013/CIM-schema-cim16#", "cim:") for t in (r.predicate, r.object)]
+            out.add((r.graph, r.subject, *(t.replace(replaced, "cim:") if replaced else t for t in terms)))
+        return out
+
+    whole = enrich.adapt(in_version(store, namespace))
+    assert facts(whole, namespace) == facts(enrich.adapt(store))
+    # Nothing of the old version was put in: the new model has one version only.
+    assert not [r for r in whole.select("predicate", "object").collect() if r.predicate.startswith("cim:") or "cim16" in r.object]
+    machine = GridModel.from_quads(whole, materialize=True).synchronous_machines().collect()
+    assert [(r.mrid, r.market_code, r.station_group) for r in machine] == [("gu1", "gen_market_code001", "market001")]
+
+
+def test_names_of_other_vocabularies_are_not_taken_for_cim(spark):
+    rows = quads(spark, "x a Terminal", "urn:graph:EQ")
+    other = rows.withColumn("object", F.lit("http://example.org/own#Terminal")).unionByName(rows.withColumn("subject", F.lit("y")))
+    assert {r.object for r in enrich.zero_power_flow(other).filter("predicate LIKE '%SvPowerFlow.Terminal'").collect()} == {"y"}

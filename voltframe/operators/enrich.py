@@ -2,6 +2,9 @@
 
 Every step returns only the quads it adds (or, where it says so, the changed table). New blank nodes are
 named by a hash of the rule and the subject, so a recomputed task gives the same names.
+
+Classes and properties of every CIM version are understood, also of several versions in one table; what a step adds
+carries the namespace of the quads that it follows from.
 """
 
 from __future__ import annotations
@@ -20,7 +23,10 @@ from voltframe.sources.entities import CIM
 from voltframe.sources.quads import GRAPH_PREFIX, QUAD_COLUMNS
 
 TYPE = "rdf:type"
-MRID = "cim:IdentifiedObject.mRID"
+MRID = "IdentifiedObject.mRID"
+# CIM terms: prefixed, or in the namespace of any version (fixed values).
+CIM_ROOT = "http://iec.ch/TC57/"
+CIM_TERM = r"^(http://iec\.ch/TC57/[^#]*CIM[^#]*#)[^#]*$"
 STATE_GRAPH = GRAPH_PREFIX + "SV"
 INJECTION_GRAPH = GRAPH_PREFIX + "SV-injection"
 
@@ -47,25 +53,47 @@ def blank(rule: str, *key: str) -> Column:
     return F.concat(F.lit("_:"), F.md5(F.concat_ws("|", F.lit(rule), *key)))
 
 
-def _quad(subject: Column | str, predicate: str, value: Column | str, kind: str, datatype: str | None = None) -> Column:
+def version(term: str) -> Column:
+    """What stands before the name of a CIM term: "cim:", or the namespace of another version; NULL for other terms."""
+    c = F.col(term)
+    found = F.nullif(F.regexp_extract(c, CIM_TERM, 1), F.lit(""))
+    return F.when(c.startswith("cim:") | c.startswith(CIM), "cim:").when(c.startswith(CIM_ROOT), found)
+
+
+def cim(name: str) -> Column:
+    """A property in the row's `version`."""
+    return F.concat(F.col("version"), F.lit(name))
+
+
+def cim_class(name: str) -> Column:
+    return F.concat(F.when(F.col("version") == "cim:", CIM).otherwise(F.col("version")), F.lit(name))
+
+
+def is_cim(name: str, term: str = "predicate") -> Column:
+    """Whether a term is this property or class in any version."""
+    c = F.col(term)
+    return (c == f"cim:{name}") | (c.endswith(f"#{name}") & version(term).isNotNull())
+
+
+def _quad(subject: Column | str, predicate: Column | str, value: Column | str, kind: str, datatype: str | None = None) -> Column:
     return F.struct(
         (F.col(subject) if isinstance(subject, str) else subject).alias("subject"),
-        F.lit(predicate).alias("predicate"),
+        (F.lit(predicate) if isinstance(predicate, str) else predicate).alias("predicate"),
         (F.lit(value) if isinstance(value, str) else value).alias("object"),
         F.lit(kind).alias("object_kind"),
         F.lit(f"xsd:{datatype}" if datatype else None).cast("string").alias("datatype"),
     )
 
 
-def _iri(subject: Column | str, predicate: str, value: Column | str) -> Column:
+def _iri(subject: Column | str, predicate: Column | str, value: Column | str) -> Column:
     return _quad(subject, predicate, value, "iri")
 
 
-def _node(subject: Column | str, predicate: str, value: Column) -> Column:
+def _node(subject: Column | str, predicate: Column | str, value: Column) -> Column:
     return _quad(subject, predicate, value, "bnode")
 
 
-def _text(subject: Column | str, predicate: str, value: str, datatype: str | None = None) -> Column:
+def _text(subject: Column | str, predicate: Column | str, value: str, datatype: str | None = None) -> Column:
     return _quad(subject, predicate, value, "literal", datatype)
 
 
@@ -76,48 +104,49 @@ def _emit(rows: DataFrame, facts: Sequence[Column], graph: Column) -> DataFrame:
 
 
 def typed(quads: DataFrame, cls: str) -> DataFrame:
-    """subject and graph of every class quad."""
-    return quads.filter((F.col("predicate") == TYPE) & (F.col("object") == CIM + cls)).select("subject", "graph")
+    """subject, graph and CIM version of every class quad."""
+    return quads.filter((F.col("predicate") == TYPE) & is_cim(cls, "object")).select("subject", "graph", version("object").alias("version"))
 
 
 def zero_power_flow(quads: DataFrame) -> DataFrame:
     """A zero flow, without a class, for every terminal that has none."""
-    measured = quads.filter(F.col("predicate") == "cim:SvPowerFlow.Terminal").select(F.col("object").alias("subject"))
-    rows = without(typed(quads, "Terminal").select("subject").distinct(), measured, "subject")
+    measured = quads.filter(is_cim("SvPowerFlow.Terminal")).select(F.col("object").alias("subject"))
+    rows = without(typed(quads, "Terminal").select("subject", "version").distinct(), measured, "subject")
     flow = blank("zero_power_flow", "subject")
     facts = [
-        _iri(flow, "cim:SvPowerFlow.Terminal", F.col("subject")),
-        _text(flow, "cim:SvPowerFlow.p", "0.0", "double"),
-        _text(flow, "cim:SvPowerFlow.q", "0.0", "double"),
+        _iri(flow, cim("SvPowerFlow.Terminal"), F.col("subject")),
+        _text(flow, cim("SvPowerFlow.p"), "0.0", "double"),
+        _text(flow, cim("SvPowerFlow.q"), "0.0", "double"),
     ]
     return _emit(rows, facts, F.lit(STATE_GRAPH))
 
 
 def zero_injection(quads: DataFrame) -> DataFrame:
     """A zero active injection for every topological node."""
-    rows = typed(quads, "TopologicalNode").select("subject").distinct()
+    rows = typed(quads, "TopologicalNode").select("subject", "version").distinct()
     injection = blank("zero_injection", "subject")
     facts = [
-        _iri(injection, TYPE, CIM + "SvInjection"),
-        _iri(injection, "cim:SvInjection.TopologicalNode", F.col("subject")),
-        _text(injection, "cim:SvInjection.pInjection", "0.0", "double"),
+        _iri(injection, TYPE, cim_class("SvInjection")),
+        _iri(injection, cim("SvInjection.TopologicalNode"), F.col("subject")),
+        _text(injection, cim("SvInjection.pInjection"), "0.0", "double"),
     ]
     return _emit(rows, facts, F.lit(INJECTION_GRAPH))
 
 
 def _plain_unit() -> Column:
-    return (F.col("predicate") == TYPE) & (F.col("object") == CIM + "GeneratingUnit") & F.col("graph").contains("EQ")
+    return (F.col("predicate") == TYPE) & is_cim("GeneratingUnit", "object") & F.col("graph").contains("EQ")
 
 
 def retype_units(quads: DataFrame) -> DataFrame:
     """The table with generating units of unspecified kind turned into hydro units."""
-    return quads.withColumn("object", F.when(_plain_unit(), CIM + "HydroGeneratingUnit").otherwise(F.col("object")))
+    hydro = F.concat(F.substring_index("object", "#", 1), F.lit("#HydroGeneratingUnit"))
+    return quads.withColumn("object", F.when(_plain_unit(), hydro).otherwise(F.col("object")))
 
 
 def unit_market_data(quads: DataFrame) -> DataFrame:
     """Schedule resource, market code and weight of every unit of a machine; a plant for unspecified units."""
-    machines = quads.filter((F.col("predicate") == "cim:RotatingMachine.GeneratingUnit") & F.col("graph").contains("EQ"))
-    units = machines.groupBy(F.col("object").alias("unit")).agg(F.min("graph").alias("graph"))
+    machines = quads.filter(is_cim("RotatingMachine.GeneratingUnit") & F.col("graph").contains("EQ"))
+    units = machines.groupBy(F.col("object").alias("unit")).agg(F.min("graph").alias("graph"), F.min(version("predicate")).alias("version"))
     plain = quads.filter(_plain_unit()).select(F.col("subject").alias("unit")).distinct()
     resource, plant = blank("unit_resource", "unit"), blank("unit_plant", "unit")
     market = [
@@ -126,11 +155,11 @@ def unit_market_data(quads: DataFrame) -> DataFrame:
         _text("unit", "SN:GeneratingUnit.groupAllocationWeight", "1", "integer"),
         _iri(resource, TYPE, "SN:ScheduleResource"),
         _text(resource, "SN:ScheduleResource.marketCode", RESOURCE_MARKET_CODE),
-        _text(resource, "cim:IdentifiedObject.name", RESOURCE_NAME),
+        _text(resource, cim("IdentifiedObject.name"), RESOURCE_NAME),
     ]
     hydro = [
-        _node("unit", "cim:HydroGeneratingUnit.HydroPowerPlant", plant),
-        _iri(plant, TYPE, CIM + "HydroPowerPlant"),
+        _node("unit", cim("HydroGeneratingUnit.HydroPowerPlant"), plant),
+        _iri(plant, TYPE, cim_class("HydroPowerPlant")),
         _iri(plant, "SN:HydroPowerPlant.hydroPlantStorageType", "SN:HydroPlantStorageKind.runOfRiver"),
     ]
     of_plain = _emit(units.join(plain, "unit", "left_semi"), hydro, F.col("graph"))
@@ -140,11 +169,11 @@ def unit_market_data(quads: DataFrame) -> DataFrame:
 def load_market_codes(quads: DataFrame) -> DataFrame:
     """Load group and schedule resource of every consumer described in an equipment graph."""
     loads = typed(quads, "EnergyConsumer").filter(F.col("graph").contains("EQ"))
-    loads = loads.groupBy("subject").agg(F.min("graph").alias("graph"))
+    loads = loads.groupBy("subject").agg(F.min("graph").alias("graph"), F.min("version").alias("version"))
     group, resource = blank("load_group", "subject"), blank("load_resource", "subject")
     facts = [
-        _node("subject", "cim:NonConformLoad.LoadGroup", group),
-        _text(group, "cim:IdentifiedObject.name", GROUP_NAME),
+        _node("subject", cim("NonConformLoad.LoadGroup"), group),
+        _text(group, cim("IdentifiedObject.name"), GROUP_NAME),
         _node(group, "SN:NonConformLoadGroup.ScheduleResource", resource),
         _text(resource, "SN:ScheduleResource.marketCode", RESOURCE_MARKET_CODE),
     ]
@@ -164,12 +193,12 @@ def eic_codes(quads: DataFrame) -> DataFrame:
 
 def analysis_flags(quads: DataFrame) -> DataFrame:
     """An enabled flag for every equipment that has a terminal."""
-    ends = quads.filter(F.col("predicate") == "cim:Terminal.ConductingEquipment")
+    ends = quads.filter(is_cim("Terminal.ConductingEquipment"))
     rows = ends.groupBy(F.col("object").alias("subject")).agg(F.min("graph").alias("graph"))
     return _emit(rows, [_text("subject", "SN:Equipment.networkAnalysisEnable", "true", "boolean")], F.col("graph"))
 
 
-def ranked(values: DataFrame, order: Sequence[str]) -> DataFrame:
+def ranked(values: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """Different values with a number `rank`, those of equipment graphs first; written, so that the numbers stay.
 
     Values are graphs, or graphs with classes: files times vocabulary, however many quads there are.
@@ -198,8 +227,9 @@ def direct_types(quads: DataFrame) -> DataFrame:
     return first.join(codes, "rank").withColumn("predicate", F.lit("sesame:directType")).select(*QUAD_COLUMNS)
 
 
-def _literal_quad(first: DataFrame, predicate: str, value: Column) -> DataFrame:
-    rows = first.withColumns({"predicate": F.lit(predicate), "object": value, "object_kind": F.lit("literal")})
+def _mrid_quad(first: DataFrame, value: Column) -> DataFrame:
+    predicate = F.concat(F.coalesce("version", F.lit("cim:")), F.lit(MRID))
+    rows = first.withColumns({"predicate": predicate, "object": value, "object_kind": F.lit("literal")})
     empty = F.lit(None).cast("string")
     return rows.withColumns({"datatype": empty, "lang": empty}).select(*QUAD_COLUMNS)
 
@@ -210,24 +240,25 @@ def missing_mrids(quads: DataFrame) -> DataFrame:
     It goes to the first graph of the subject, equipment graphs first. One aggregation finds the graph and whether
     there is an mRID, so the quads are exchanged once, combined.
     """
-    codes = ranked(quads.select("graph"), ["graph"])
-    rows = with_ranks(quads.select("subject", F.col("predicate").eqNullSafe(MRID).alias("known"), "graph"), codes)
+    used = F.when(F.col("predicate") == TYPE, version("object")).otherwise(version("predicate")).alias("version")
+    codes = ranked(quads.select("graph", used), ["graph", F.col("version").asc_nulls_last()])
+    rows = with_ranks(quads.select("subject", F.coalesce(is_cim(MRID), F.lit(False)).alias("known"), "graph", used), codes)
     first = rows.groupBy("subject").agg(F.min("rank").alias("rank"), F.max("known").alias("known"))
     name = F.substring_index(F.regexp_replace("subject", "^_:", ""), "#_", -1)
     value = F.when(is_uuid(name), name).otherwise(md5_uuid(name))
-    return _literal_quad(first.filter("NOT known").join(codes, "rank"), MRID, value)
+    return _mrid_quad(first.filter("NOT known").join(codes, "rank"), value)
 
 
 def copy_mrids(quads: DataFrame, rdf_type: str | None = None, graph: str | None = None) -> DataFrame:
     """The subject itself as mRID, per graph that types it, for subjects without one."""
-    known = quads.filter(F.col("predicate") == MRID).select("subject")
+    known = quads.filter(is_cim(MRID)).select("subject")
     rows = quads.filter(F.col("predicate") == TYPE)
     if rdf_type is not None:
         rows = rows.filter(F.col("object") == rdf_type)
     if graph is not None:
         rows = rows.filter(F.col("graph") == graph)
-    rows = without(rows.filter("graph IS NOT NULL").select("graph", "subject").distinct(), known, "subject")
-    return _literal_quad(rows, MRID, F.col("subject"))
+    each = rows.filter("graph IS NOT NULL").groupBy("graph", "subject").agg(F.min(version("object")).alias("version"))
+    return _mrid_quad(without(each, known, "subject"), F.col("subject"))
 
 
 def with_datatypes(quads: DataFrame) -> DataFrame:
