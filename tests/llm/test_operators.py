@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import time
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -453,3 +455,38 @@ def test_every_stage_of_the_pipeline(spark):
     texts = [r.text for r in docs.collect()]
     assert len({norm(t) for t in texts}) == len(texts)
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_named_parts_of_an_article_and_unseen_elements():
+    page = (
+        '<body class="with-sidebar"><div class="wrap"><nav>one two</nav><article><h1 class="header">Title of it</h1>'
+        '<p>keep <button>Click</button> this <span class="ad">buy</span> whole &amp; good</p><p class="cookie">We use cookies</p>'
+        '<p class="advert">buy now</p><p class="share-links">Share this</p><p class="lead">last words here<template><p>no</p></template> too</p>'
+        '</article><footer>end of page</footer></div></body>'
+    )
+    for weights in ({}, {"p.cookie": 1.0, "span.ad": 1.0, "nav": -1.0}):
+        assert html_text.Page(page).text(weights) == "Title of it\n\nkeep this whole & good\n\nlast words here too"
+
+
+def test_deep_unclosed_and_empty_pages_are_read_in_time_by_their_length(spark):
+    pages = {
+        "deep": "<section class='a b'>word " * 40_000 + "end",
+        "closed": "<div id='x'>" * 30_000 + "in" + "</div>" * 30_000,
+        "unclosed": "<p>w " * 40_000 + "</section>" * 40_000,
+    }
+    start = time.perf_counter()
+    got = {name: html_text.Page(page).text({}) for name, page in pages.items()}
+    for page in pages.values():
+        html_text._count(f"<article>{page}</article>", Counter())
+    assert time.perf_counter() - start < 20
+    assert got["closed"] == "in" and got["deep"].count("word") == got["unclosed"].count("w") == 40_000
+    none = spark.createDataFrame([], "page_id long, html string")
+    assert html_text.extract(none, html_text.learn(none)).count() == 0
+
+
+def test_few_words_move_a_weight_little_and_many_decide():
+    weights = [html_text._weight("div.x", 0, n) for n in (0, 5, 19, 21, 1000)]
+    assert weights == sorted(weights, reverse=True) and weights[0] == 1.0 and weights[2] > 0 > weights[3]
+    seen: Counter = Counter()
+    html_text._count("<div class='a'>o <article>x <div class='a'>y z <div class='a'>q</div></div></article></div>", seen)
+    assert (seen["div.a", False], seen["div.a", True]) == (1, 3)

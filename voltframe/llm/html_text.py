@@ -3,12 +3,12 @@
 A page is a sequence of words and tags. A word scores positive, unless it stands in a container (navigation, footer,
 a div of some class) whose words labelled pages show to be outside the article; a tag scores negative, the more the
 more often it occurs outside. One linear scan finds the contiguous region with the greatest sum. Blocks of the
-region that stand in such a container themselves (adverts, forms, comments inside an article) are left out; scripts,
-styles, comments and other unseen elements never are text.
+region that stand in such a container themselves (adverts, forms, comments inside an article) are left out, also parts
+of a block (a span of an advert); scripts, styles, buttons and other unseen elements never are text and part no block.
 
 Weights are learned from labelled pages: those that mark their text themselves, with exactly one article (or main)
-element. They are shares of word and tag counts over all such pages; keys not seen in training fall back on the
-names below. The `MOST_KEYS` keys seen most often are sent to the tasks; where more are learned, the other keys of a page
+element. They are shares of word and tag counts over all such pages, drawn towards the fallback while little was seen;
+keys not seen in training fall back on the names below, and what is named as furniture is so wherever it stands. The `MOST_KEYS` keys seen most often are sent to the tasks; where more are learned, the other keys of a page
 are joined with the table of all keys.
 
 Defined results: null and empty pages have empty text; white space in a block becomes one space; blocks are joined
@@ -31,7 +31,8 @@ from voltframe.llm.common import Batches, appended, packed, texts
 from voltframe.session import written
 
 MOST_KEYS = 5000
-LEAST_SEEN = 20
+# So many words or tags as the fallback says are added to what was seen.
+PRIOR = 20
 
 # Element and class names of the HTML standard and of common page furniture.
 UNSEEN = frozenset("script style noscript template head title svg math iframe object canvas select option textarea button audio video".split())
@@ -47,6 +48,7 @@ FURNITURE_NAMES = frozenset(
     "replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
 ARTICLE = frozenset({"article", "main"})
+NAMELESS = frozenset("html body h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(script|style|textarea|title|noscript|iframe)\b[^>]*>.*?(?:</\1\s*>|$)"
@@ -70,9 +72,11 @@ def sequence(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def keys(tag: str, attributes: str) -> list[str]:
-    """What a container is known by: its tag with each of its names, or the tag alone."""
+    """What an element is known by: its tag with each of its names, or a container's tag alone; headings have none."""
+    if tag in NAMELESS:
+        return []
     names = [n.lower() for m in NAMES.findall(attributes) for n in re.split(r"\s+", "".join(m)) if n]
-    return [f"{tag}.{name}" for name in names] or ([tag] if tag != "div" else [])
+    return [f"{tag}.{name}" for name in names] or ([tag] if tag in CONTAINERS and tag != "div" else [])
 
 
 def _named_furniture(key: str) -> bool:
@@ -81,63 +85,70 @@ def _named_furniture(key: str) -> bool:
 
 
 class Page:
-    """Words and tags of a page with their containers, cut into blocks."""
+    """Words and tags of a page with their holders, cut into blocks.
+
+    A holder is an element with keys; it knows the holder around it, so that depth costs nothing.
+    """
 
     def __init__(self, page: str) -> None:
-        self.blocks: list[list[str]] = [[]]
-        self.holders: list[tuple[str, ...]] = [()]
-        self.inside = [False]
-        self.items: list[tuple[int, int, str]] = []  # (block, words, tag): a text or a tag
-        stack: list[tuple[str, tuple[str, ...]]] = []
-        held: tuple[str, ...] = ()
-        unseen = 0
+        self.blocks: list[list[tuple[str, int]]] = [[]]  # texts with their holders
+        self.around, self.own = [0], [()]  # of holders; the first is the page
+        self.items: list[tuple[int, int, str, int, bool]] = []  # (block, words, tag, holder, inside an article): a text or a tag
+        stack: list[tuple[str, int]] = []
+        opened: Counter = Counter()
+        held = unseen = articles = 0
         for kind, name, attributes in sequence(page):
             if kind == "text":
-                if not unseen and (count := len(name.split())):
-                    self.blocks[-1].append(name)
-                    self.items.append((len(self.blocks) - 1, count, ""))
-                elif not unseen:
-                    self.blocks[-1].append(" ")
+                if not unseen:
+                    self.blocks[-1].append((name, held))
+                    if count := len(name.split()):
+                        self.items.append((len(self.blocks) - 1, count, "", held, articles > 0))
                 continue
             if name == "br":
-                self.blocks[-1].append(" ")
-            self.items.append((len(self.blocks) - 1, 0, name))
+                self.blocks[-1].append((" ", 0))
+            self.items.append((len(self.blocks) - 1, 0, name, held, articles > 0))
             if name in VOID:
                 continue
             if kind == "open":
                 stack.append((name, held))
+                opened[name] += 1
                 unseen += name in UNSEEN
-                if name in CONTAINERS:
-                    # The header of an article is part of it.
-                    inside = any(tag in ARTICLE for tag, _ in stack[:-1])
-                    held = (*held, *(() if name == "header" and inside else keys(name, attributes)))
-            elif any(name == tag for tag, _ in stack):
-                while True:
+                # The header of an article is part of it.
+                if own := () if name == "header" and articles else tuple(keys(name, attributes)):
+                    self.around.append(held)
+                    self.own.append(own)
+                    held = len(self.own) - 1
+                articles += name in ARTICLE
+            elif opened[name]:
+                tag = ""
+                while tag != name:
                     tag, held = stack.pop()
+                    opened[tag] -= 1
                     unseen -= tag in UNSEEN
-                    if tag == name:
-                        break
-            if name not in INLINE:
+                    articles -= tag in ARTICLE
+            if name not in INLINE and name not in UNSEEN and not unseen:
                 self.blocks.append([])
-                self.holders.append(held)
-                self.inside.append(any(tag in ARTICLE for tag, _ in stack))
 
     def keys(self) -> set[str]:
-        return {key for held in self.holders for key in held} | {f"<{tag}" for _, words, tag in self.items if not words}
+        return {key for own in self.own for key in own} | {f"<{tag}" for _, words, tag, _, _ in self.items if not words}
 
     def text(self, weights: Mapping[str, float]) -> str:
-        good = [all(_word(weights, key) > 0 for key in held) for held in self.holders]
+        good = [True]
+        for around, own in zip(self.around[1:], self.own[1:]):
+            good.append(good[around] and all(_word(weights, key) > 0 for key in own))
         # What is left out of an article doesn't part it.
-        value = [1 if fine else 0 if inside else -1 for fine, inside in zip(good, self.inside)]
-        scores = [words * value[block] if words else weights.get(f"<{tag}", -0.02) for block, words, tag in self.items]
+        scores = [
+            words * (1 if good[held] else 0 if inside else -1) if words else weights.get(f"<{tag}", -0.02)
+            for _, words, tag, held, inside in self.items
+        ]
         first, last = best_region(scores)
-        chosen = dict.fromkeys(self.items[k][0] for k in range(first, last) if self.items[k][1])
-        joined = (" ".join(html.unescape("".join(self.blocks[block])).split()) for block in chosen if good[block])
+        chosen = dict.fromkeys(block for block, words, *_ in self.items[first:last] if words)
+        joined = (" ".join(html.unescape("".join(text for text, held in self.blocks[block] if good[held])).split()) for block in chosen)
         return "\n\n".join(block for block in joined if block)
 
 
 def _word(weights: Mapping[str, float], key: str) -> float:
-    return weights[key] if key in weights else -1.0 if _named_furniture(key) else 1.0
+    return -1.0 if _named_furniture(key) else weights.get(key, 1.0)
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -159,8 +170,9 @@ class Weights(dict):
 
 
 def _weight(key: str, good: int, n: int) -> float:
-    part = good / n
-    return -0.02 - (1 - part) if key[0] == "<" else 2 * part - 1 or -0.01
+    if key[0] == "<":
+        return -0.02 - (n - good) / (n + PRIOR)
+    return (2 * good - n + PRIOR) / (n + PRIOR) or -0.01
 
 
 def learn(pages: DataFrame, payload: str = "html") -> Weights:
@@ -185,7 +197,7 @@ def learn(pages: DataFrame, payload: str = "html") -> Weights:
     each = pages.select(F.col(payload).alias("html")).mapInArrow(count, "key string, inside boolean, n long").groupBy("key").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("good"), F.sum("n").alias("n")
     )
-    known = written(each.filter(F.col("n") >= LEAST_SEEN), "keys")
+    known = written(each, "keys")
     rows = known.orderBy(F.desc("n"), "key").limit(MOST_KEYS + 1).collect()
     weights = Weights({row["key"]: _weight(*row) for row in rows[:MOST_KEYS]})
     if len(rows) > MOST_KEYS:
@@ -198,30 +210,47 @@ def _count(page: str, seen: Counter) -> None:
     if len(re.findall(r"<article\b", page, re.I)) != 1 and len(re.findall(r"<main\b", page, re.I)) != 1:
         return
     mark = "article" if len(re.findall(r"<article\b", page, re.I)) == 1 else "main"
-    stack: list[tuple[str, list[str]]] = []
-    inside = unseen = 0
+    around, own, words, sides = [-1], [()], [0], [False]
+    stack: list[tuple] = []
+    opened: Counter = Counter()
+    known: Counter = Counter()
+    held = unseen = 0
+    inside = False
     for kind, name, attributes in sequence(page):
         if kind == "text":
-            if words := 0 if unseen else len(name.split()):
-                names = {key for tag, own in stack[inside:] for key in own}
-                seen.update({(key, bool(inside)): words for key in names})
+            words[held] += 0 if unseen else len(name.split())
             continue
-        seen[f"<{name}", bool(inside)] += 1
+        seen[f"<{name}", inside] += 1
         if name in VOID:
             continue
         if kind == "open":
-            stack.append((name, keys(name, attributes) if name in CONTAINERS and name != mark else []))
+            # A key that an element around it has already counts there.
+            fresh = [] if name == mark else [key for key in dict.fromkeys(keys(name, attributes)) if not known[key]]
+            stack.append((name, held, known, inside, fresh))
+            opened[name] += 1
             unseen += name in UNSEEN
             if name == mark:
-                inside = len(stack)
-        elif any(name == tag for tag, _ in stack):
-            while True:
-                tag, _ = stack.pop()
+                known, inside = Counter(), True
+            if fresh or name == mark:
+                known.update(fresh)
+                around.append(-1 if name == mark else held)
+                own.append(tuple(fresh))
+                words.append(0)
+                sides.append(inside)
+                held = len(own) - 1
+        elif opened[name]:
+            tag = ""
+            while tag != name:
+                tag, held, before, inside, fresh = stack.pop()
+                known.subtract(fresh)
+                known = before
+                opened[tag] -= 1
                 unseen -= tag in UNSEEN
-                if tag == name:
-                    break
-            if len(stack) < inside:
-                inside = 0
+    for place in range(len(own) - 1, 0, -1):
+        if around[place] >= 0:
+            words[around[place]] += words[place]
+        if words[place]:
+            seen.update({(key, sides[place]): words[place] for key in own[place]})
 
 
 def extract(pages: DataFrame, weights: dict[str, float], payload: str = "html") -> DataFrame:
