@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from voltframe.sources import stored
 from voltframe.sources.entities import (
     BUCKET_KEYS,
     EDGES,
@@ -26,6 +27,7 @@ from voltframe.sources.entities import (
 
 if TYPE_CHECKING:
     from voltframe.operators.validate import Schema
+    from voltframe.sources.stored import StoredPlan
 
 def _stored(view: DataFrame | EntityView) -> DataFrame:
     return view.stored() if isinstance(view, EntityView) else view
@@ -39,25 +41,41 @@ CONCURRENT_WRITES = 8
 class GridModel:
     """A set of entity views. Views are lazy; a report only plans the ones it reads."""
 
-    def __init__(self, views: Mapping[str, ViewSource], mappers: Iterable[Mapper] = ()) -> None:
+    def __init__(
+        self,
+        views: Mapping[str, ViewSource],
+        mappers: Iterable[Mapper] = (),
+        derived: Mapping[str, StoredPlan] | None = None,
+        typed: Mapping[str, Callable[[], EntityView]] | None = None,
+    ) -> None:
         self._sources = dict(views)
         self._views: dict[str, DataFrame] = {}
         self.mappers = tuple(mappers)
+        self._derived = dict(derived or {})
+        self._typed = dict(typed or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._views:
-            source = self._sources[name]
+            source = self._derived[name].source if name in self._derived else self._sources[name]
             self._views[name] = source() if callable(source) else source
         return self._views[name]
 
     def __contains__(self, name: str) -> bool:
-        return name in self._sources
+        return name in self._sources or name in self._derived
 
     def names(self) -> list[str]:
+        """The views; stored sub-plans of reports are not among them."""
         return sorted(self._sources)
 
     def with_views(self, **views: ViewSource) -> GridModel:
-        return GridModel(self._sources | views, self.mappers)
+        """A model with other views; what was derived from a replaced one is derived anew."""
+        derived = {name: plan for name, plan in self._derived.items() if not plan.inputs & views.keys()}
+        typed = {name: view for name, view in self._typed.items() if name not in views}
+        return GridModel(self._sources | views, self.mappers, derived, typed)
+
+    def typed(self, name: str) -> EntityView:
+        """A view over quads whose cells keep value, datatype and kind; `query` converts the ones a user selects."""
+        return self._typed[name]()
 
     def finish(self, report: DataFrame) -> DataFrame:
         """Apply the configured value mappers to a finished report."""
@@ -150,16 +168,26 @@ class GridModel:
             for name in ("full_model", "model_profile", "model_dependency"):
                 kind = "edge" if name in EDGES else "view"
                 views[f"state_{name}"] = lambda n=name, k=kind: getattr(side, k)(n)
-        return cls(views, mappers)
+        typed = {name: (lambda n=name: table(n).typed(n)) for name in VIEWS}
+        return cls(views, mappers, typed=typed)
 
-    def save(self, folder: str, names: Iterable[str] | None = None) -> GridModel:
-        """Write views as Parquet and return a model that reads them back."""
+    def save(self, folder: str, names: Iterable[str] | None = None, derive: bool = True) -> GridModel:
+        """Write views as Parquet and return a model that reads them back.
+
+        With `derive`, sub-plans that many reports share are written as well, from the stored views. They are
+        used as long as none of the views they were derived from is written again.
+        """
         chosen = list(names or self.names())
         views = {name: self[name] for name in chosen}
+        spark = views[chosen[0]].sparkSession
+        # A new stamp before the data: whatever was derived from the old data is out of date from here on.
+        stored.stamp(spark, folder, chosen)
         # The jobs are independent; submitting a few at a time keeps the cluster busy at their tails.
         with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
             list(pool.map(lambda n: _stored(views[n]).write.mode("overwrite").parquet(f"{folder}/{n}"), chosen))
-        return GridModel.load(self[chosen[0]].sparkSession, folder, chosen, self.mappers)
+        if derive:
+            stored.derive(GridModel.load(spark, folder, chosen), folder)
+        return GridModel.load(spark, folder, chosen, self.mappers)
 
     def save_buckets(
         self, folder: str, buckets: int, names: Iterable[str] | None = None, prefix: str = "default.grid_"
@@ -180,7 +208,9 @@ class GridModel:
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str, names: Iterable[str], mappers: Iterable[Mapper] = ()) -> GridModel:
-        return cls({name: (lambda n=name: EntityView.loaded(n, spark.read.parquet(f"{folder}/{n}"))) for name in names}, mappers)
+        names = list(names)
+        views = {name: (lambda n=name: EntityView.loaded(n, spark.read.parquet(f"{folder}/{n}"))) for name in names}
+        return cls(views, mappers, stored.valid(spark, folder, names))
 
     def to_quads(self, graph: str, names: Iterable[str] | None = None) -> DataFrame:
         """The views as one quad table."""

@@ -12,17 +12,18 @@ from voltframe.plans import shared as s
 
 # Square root of three, as the current limits are converted with (fixed value).
 ROOT3 = 1.7320508075688772
+END_COLUMNS = ("terminal", "equipment", "node", "connected")
 
 
 def _line_ends(m: GridModel, ends: DataFrame, branches: DataFrame, region: str | None) -> DataFrame:
     """One row per branch from its terminals: flows, flags and nodes of end 1 and end 2."""
-    ends = with_match(
-        required(ends, "node", "connected").select("terminal", "equipment", "node", "nr", "connected"),
-        branches.select("equipment"),
-        "equipment",
-    )
-    nodes = required(s.node_area(m, region), "connectivity_node").select("node", "connectivity_node")
-    ends = optional(ends.join(nodes, "node"), s.power_flow(m, "p"), "terminal")
+    ends = with_match(required(ends, "node", "connected"), branches.select("equipment"), "equipment")
+    if "connectivity_node" in ends.columns:
+        ends = ends.filter(s.in_region(region))
+    else:
+        ends = ends.join(required(s.node_area(m, region, "connectivity_node"), "connectivity_node").select("node", "connectivity_node"), "node")
+    ends = ends.select("terminal", "equipment", "nr", "connected", "connectivity_node")
+    ends = optional(ends, s.power_flow(m, "p"), "terminal")
     return ends.groupBy("equipment").agg(
         F.count("*").alias("ends"),
         at_end(1, "p").alias("p_1"),
@@ -36,9 +37,10 @@ def _line_ends(m: GridModel, ends: DataFrame, branches: DataFrame, region: str |
 
 def ac_lines(m: GridModel, region: str | None = None, rate: str | None = None) -> DataFrame:
     lines = required(m["ac_line"], "r", "x", "bch", "mrid", "name", "base_voltage", "length")
-    lines = lines.filter(s.enabled()).withColumnRenamed("id", "equipment").drop("types", "container")
+    used = ("mrid", "name", "r", "x", "bch", "gch", "length", "base_voltage")
+    lines = lines.filter(s.enabled()).select(F.col("id").alias("equipment"), *used)
     lines = lines.join(s.line_nominal(m), "base_voltage")
-    ends = _line_ends(m, s.terminal_ends(m), lines, region).filter(
+    ends = _line_ends(m, s.terminal_ends(m, *END_COLUMNS, located=True), lines, region).filter(
         "ends > 1 AND connectivity_node_1 <> connectivity_node_2 AND connectivity_node_1 <> '' AND connectivity_node_2 <> ''"
     )
     limit = s.limits(m, "ActivePowerLimit", "active_power", rate, "equipment", "equipment")
@@ -72,13 +74,13 @@ def series_compensators(
     branches = required(m["series_compensator"], "r", "x", "mrid", "name", "base_voltage")
     if strict_intent:
         branches = branches.filter(s.enabled())
-    branches = branches.withColumnRenamed("id", "equipment").drop("types", "container")
+    branches = branches.select(F.col("id").alias("equipment"), "mrid", "name", "r", "x", "base_voltage")
     branches = branches.join(s.line_nominal(m), "base_voltage")
     # A group needs two rows, and several limits on one compensator multiply its rows.
     limit = s.limits(m, "CurrentLimit", "current", rate, "equipment", "equipment")
     limit = limit.groupBy("equipment").agg(F.max("rate").alias("current"), F.count("*").alias("limits"))
     status = s.in_service(m).groupBy("equipment").agg(F.max("in_service").alias("in_service"), F.count("*").alias("states"))
-    ends = _line_ends(m, s.numbered_ends(m), branches, region).filter("connectivity_node_1 <> connectivity_node_2")
+    ends = _line_ends(m, s.numbered_ends(m, *END_COLUMNS, located=True), branches, region).filter("connectivity_node_1 <> connectivity_node_2")
     rows = optional(optional(branches.join(ends, "equipment"), limit, "equipment"), status, "equipment")
     rows = rows.filter("ends * coalesce(limits, 1) * coalesce(states, 1) > 1")
     return m.finish(
@@ -102,11 +104,12 @@ def transformers(m: GridModel, region: str | None = None, rate: str | None = Non
     owners = (
         required(m["power_transformer"].filter(has_type("PowerTransformer") & s.enabled()), "mrid", "container")
         .select(F.col("id").alias("transformer"), F.col("mrid").alias("p_mrid"), F.col("container").alias("substation"))
-        .join(s.substation_area(m, region).select("substation"), "substation")
+        .join(s.substation_area(m, region, "substation").select("substation"), "substation")
     )
     ends = required(m["transformer_end"], "transformer", "rated_u", "r", "x", "mrid", "name", "end_number", "terminal")
     terminal = m["terminal"].select(F.col("id").alias("terminal"), F.col("mrid").alias("t_mrid"))
-    rows = ends.withColumnRenamed("id", "winding").join(owners, "transformer").join(required(terminal, "t_mrid"), "terminal")
+    ends = ends.select(F.col("id").alias("winding"), "transformer", "rated_u", "r", "x", "mrid", "name", "end_number", "terminal")
+    rows = ends.join(owners, "transformer").join(required(terminal, "t_mrid"), "terminal")
     rows = optional(rows, s.limits(m, "ActivePowerLimit", "active_power", rate, "equipment", "winding"), "winding")
     return m.finish(
         rows.select(
@@ -125,10 +128,10 @@ def _losses(m: GridModel) -> DataFrame:
     owners = (
         required(m["power_transformer"].filter(s.enabled()), "mrid", "container")
         .select(F.col("id").alias("transformer"), "mrid", F.col("container").alias("substation"))
-        .join(s.substation_area(m).select("substation"), "substation")
+        .join(s.substation_area(m, None, "substation").select("substation"), "substation")
     )
     ends = required(m["transformer_end"].select(F.col("id").alias("winding"), "transformer", "terminal"), "terminal")
-    connected = required(s.terminals(m).select("terminal", "connected"), "connected")
+    connected = required(s.terminals(m, "terminal", "connected"), "connected")
     rows = ends.join(owners, "transformer").join(connected, "terminal")
     rows = optional(optional(rows, s.power_flow(m, "p"), "terminal"), s.in_service(m, "winding"), "winding")
     running = F.when(F.coalesce("in_service", "connected"), 1).otherwise(0)
@@ -154,7 +157,7 @@ def windings(m: GridModel) -> DataFrame:
     owners = required(m["power_transformer"].select(F.col("id").alias("transformer"), F.col("name").alias("_name")), "_name")
     ends = required(m["transformer_end"].select(F.col("id").alias("winding"), "transformer", "terminal"), "terminal")
     rows = ends.join(owners, "transformer")
-    rows = optional(rows, required(s.terminals(m).select("terminal", "connected"), "connected"), "terminal")
+    rows = optional(rows, required(s.terminals(m, "terminal", "connected"), "connected"), "terminal")
     rows = optional(optional(rows, s.power_flow(m, "p"), "terminal"), s.in_service(m, "winding"), "winding")
     running = F.when(F.coalesce("in_service", "connected", F.lit(True)), 1).otherwise(0)
     return m.finish(
@@ -184,12 +187,13 @@ def transformer_branches(
     owners = (
         required(m["power_transformer"].filter(s.enabled()), "mrid", "container")
         .select(F.col("id").alias("transformer"), F.col("mrid").alias("connectivity_node_2"), F.col("container").alias("substation"))
-        .join(s.substation_area(m, region).select("substation"), "substation")
+        .join(s.substation_area(m, region, "substation").select("substation"), "substation")
     )
     ends = required(m["transformer_end"], "transformer", "terminal", "mrid", "name", "rated_u", "r", "x", "b", "g")
-    ends = ends.withColumnRenamed("id", "winding").drop("types", "end_number", "phase_tap_changer")
-    terminal = required(s.terminals(m).select("terminal", "node", "connected"), "node", "connected")
-    levels = s.voltage_levels(m).select("container", "base_voltage").join(s.line_nominal(m), "base_voltage")
+    used = ("transformer", "terminal", "mrid", "name", "rated_u", "r", "x", "b", "g", "phase_angle_clock")
+    ends = ends.select(F.col("id").alias("winding"), *used)
+    terminal = required(s.terminals(m, "terminal", "node", "connected"), "node", "connected")
+    levels = s.voltage_levels(m, "container", "base_voltage").join(s.line_nominal(m), "base_voltage")
     nodes = required(s.node_containers(m), "connectivity_node").join(levels, "container").select("node", "connectivity_node", "un")
     rows = ends.join(owners, "transformer").join(terminal, "terminal").join(nodes, "node")
     rows = optional(rows, s.limits(m, "ActivePowerLimit", "active_power", rate, "terminal", "terminal"), "terminal")
@@ -254,11 +258,11 @@ def phase_tap_changer(m: GridModel) -> DataFrame:
 def sv_branch(m: GridModel) -> DataFrame:
     """Lines with measured flow, voltage and angle at both ends; the length is never bound."""
     lines = required(m["ac_line"], "r", "x", "bch", "gch", "mrid", "name", "base_voltage").filter(s.enabled())
-    lines = lines.withColumnRenamed("id", "equipment").drop("types", "container", "length")
+    lines = lines.select(F.col("id").alias("equipment"), "mrid", "name", "r", "x", "bch", "gch", "base_voltage")
     lines = lines.join(s.line_nominal(m), "base_voltage").join(s.in_service(m), "equipment")
     nodes = m["connectivity_node"].select(F.col("id").alias("node"), "topological_node")
     voltage = required(m["sv_voltage"], "node", "v", "angle").select(F.col("node").alias("topological_node"), "v", "angle")
-    ends = required(s.terminal_ends(m).filter(has_type("Terminal") & F.col("nr").isin(1, 2)), "node")
+    ends = required(s.terminal_ends(m, *END_COLUMNS, "types", "terminal_connected").filter(has_type("Terminal") & F.col("nr").isin(1, 2)), "node")
     # Either connected property will do; a terminal with both counts twice.
     states = (F.col("connected").isNotNull().cast("int") + F.col("terminal_connected").isNotNull().cast("int")).alias("states")
     ends = with_match(ends.select("terminal", "equipment", "node", "nr", states), lines.select("equipment"), "equipment")

@@ -22,7 +22,7 @@ def _on_poles(m: GridModel) -> DataFrame:
 def converters(m: GridModel, region: str | None = None) -> DataFrame:
     """Converters with losses and controller; `region` has no effect."""
     del region
-    poles = m["dc_pole"].withColumnRenamed("id", "pole")
+    poles = m["dc_pole"].select(F.col("id").alias("pole"), "controller", "base_voltage", "participation_factor")
     controllers = required(m["dc_controller"].select(F.col("id").alias("controller"), F.col("mrid").alias("controller_mrid")), "controller_mrid")
     factor = _on_poles(m).select("pole").join(required(poles.select("pole", "participation_factor"), "participation_factor"), "pole")
     factor = factor.groupBy("pole").agg(
@@ -32,8 +32,8 @@ def converters(m: GridModel, region: str | None = None) -> DataFrame:
     poles = optional(poles.select("pole", "controller", "base_voltage"), voltage, "base_voltage").drop("base_voltage")
     rows = required(_on_poles(m).filter(s.enabled()), "mrid", "name", "p", "q").withColumnRenamed("id", "equipment").drop("types")
     rows = rows.join(poles, "pole").join(controllers, "controller").join(factor, "pole")
-    ends = required(s.terminal_ends(m).filter("nr = 1"), "node", "connected").select("equipment", "node", "connected")
-    nodes = required(s.node_area(m), "connectivity_node", "substation_mrid").join(s.line_nominal(m), "base_voltage")
+    ends = required(s.terminal_ends(m, "equipment", "node", "connected").filter("nr = 1"), "node", "connected").select("equipment", "node", "connected")
+    nodes = required(s.node_area(m, None, "connectivity_node", "substation_mrid", "base_voltage"), "connectivity_node", "substation_mrid").join(s.line_nominal(m), "base_voltage")
     rows = rows.join(ends, "equipment").join(nodes.select("node", "connectivity_node", "substation_mrid", "un"), "node")
     rows = optional(rows, s.in_service(m), "equipment")
     # Losses and the pole voltage are bound together or not at all.
@@ -62,13 +62,13 @@ def converters(m: GridModel, region: str | None = None) -> DataFrame:
 
 def transformers_connected_to_converter(m: GridModel, region: str | None = None) -> DataFrame:
     """Transformers that share a node with a converter; both sides are reduced to distinct keys first."""
-    ends = required(s.terminals(m).select("equipment", "node"), "equipment", "node")
+    ends = required(s.terminals(m, "equipment", "node"), "equipment", "node")
     converter = required(m["converter"].filter(has_type(*CONVERTER_CLASSES) & s.enabled()), "mrid")
     converter = converter.select(F.col("id").alias("equipment"), "mrid")
     owners = required(m["power_transformer"].filter(has_type("PowerTransformer") & s.enabled()), "mrid", "alias_name", "container")
     owners = owners.select(
         F.col("id").alias("equipment"), F.col("mrid").alias("p_mrid"), F.col("alias_name").alias("name"), F.col("container").alias("substation")
-    ).join(s.substation_area(m, region).select("substation"), "substation")
+    ).join(s.substation_area(m, region, "substation").select("substation"), "substation")
     first = m["transformer_end"].filter("end_number = 1").select(F.col("transformer").alias("equipment"), "terminal")
     terminal = m["terminal"].select(F.col("id").alias("terminal"), F.col("mrid").alias("t_mrid"))
     first = required(first.join(terminal, "terminal").select("equipment", "t_mrid"), "t_mrid")
@@ -83,10 +83,10 @@ def hvdc(m: GridModel) -> DataFrame:
     Lines are first summed per pair of nodes, so the join to converters does not grow with the number of
     parallel lines.
     """
-    ends = required(s.numbered_ends(m).select("equipment", "node", "nr"), "equipment", "node")
+    ends = required(s.numbered_ends(m, "equipment", "node"), "equipment", "node")
     source = required(m["converter"].filter(has_type("VoltageSourceConverter")), "mrid")
     source = source.select(F.col("id").alias("equipment"), "mrid")
-    at_node = required(s.terminals(m).select("equipment", "node"), "equipment", "node").join(source, "equipment")
+    at_node = required(s.terminals(m, "equipment", "node"), "equipment", "node").join(source, "equipment")
     at_node = at_node.groupBy("node", "mrid").agg(F.count("*").alias("times"))
     line = required(m["dc_line"].filter(has_type("DCLineSegment")), "resistance", "name")
     line = line.select(F.col("id").alias("equipment"), "name", float32_of("resistance").alias("r"))

@@ -17,13 +17,14 @@ BRANCH_CLASSES = ("ACLineSegment", "SeriesCompensator", "PowerTransformer")
 
 
 def _sites(m: GridModel, region: str | None) -> DataFrame:
-    return required(s.level_area(m, region), "substation_mrid").select("container", "substation_mrid")
+    return required(s.level_area(m, region, "substation_mrid"), "substation_mrid").select("container", "substation_mrid")
 
 
 def _connected_ends(m: GridModel) -> DataFrame:
     """Terminals with a node name, a connected flag and both flows."""
-    ends = required(s.terminals(m).select("terminal", "equipment", "node", "connected"), "equipment", "node", "connected")
-    return ends.join(s.node_mrids(m), "node").join(s.power_flow(m, "p", "q"), "terminal").drop("terminal", "node")
+    ends = required(s.node_ends(m, s.stored_terminals(m, "terminal", "equipment", "node", "connected")), "equipment", "node", "connected")
+    ends = ends.select("terminal", "equipment", "node", "connected", "connectivity_node")
+    return ends.join(s.power_flow(m, "p", "q"), "terminal").drop("terminal", "node")
 
 
 def loads(m: GridModel, region: str | None = None) -> DataFrame:
@@ -141,10 +142,11 @@ def branch_node_withdraw(m: GridModel, region: str | None = None) -> DataFrame:
     """Flow at every connected branch terminal, with its topological node."""
     branches = m["equipment"].filter(s.enabled()).select(F.col("id").alias("equipment"), F.explode("types").alias("type"))
     branches = branches.filter(F.col("type").isin(*BRANCH_CLASSES)).select("equipment")
-    ends = required(s.terminals(m).filter("connected"), "terminal_mrid", "equipment", "node").select(
-        "terminal", "terminal_mrid", "equipment", "node", "terminal_topological_node"
-    )
-    nodes = required(s.node_area(m, region), "connectivity_node").select("node", "connectivity_node")
+    ends = required(
+        s.terminals(m, "terminal", "terminal_mrid", "equipment", "node", "terminal_topological_node", "connected").filter("connected"),
+        "terminal_mrid", "equipment", "node",
+    ).drop("connected")
+    nodes = required(s.node_area(m, region, "connectivity_node"), "connectivity_node").select("node", "connectivity_node")
     named = m["topological_node"].select(F.col("id").alias("topological_node"), F.col("mrid").alias("tp_mrid"))
     ends = ends.join(branches, "equipment").join(nodes, "node").join(s.power_flow(m, "p", "q"), "terminal")
     rows = s.terminal_topology(m, ends).join(required(named, "tp_mrid"), "topological_node")
@@ -165,7 +167,7 @@ def dc_active_flow(m: GridModel, region: str | None = None) -> DataFrame:
         F.col("id").alias("equipment"), "mrid", "container", F.explode("types").alias("type")
     )
     branches = branches.filter(F.col("type").isin("ACLineSegment", "SeriesCompensator")).join(places, "container")
-    ends = s.terminal_ends(m).select("terminal", "equipment", "nr")
+    ends = s.terminal_ends(m, "terminal", "equipment")
     of_branches = ends.join(branches, "equipment").select("terminal", "mrid", F.when(F.col("nr") == 1, 1).otherwise(-1).alias("direction"))
     owners = m["power_transformer"].select(F.col("id").alias("transformer"), F.col("container").alias("substation"))
     windings = required(m["transformer_end"].select("transformer", "terminal", "mrid"), "mrid", "terminal")
@@ -178,22 +180,23 @@ def dc_active_flow(m: GridModel, region: str | None = None) -> DataFrame:
 def powerflow(m: GridModel) -> DataFrame:
     """Flows that carry a class; flows added without one are left out."""
     flows = required(m["sv_power_flow"].filter(has_type("SvPowerFlow")), "terminal", "p", "q").select("terminal", "p", "q")
-    ends = required(s.terminals(m).select("terminal", F.col("terminal_mrid").alias("mrid"), "equipment"), "mrid")
+    ends = required(s.terminals(m, "terminal", "terminal_mrid", "equipment").withColumnRenamed("terminal_mrid", "mrid"), "mrid")
     rows = optional(flows.join(ends, "terminal"), s.in_service(m), "equipment")
     return m.finish(rows.select("mrid", "p", "q", F.coalesce("in_service", F.lit(True)).alias("in_service")))
 
 
 def sv_injection(m: GridModel) -> DataFrame:
     nodes = m["topological_node"].select(F.col("id").alias("node"), "mrid")
-    rows = required(m["sv_injection"], "node", "p", "q").join(required(nodes, "mrid"), "node")
+    rows = required(m["sv_injection"], "node", "p", "q").select("node", "p", "q").join(required(nodes, "mrid"), "node")
     return m.finish(rows.select(F.col("mrid").alias("node"), "p", "q"))
 
 
 def sv_power_deviation(m: GridModel) -> DataFrame:
     """Sum of terminal flows per topological node next to its reported injection."""
-    ends = required(s.terminals(m), "terminal", "node", "equipment", "terminal_name").select(
-        "terminal", "node", "equipment", "terminal_name", "terminal_topological_node"
-    )
+    ends = required(
+        s.terminals(m, "terminal", "node", "equipment", "terminal_name", "terminal_topological_node"),
+        "terminal", "node", "equipment", "terminal_name",
+    )
     converters = required(m["converter"].select(F.col("id").alias("equipment"), "p"), "p")
     measured = required(m["sv_power_flow"].select("terminal"), "terminal")
     flows = s.power_flow(m, "p").unionByName(

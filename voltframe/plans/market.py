@@ -26,7 +26,7 @@ def _named_lines(m: GridModel) -> DataFrame:
 
 
 def _placed_ends(m: GridModel, ends: DataFrame, lines: DataFrame) -> DataFrame:
-    areas = s.node_area(m).select("node", "area")
+    areas = s.node_area(m, None, "node").select("node", "area")
     ends = with_match(ends.filter(F.col("nr").isin(1, 2)), lines.select("equipment"), "equipment")
     return ends.join(areas, "node")
 
@@ -34,7 +34,7 @@ def _placed_ends(m: GridModel, ends: DataFrame, lines: DataFrame) -> DataFrame:
 def borders(m: GridModel, region: str | None = None) -> DataFrame:
     """Lines between two areas, at least one of which matches the region."""
     lines = _named_lines(m)
-    ends = required(s.terminal_ends(m).filter(has_type("Terminal")), "terminal_mrid", "node")
+    ends = required(s.terminal_ends(m, "types", "equipment", "node", "terminal_mrid").filter(has_type("Terminal")), "terminal_mrid", "node")
     ends = _placed_ends(m, ends.select("equipment", "node", "nr", "terminal_mrid"), lines)
 
     def end(nr: int) -> DataFrame:
@@ -52,8 +52,8 @@ def exchange(m: GridModel, region: str | None = None, strict_intent: bool = Fals
     lines = _named_lines(m)
     if region is None:
         return lines.sparkSession.createDataFrame([], EXCHANGE_SCHEMA)
-    ends = required(s.numbered_ends(m), "node", "connected")
-    ends = _placed_ends(m, ends.select("terminal", "equipment", "node", "nr", "connected", "terminal_topological_node"), lines)
+    ends = required(s.numbered_ends(m, "terminal", "equipment", "node", "connected", "terminal_topological_node"), "node", "connected")
+    ends = _placed_ends(m, ends, lines)
     first = ends.filter("nr = 1").withColumnRenamed("area", "area_1").withColumnRenamed("connected", "connected_1")
     second = ends.filter("nr = 2").select("equipment", F.col("area").alias("area_2"), F.col("connected").alias("connected_2"))
     inside, outside = s.in_region(region, "area_1"), s.in_region(region, "area_2")

@@ -38,7 +38,7 @@ def topological_nodes(m: GridModel, region: str | None = None) -> DataFrame:
         F.col("id").alias("topological_node"), F.col("mrid").alias("node"), F.col("name").alias("busname"), "base_voltage", "container"
     )
     voltage = m["sv_voltage"].select(F.col("node").alias("topological_node"), F.col("v").alias("sv_voltage"))
-    places = required(s.level_area(m, region).drop("base_voltage"), "substation_mrid", "substation_name")
+    places = required(s.level_area(m, region, "substation_mrid", "substation_name", "delivery_point").drop("base_voltage"), "substation_mrid", "substation_name")
     nodes = nodes.join(required(voltage, "sv_voltage"), "topological_node").join(places, "container")
     nodes = nodes.join(required(s.nominal(m), "un", "base_voltage_mrid"), "base_voltage")
     nodes = optional(nodes, s.bid_zones(m), "delivery_point")
@@ -70,11 +70,11 @@ def transformer_center_nodes(m: GridModel, region: str | None = None) -> DataFra
         F.col("id").alias("substation_id"), F.col("mrid").alias("substation_mrid"), F.col("name").alias("substation"), "delivery_point"
     )
     ends = m["transformer_end"].filter("end_number = 1").select("transformer", "terminal")
-    terminal = required(s.terminals(m).select("terminal", F.col("node").alias("con_node")), "con_node")
+    terminal = required(s.terminals(m, "terminal", "node").withColumnRenamed("node", "con_node"), "con_node")
     nodes = required(m["connectivity_node"], "mrid", "container").select(
         F.col("id").alias("con_node"), F.col("mrid").alias("connectivity_node"), "container", "topological_node"
     )
-    levels = s.voltage_levels(m).select("container", "base_voltage")
+    levels = s.voltage_levels(m, "container", "base_voltage")
     levels = levels.join(required(s.nominal(m), "un", "base_voltage_mrid"), "base_voltage")
     rows = owners.join(sites.join(s.bid_zones(m), "delivery_point"), "substation_id")
     rows = ends.join(rows, "transformer").join(terminal, "terminal").join(nodes.join(levels, "container"), "con_node")
@@ -108,7 +108,7 @@ def connections(m: GridModel, region: str | None = None) -> DataFrame:
         F.col("id").alias("equipment"), "mrid", F.explode("types").alias("type")
     )
     owners = owners.filter(F.col("type").isin("Breaker", "Disconnector"))
-    ends = required(s.terminal_ends(m), "terminal_mrid").filter(F.col("nr").isin(1, 2))
+    ends = required(s.terminal_ends(m, "equipment", "terminal_mrid"), "terminal_mrid").filter(F.col("nr").isin(1, 2))
     ends = ends.select("equipment", "nr", "terminal_mrid")
     first = ends.filter("nr = 1").select("equipment", F.col("terminal_mrid").alias("t_mrid_1"))
     second = ends.filter("nr = 2").select("equipment", F.col("terminal_mrid").alias("t_mrid_2"))
@@ -123,7 +123,7 @@ def switches(m: GridModel) -> DataFrame:
         F.explode("types").alias("equipment_type"),
     )
     owners = owners.filter(F.col("equipment_type").isin(*SWITCH_CLASSES))
-    ends = with_match(s.numbered_ends(m).select("equipment", "node", "nr"), owners.select("equipment"), "equipment")
+    ends = with_match(s.numbered_ends(m, "equipment", "node"), owners.select("equipment"), "equipment")
     last = ends.groupBy("equipment").agg(F.max("nr").alias("nr"))
     ends = required(ends, "node").join(s.node_mrids(m), "node").select("equipment", "nr", "connectivity_node")
     first = ends.filter("nr = 1").select("equipment", F.col("connectivity_node").alias("connectivity_node_1"))
@@ -148,7 +148,7 @@ def associated_switches(m: GridModel) -> DataFrame:
     The list of a node is built once and then handed to its equipment, so the join never carries one row
     per pair of terminals.
     """
-    ends = required(s.terminals(m).select("equipment", "node", "sequence_number"), "equipment")
+    ends = required(s.terminals(m, "equipment", "node", "sequence_number"), "equipment")
     two_sided = ends.filter("sequence_number = 2").groupBy("equipment").agg(F.count("*").cast("int").alias("copies"))
     switch = required(m["switch"], "normal_open", "mrid", "name").select(F.col("id").alias("equipment"), "mrid", "name")
     at_nodes = required(ends.select("equipment", "node"), "node")
@@ -177,7 +177,7 @@ def disconnected(m: GridModel) -> DataFrame:
 
 
 def _equipment_nodes(m: GridModel) -> DataFrame:
-    return required(s.terminals(m).select("equipment", "node"), "equipment", "node")
+    return required(s.terminals(m, "equipment", "node"), "equipment", "node")
 
 
 def _spread(ends: DataFrame, values: DataFrame, best: str) -> DataFrame:
@@ -203,7 +203,7 @@ def connectivity_nodes(m: GridModel, region: str | None = None, strict_intent: b
     sites = m["substation"].select(F.col("id").alias("substation"), "delivery_point").join(s.bid_zones(m), "delivery_point")
 
     # Where equipment ends: bid zones and base voltages of the containers its nodes lie in.
-    held = s.node_containers(m).select("node", "container").join(levels, "container")
+    held = s.node_containers(m, "node").join(levels, "container")
     zones = held.join(sites, "substation").select("node", F.col("bidzone").alias("nearby_bidzone"))
     volts = held.join(bases, "base_voltage").select("node", F.struct("un", "base_voltage_mrid").alias("top"))
 
@@ -247,7 +247,7 @@ def connectivity_nodes(m: GridModel, region: str | None = None, strict_intent: b
 def busbar_section(m: GridModel) -> DataFrame:
     """Nodes of busbars with the number of terminals met there (the busbar's own included)."""
     busbars = m["equipment"].filter(has_type("BusbarSection")).select(F.col("id").alias("equipment"), F.col("mrid").alias("busbar_mrid"))
-    ends = required(s.terminals(m).select("equipment", "node"), "node")
+    ends = required(s.terminals(m, "equipment", "node"), "node")
     own = with_match(required(ends, "equipment"), busbars, "equipment")
     per_node = ends.groupBy("node").agg(F.count("*").alias("terminals"))
     counts = own.join(per_node, "node").groupBy("equipment").agg(F.sum("terminals").alias("terminal_count"))

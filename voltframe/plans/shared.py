@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +17,30 @@ CIM_NAMESPACE = "http://iec.ch/TC57/2013/CIM-schema-cim16#"
 DEFAULT_RATE = "Normal@20"
 
 
+# Sub-plans over whole views that `GridModel.save` writes beside the views.
+DERIVED: dict[str, Callable[..., DataFrame]] = {}
+
+
+def derived(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Read the sub-plan from the model where it is stored there, else derive it from the views."""
+    name = f"derived_{build.__name__}"
+    DERIVED[name] = build
+
+    @wraps(build)
+    def chosen(m: GridModel, *columns: str) -> DataFrame:
+        return m[name] if name in m else build(m, *columns)
+
+    return chosen
+
+
+def picked(view: DataFrame, names: dict[str, str], columns: tuple[str, ...]) -> DataFrame:
+    """Columns of a view under the names of a sub-plan: those asked for, or all.
+
+    A report names what it uses, since a property with several values gives a row for each to whoever selects it.
+    """
+    return view.select(*[F.col(source).alias(name) for name, source in names.items() if not columns or name in columns])
+
+
 def in_region(region: str | None, area: str = "area") -> Column:
     """Unanchored match of the area name; every bound area matches when no region is given."""
     return F.col(area).rlike(region) if region else F.col(area).isNotNull()
@@ -30,19 +57,20 @@ def region_names(m: GridModel) -> DataFrame:
     return required(sub.join(geo, "_geo").drop("_geo"), "area")
 
 
-def substation_area(m: GridModel, region: str | None = None) -> DataFrame:
-    sub = m["substation"].select(
-        F.col("id").alias("substation"),
-        F.col("mrid").alias("substation_mrid"),
-        F.col("name").alias("substation_name"),
-        F.col("region").alias("sub_region"),
-        "delivery_point",
-    )
-    return sub.join(region_names(m).filter(in_region(region)), "sub_region").drop("sub_region")
+@derived
+def substations(m: GridModel, *columns: str) -> DataFrame:
+    """Substation -> name of its area, where it has one."""
+    names = {"substation": "id", "substation_mrid": "mrid", "substation_name": "name", "sub_region": "region", "delivery_point": "delivery_point"}
+    sub = picked(m["substation"], names, columns and (*columns, "substation", "sub_region"))
+    return sub.join(region_names(m), "sub_region").drop("sub_region")
 
 
-def voltage_levels(m: GridModel) -> DataFrame:
-    return m["voltage_level"].select(F.col("id").alias("container"), "substation", "base_voltage")
+def substation_area(m: GridModel, region: str | None = None, *columns: str) -> DataFrame:
+    return substations(m, *columns).filter(in_region(region))
+
+
+def voltage_levels(m: GridModel, *columns: str) -> DataFrame:
+    return picked(m["voltage_level"], {"container": "id", "substation": "substation", "base_voltage": "base_voltage"}, columns)
 
 
 def nominal(m: GridModel) -> DataFrame:
@@ -54,12 +82,13 @@ def nominal(m: GridModel) -> DataFrame:
 
 
 def line_nominal(m: GridModel) -> DataFrame:
-    return required(nominal(m), "un").drop("base_voltage_mrid")
+    return required(m["base_voltage"].select(F.col("id").alias("base_voltage"), F.col("nominal_voltage").alias("un")), "un")
 
 
-def level_area(m: GridModel, region: str | None = None) -> DataFrame:
+def level_area(m: GridModel, region: str | None = None, *columns: str) -> DataFrame:
     """Voltage level -> substation and area."""
-    return voltage_levels(m).join(substation_area(m, region), "substation")
+    levels = voltage_levels(m, *(columns and (*columns, "container", "substation")))
+    return levels.join(substation_area(m, region, *columns), "substation")
 
 
 def node_mrids(m: GridModel) -> DataFrame:
@@ -67,42 +96,74 @@ def node_mrids(m: GridModel) -> DataFrame:
     return required(nodes, "connectivity_node")
 
 
-def node_containers(m: GridModel) -> DataFrame:
-    nodes = m["connectivity_node"].select(
-        F.col("id").alias("node"), F.col("mrid").alias("connectivity_node"), "container"
-    )
-    return required(nodes, "container")
+def node_containers(m: GridModel, *columns: str) -> DataFrame:
+    names = {"node": "id", "connectivity_node": "mrid", "container": "container"}
+    return required(picked(m["connectivity_node"], names, columns and (*columns, "node", "container")), "container")
 
 
-def node_area(m: GridModel, region: str | None = None) -> DataFrame:
+@derived
+def placed_nodes(m: GridModel, *columns: str) -> DataFrame:
     """Connectivity node -> voltage level -> substation -> area."""
-    return node_containers(m).join(level_area(m, region), "container")
-
-
-def terminals(m: GridModel) -> DataFrame:
-    return m["terminal"].select(
-        F.col("id").alias("terminal"),
-        "types",
-        F.col("mrid").alias("terminal_mrid"),
-        F.col("name").alias("terminal_name"),
-        "equipment",
-        "node",
-        F.col("topological_node").alias("terminal_topological_node"),
-        "sequence_number",
-        "terminal_sequence_number",
-        "connected",
-        "terminal_connected",
-    )
+    return node_containers(m, *columns).join(level_area(m, None, *columns), "container")
+
+
+def node_area(m: GridModel, region: str | None = None, *columns: str) -> DataFrame:
+    return placed_nodes(m, *columns).filter(in_region(region))
+
+
+TERMINAL = {
+    "terminal": "id",
+    "types": "types",
+    "terminal_mrid": "mrid",
+    "terminal_name": "name",
+    "equipment": "equipment",
+    "node": "node",
+    "terminal_topological_node": "topological_node",
+    "sequence_number": "sequence_number",
+    "terminal_sequence_number": "terminal_sequence_number",
+    "connected": "connected",
+    "terminal_connected": "terminal_connected",
+}
+
+
+def terminals(m: GridModel, *columns: str) -> DataFrame:
+    return picked(m["terminal"], TERMINAL, columns)
+
+
+def terminal_ends(m: GridModel, *columns: str, located: bool = False) -> DataFrame:
+    """Terminals with `nr` from either sequence-number property; `located` takes them from `stored_terminals`."""
+    either = ("sequence_number", "terminal_sequence_number")
+    return alternatives((stored_terminals if located else terminals)(m, *(columns and (*columns, *either))), "nr", *either)
+
+
+def numbered_ends(m: GridModel, *columns: str, located: bool = False) -> DataFrame:
+    """Terminals with `nr` from the current sequence-number property only; `located` as in `terminal_ends`."""
+    rows = (stored_terminals if located else terminals)(m, *(columns and (*columns, "sequence_number")))
+    return required(rows.withColumnRenamed("sequence_number", "nr"), "nr")
+
+
+@derived
+def located_terminals(m: GridModel) -> DataFrame:
+    """Terminals with the mRID of their node and the area of its substation, where they have them.
+
+    Views have one row per subject, so no join here multiplies rows.
+    """
+    nodes = m["connectivity_node"].select(F.col("id").alias("node"), F.col("mrid").alias("connectivity_node"), "container")
+    areas = level_area(m, None, "container").select("container", "area")
+    return terminals(m).join(nodes.join(areas, "container", "left").drop("container"), "node", "left")
 
 
-def terminal_ends(m: GridModel) -> DataFrame:
-    """Terminals with `nr` from either sequence-number property."""
-    return alternatives(terminals(m), "nr", "sequence_number", "terminal_sequence_number")
+def node_ends(m: GridModel, ends: DataFrame) -> DataFrame:
+    """Add the mRID of the node to ends that have one."""
+    return ends if "connectivity_node" in ends.columns else ends.join(node_mrids(m), "node")
 
 
-def numbered_ends(m: GridModel) -> DataFrame:
-    """Terminals with `nr` from the current sequence-number property only."""
-    return required(terminals(m).withColumnRenamed("sequence_number", "nr"), "nr")
+def stored_terminals(m: GridModel, *columns: str) -> DataFrame:
+    """Terminals, with the mRID and area of their nodes if these are stored beside them."""
+    if "derived_located_terminals" not in m:
+        return terminals(m, *columns)
+    rows = required(located_terminals(m), "connectivity_node")
+    return rows.select(*columns, "connectivity_node", "area") if columns else rows
 
 
 def terminal_topology(m: GridModel, ends: DataFrame) -> DataFrame:

@@ -638,18 +638,22 @@ class EntityTable:
             self.kinds = {row.kind: {prop for prop in ANCHORS if row[prop]} for row in found}
             self.repeated = {prop for row in found for prop in row.again}
 
-    def _grouped(self, properties: Iterable[str]) -> DataFrame:
-        """subject, types, and the different facts (property, value); the filter prunes quads stored by predicate."""
+    def _grouped(self, properties: Iterable[str], cell: Column | None = None) -> DataFrame:
+        """subject, types, and the different facts (property, value); the filter prunes quads stored by predicate.
+
+        `cell` takes the place of the object's text as the value of a fact.
+        """
         prop = local_name(F.col("predicate"))
         named = self.quads.filter(prop.isin(TYPE_PROPERTY, *properties)).withColumn("property", prop)
-        value = F.when(F.col("property") == TYPE_PROPERTY, local_name(F.col("object"))).otherwise(F.col("object"))
+        typed = F.col("property") == TYPE_PROPERTY
+        value = F.when(~typed, F.col("object") if cell is None else cell)
+        kind = F.when(typed, local_name(F.col("object")))
         # Copies of a value collapse before the exchange, in a hash aggregate that has keys only, so a hot subject
         # never lands in one task as a whole; what is collected per subject afterwards is its different facts.
-        facts = named.select("subject", "property", value.alias("value")).distinct()
-        typed = F.col("property") == TYPE_PROPERTY
+        facts = named.select("subject", "property", value.alias("value"), kind.alias("class")).distinct()
         return facts.groupBy("subject").agg(
             F.collect_list(F.when(~typed, F.struct("property", "value"))).alias("facts"),
-            F.array_sort(F.collect_list(F.when(typed, F.col("value")))).alias("types"),
+            F.array_sort(F.collect_list("class")).alias("types"),
         )
 
     def _candidates(self, spec: View, properties: list[str], anchors: list[str]) -> tuple[DataFrame, Callable[[str], Column]]:
@@ -685,6 +689,19 @@ class EntityTable:
         rows = rows.filter(belongs).select(F.col("subject").alias("id"), "types", *values, *unset).select("id", "types", *spec.columns)
         return EntityView(rows, used, frozenset(several))
 
+    def typed(self, name: str) -> EntityView:
+        """A view whose cells are (value, datatype, kind) as in the quads, nothing parsed."""
+        spec = VIEWS[name]
+        kind = F.when(F.col("object_kind") == "iri", F.lit("uri")).otherwise(F.col("object_kind"))
+        cell = F.struct(F.col("object").alias("value"), "datatype", kind.alias("kind"))
+        props = {c: prop for c, (prop, _) in spec.columns.items()}
+        belongs = F.arrays_overlap("types", F.array(*map(F.lit, spec.classes))) if spec.classes else F.lit(False)
+        for anchor in spec.anchors:
+            belongs = belongs | (F.size(_values(props[anchor])) > 0)
+        rows = self._grouped(sorted(set(props.values())), cell).filter(belongs)
+        rows = rows.select(F.col("subject").alias("id"), "types", *[_values(prop).alias(c) for c, prop in props.items()])
+        return EntityView(rows, {}, frozenset(props))
+
     def edge(self, name: str) -> DataFrame:
         spec = EDGES[name]
         return (
