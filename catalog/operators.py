@@ -284,6 +284,47 @@ def _(m: GridModel) -> DataFrame:
     return GridModel.from_quads(quads, materialize=True).ac_lines()
 
 
+@query("stored_report_ac_lines", REPORT_SQL["ac_lines"])
+def _(m: GridModel) -> DataFrame:
+    """A report over a saved model, with the terminals located when it was saved."""
+    return m.save(scratch_folder(m["terminal"].sparkSession, "grid"), LINE_VIEWS).ac_lines()
+
+
+@query(
+    "stored_areas_renewed",
+    """SELECT 'ss-' || s_suppkey AS mrid, 'new ' || r_name AS area
+       FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name LIKE 'A%'""",
+)
+def _(m: GridModel) -> DataFrame:
+    """The areas of a saved model after its regions are written again: what was derived from the old ones is out of use."""
+    spark = m["substation"].sparkSession
+    folder, views = scratch_folder(spark, "grid"), ["substation", "sub_geographical_region", "geographical_region"]
+    m.save(folder, views)
+    renamed = m["geographical_region"].withColumn("name", F.concat(F.lit("new "), "name"))
+    GridModel({"geographical_region": renamed}).save(folder, ["geographical_region"])
+    areas = shared.substation_area(GridModel.load(spark, folder, views), "^new A", "substation_mrid")
+    return areas.select(F.col("substation_mrid").alias("mrid"), "area")
+
+
+@table_query(
+    "quads_unread_values",
+    "supplier",
+    """SELECT 'sw-' || s_suppkey AS mrid, 'a-' || s_suppkey AS t_mrid_1, 'b-' || s_suppkey AS t_mrid_2 FROM supplier""",
+)
+def _(supplier: DataFrame) -> DataFrame:
+    """Second names, nodes and topological nodes of terminals, none of which the report reads: one row a switch."""
+    switch = "'sw-' || s_suppkey"
+    facts = [(switch, "type", "'Breaker'"), (switch, "IdentifiedObject.mRID", switch)]
+    for end, nr in (("'a-' || s_suppkey", 1), ("'b-' || s_suppkey", 2)):
+        facts += [
+            (end, "type", "'Terminal'"), (end, "IdentifiedObject.mRID", end), (end, "Terminal.ConductingEquipment", switch),
+            (end, "ACDCTerminal.sequenceNumber", f"'{nr}'"), (end, "IdentifiedObject.name", "s_name"), (end, "IdentifiedObject.name", "'second'"),
+            (end, "Terminal.ConnectivityNode", "'n-1'"), (end, "Terminal.ConnectivityNode", "CASE WHEN s_suppkey % 3 = 0 THEN 'n-2' END"),
+            (end, "Terminal.TopologicalNode", "'t-1'"), (end, "Terminal.TopologicalNode", "'t-2'"),
+        ]
+    return GridModel.from_quads(_own_quads(supplier, *facts)).connections().select("mrid", "t_mrid_1", "t_mrid_2")
+
+
 @query(
     "quads_two_stores",
     """SELECT tm AS mrid, connected, p FROM ends WHERE p IS NOT NULL""",
@@ -1183,6 +1224,65 @@ def _(m: GridModel) -> DataFrame:
     return validate.convert(rows, {"top": "xsd:integer"})
 
 
+@query(
+    "user_query_typed",
+    """SELECT tm AS mrid, 'cn-' || part AS node, CAST(seq AS BIGINT) AS nr, connected FROM ends WHERE seq = 1 AND connected IS NOT NULL""",
+)
+def _(m: GridModel) -> DataFrame:
+    """Cells of quads with datatypes, selected in a user's SQL; the columns get the types that the quads tell."""
+    quads = enrich.with_datatypes(m.to_quads("urn:graph:EQ", ["terminal"]))
+    cells = GridModel.from_quads(quads)
+    cells.typed("terminal").createOrReplaceTempView("typed_terminal")
+    rows = quads.sparkSession.sql(
+        """SELECT mrid, node, sequence_number AS nr, connected FROM typed_terminal
+           WHERE sequence_number.value = '1' AND connected IS NOT NULL"""
+    )
+    return cells.query(rows)
+
+
+@query(
+    "written_report_checks",
+    f"""WITH l AS ({REPORT_SQL["loads"]}),
+       r AS (SELECT connectivity_node AS mrid, CASE WHEN load_type <> 'ConformLoad' THEN name END AS name,
+               CASE WHEN load_type = 'EnergyConsumer' THEN 'other' ELSE load_type END AS load_type FROM l)
+       SELECT 'not_null' AS rule, c AS "column", CAST(0 AS BIGINT) AS violations
+         FROM (SELECT unnest(['mrid', 'substation_mrid', 'connectivity_node', 'status', 'load_type']) AS c)
+       UNION ALL SELECT 'not_null', 'name', count(*) FILTER (WHERE name IS NULL) FROM r
+       UNION ALL SELECT 'isin', 'load_type', count(*) FILTER (WHERE load_type = 'other') FROM r
+       UNION ALL SELECT 'unique', 'mrid', count(*) - count(DISTINCT mrid) FROM r""",
+)
+def _(m: GridModel) -> DataFrame:
+    """A report with repeated keys, missing names and an undeclared type, counted while it is written."""
+
+    def broken(df: DataFrame) -> DataFrame:
+        return df.withColumns({
+            "mrid": F.col("connectivity_node"),
+            "name": F.when(F.col("load_type") != "ConformLoad", F.col("name")),
+            "load_type": F.when(F.col("load_type") == "EnergyConsumer", "other").otherwise(F.col("load_type")),
+        })
+
+    mapped = GridModel({name: (lambda n=name: m[n]) for name in m.names()}, [broken])
+    return mapped.write("loads", scratch_folder(m["terminal"].sparkSession, "checked"))
+
+
+@table_query(
+    "written_row_rules",
+    "part",
+    """SELECT 'not_null' AS rule, 'brand' AS "column", count(*) FILTER (WHERE p_size = 1) AS violations FROM part
+       UNION ALL SELECT 'isin', 'brand', count(*) FILTER (WHERE p_size <> 1 AND p_brand NOT IN ('Brand#1', 'Brand#2')) FROM part
+       UNION ALL SELECT 'not_null', 'size', 0 UNION ALL SELECT 'gt', 'size', count(*) FILTER (WHERE p_size <= 10) FROM part
+       UNION ALL SELECT 'not_null', 'price', 0 UNION ALL SELECT 'ge', 'price', count(*) FILTER (WHERE p_retailprice < 1000) FROM part
+       UNION ALL SELECT 'unique', 'size', count(*) - count(DISTINCT p_size) FROM part""",
+)
+def _(part: DataFrame) -> DataFrame:
+    rows = part.selectExpr("CASE WHEN p_size <> 1 THEN p_brand END AS brand", "CAST(p_size AS BIGINT) AS size", "p_retailprice AS price")
+    rules = validate.Schema(
+        {"brand": validate.Field("string", isin=("Brand#1", "Brand#2")), "size": validate.Field("bigint", above=10), "price": validate.Field("double", least=1000.0)},
+        unique=("size",),
+    )
+    return validate.write_checked(rows, rules, scratch_folder(part.sparkSession, "checked"))
+
+
 @query(
     "route_by_store",
     "SELECT eq AS mrid, in_service FROM eq WHERE in_service IS NOT NULL",

@@ -116,6 +116,13 @@ class GridModel:
 
         return violations(self.report(name, **arguments), SCHEMAS[name])
 
+    def write(self, name: str, folder: str, mode: str = "errorifexists", **arguments: object) -> DataFrame:
+        """Write a report as Parquet; returns the violations of its declared schema, counted while it is written."""
+        from voltframe.operators.validate import write_checked
+        from voltframe.plans.schemas import SCHEMAS
+
+        return write_checked(self.report(name, **arguments), SCHEMAS[name], folder, mode)
+
     def __getattr__(self, name: str) -> Callable[..., DataFrame]:
         from voltframe.plans import REPORTS
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from voltframe.functions import bool_of, duration_of, strip_iri, time_of_day, truth
@@ -145,23 +145,47 @@ def _none(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], "rule string, column string, violations bigint")
 
 
-def violations(df: DataFrame, schema: Schema) -> DataFrame:
-    """Violations per rule and column: one pass for row rules, one aggregation per unique column."""
+def _row_rules(schema: Schema) -> tuple[dict[str, tuple[str, str]], list[Column]]:
+    """Names of the rules that a row can break alone, and a count of the rows that break each."""
     names, counts = {}, []
     for column, field in schema.fields.items():
         for rule, broken in field.rules(column).items():
             key = f"{rule}:{column}"
             names[key] = (rule, column)
             counts.append(F.count_if(broken).alias(key))
+    return names, counts
+
+
+def violations(df: DataFrame, schema: Schema) -> DataFrame:
+    """Violations per rule and column: one pass for row rules, one aggregation per unique column."""
+    names, counts = _row_rules(schema)
     result = _long(df.agg(*counts), names) if counts else _none(df)
     for column in schema.unique:
         result = result.unionByName(repeats(df, column))
     return result
 
 
+def write_checked(df: DataFrame, schema: Schema, folder: str, mode: str = "errorifexists") -> DataFrame:
+    """Write rows as Parquet and return their violations, as `violations` does.
+
+    Rules of single rows are counted by the tasks that write, so the report is computed once. Repeats of a key need
+    an exchange; they are counted on the written column alone.
+    """
+    names, counts = _row_rules(schema)
+    seen = Observation()
+    (df.observe(seen, *counts) if counts else df).write.mode(mode).parquet(folder)
+    spark = df.sparkSession
+    found = [(rule, column, seen.get[key]) for key, (rule, column) in names.items()] if counts else []
+    result = spark.createDataFrame(found, "rule string, column string, violations bigint")
+    for column in schema.unique:
+        result = result.unionByName(repeats(spark.read.schema(df.schema).parquet(folder), column))
+    return result
+
+
 def repeats(df: DataFrame, column: str) -> DataFrame:
     """Number of rows beyond the first of their key."""
-    extra = df.groupBy(column).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("v"))
+    keys = df.select(F.col(column).alias("key"))
+    extra = keys.groupBy("key").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("v"))
     return extra.select(F.lit("unique").alias("rule"), F.lit(column).alias("column"), F.col("v").cast("bigint").alias("violations"))
 
 

@@ -282,7 +282,7 @@ VIEWS: dict[str, View] = {
             "normal_open": ("Switch.normalOpen", FLAG),
             "open": ("Switch.open", FLAG),
         },
-        (),
+        ("Breaker", "Disconnector"),
         ("normal_open", "open"),
     ),
     "load": View(
