@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.grid import CIM
 from voltframe import GridModel
+from voltframe.operators.enrich import adapt
 
 TERMINAL = (
     "id string, types array<string>, mrid string, name string, equipment string, node string, topological_node string, "
@@ -15,7 +16,7 @@ TERMINAL = (
 
 
 def physical(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 def test_pairs_of_converters_do_not_travel(spark):
@@ -52,3 +53,42 @@ def test_pairs_of_converters_do_not_travel(spark):
     assert {(r.converter_mrid_1, r.converter_mrid_2, r["name"], r.r) for r in found.collect()} == wanted and wanted
     plan = physical(model.hvdc())
     assert "hashpartitioning(hash" not in plan and plan.count("hashpartitioning(converter_mrid_1") == 1
+
+
+def store(spark):
+    """Three lines with names, two of one value each and one of two."""
+    rows = [(f"l{k}", p, o) for k in range(3) for p, o in (("rdf:type", CIM + "ACLineSegment"), ("cim:ACLineSegment.r", str(k)), ("cim:IdentifiedObject.name", f"L{k}"))]
+    rows += [("l2", "cim:IdentifiedObject.name", "second")] * 2
+    schema = "graph string, subject string, predicate string, object string, object_kind string, datatype string, lang string"
+    return spark.createDataFrame([("urn:EQ", s, p, o, "iri" if p == "rdf:type" else "literal", None, None) for s, p, o in rows], schema)
+
+
+def test_quads_of_a_view_are_exchanged_once_and_only_what_is_selected(spark):
+    rows = GridModel.from_quads(store(spark))["ac_line"].select("id", "name")
+    assert sorted(map(tuple, rows.collect())) == [("l0", "L0"), ("l1", "L1"), ("l2", "L2"), ("l2", "second")]
+    plan = physical(rows)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "IdentifiedObject.name" in plan and "Conductor.length" not in plan
+
+
+def test_rows_with_typed_cells_are_grouped_once(spark):
+    model = GridModel.from_quads(store(spark))
+    done = model.query(model.typed("ac_line").select("id", "r"))
+    assert sorted(r.id for r in done.collect()) == ["l0", "l1", "l2"]
+    assert "ObjectHashAggregate" not in physical(done)
+    ordered = model.query(model.typed("ac_line").select("id", "r").orderBy(F.desc("id")))
+    assert [r.id for r in ordered.collect()] == ["l2", "l1", "l0"]
+
+
+def test_enrichment_reads_its_quads_once(spark):
+    quads = store(spark)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    found = adapt(quads.mapInPandas(counted, quads.schema))
+    assert found.filter("predicate = 'cim:IdentifiedObject.mRID'").count() == 3
+    assert read.value == quads.count()
