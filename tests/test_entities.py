@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from tests.grid import EQ, quads
 from voltframe import GridModel
 from voltframe.operators.validate import Field, Schema, coerce
-from voltframe.sources.entities import VIEWS, rejected_literals
+from voltframe.sources.entities import VIEWS, EntityTable, rejected_literals
 
 NAME, POINT = "IdentifiedObject.name", VIEWS["substation"].columns["delivery_point"][0]
 
@@ -59,3 +59,13 @@ def test_query_of_a_user(spark):
     upper = lambda df: df.selectExpr("upper(id) AS id", "n")
     found = GridModel({}, [upper]).query(rows, Schema({"n": Field("double")}))
     assert sorted((r.id, r.n) for r in found.collect()) == [("A", 5.0), ("B", 7.0)]
+
+
+def test_a_stored_subject_holds_its_own_properties_only(spark):
+    """No column for every property that any view knows: those were 200 to sort, shuffle and write for each subject."""
+    table = EntityTable(store(spark, EQ).unionByName(store(spark, f'l1 {NAME} "second"')), materialize=True)
+    assert set(table.stored.columns) == {"subject", "types", "facts", "further", "kind"}
+    line = table.stored.filter("subject = 'l1'").selectExpr("map_keys(facts) AS held", "facts", "further").first()
+    assert line.held == sorted(line.held) and "Terminal.ConnectivityNode" not in line.facts
+    assert len(line.further[NAME]) == 2 and table.repeated == {NAME}
+    assert {r.name for r in table.view("ac_line").select("id", "name").filter("id = 'l1'").collect()} >= {"second"}
