@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from voltframe.llm import decontaminate, exact_dedup, html_text, lattice_lm, near_dedup, packing, sharding, toxicity, url_rules, warc
@@ -490,3 +491,17 @@ def test_few_words_move_a_weight_little_and_many_decide():
     seen: Counter = Counter()
     html_text._count("<div class='a'>o <article>x <div class='a'>y z <div class='a'>q</div></div></article></div>", seen)
     assert (seen["div.a", False], seen["div.a", True]) == (1, 3)
+
+
+def test_exact_tables_hold_each_text_once(spark):
+    """Texts beyond one byte a character took up to four more times their bytes beside the table's limit."""
+    row = pa.record_batch({"id": [1, 2], "text": ["\U0001F600" * 9, None]})
+    assert list(exact_dedup._payloads(row)) == [None, None]
+    table = exact_dedup.ContentTable()
+    assert table.merge(1, b"a", 1, 2, b"x" * 500, 900) and not table.merge(2, b"b", 1, 3, b"x" * 500, 900)
+    assert table.merge(1, b"a", 1, 1, b"x" * 600, 900) and table.bytes == 801 and table.entries[0][2:4] == [2, 1]
+    long = [[0, b"t" * 1000, 1, k, None] for k in range(5)]
+    assert [len(c) for c in exact_dedup._chunks(iter(long), limit=2000)] == [2, 2, 1]
+    docs = spark.createDataFrame([(k, f" {k % 7}\t\n\U0001F600 " * 50, [k]) for k in range(70)] + [(None, None, [0]), (99, "", [9])], "doc_id int, text string, text_row array<int>")
+    assert {(r.doc_id, tuple(r.text_row)) for r in exact_dedup.keepers(docs, limit=500).collect()} == {(k, (k,)) for k in range(7)} | {(99, (9,))}
+    assert {(r.keep_id, r.group_size) for r in exact_dedup.groups(docs, limit=500).collect()} == {(k, 10) for k in range(7)} | {(99, 2)}

@@ -4,7 +4,8 @@ Texts are equal when identical after every run of white space becomes one space.
 its own copies, so that a text of which a third of all rows are copies reaches the shuffle at most a few times
 per task. The survivors are partitioned by content hash; a task reads its partition through an open-addressing
 table that compares complete contents. Contents beyond the table's byte limit go to spill files, one per next
-digit of the hash, and each spill file is treated the same way until everything has fitted.
+digit of the hash, and each spill file is treated the same way until everything has fitted. Tables hold a text once, as
+bytes, and the rows of `keepers` packed; `groups` holds nothing else. Batches are read and returned in slices of bytes.
 
 Defined results: a null text counts as the empty text. Null ids sort behind all others. Rows that repeat both
 id and text are one document for `groups` and share its decision; `keepers` returns one row of them. Columns of
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltframe.llm import chunks
 from voltframe.llm.common import Batches, packed, texts
 from voltframe.session import written
 
@@ -66,13 +68,15 @@ class ContentTable:
             entry = self.entries[number]
             entry[2] += rows
             if _rank(best) < _rank(entry[3]):
+                self.bytes += _size(payload) - _size(entry[4])
                 entry[3:] = best, payload
             return True
-        if self.entries and self.bytes + len(content) > limit:
+        size = len(content) + _size(payload)
+        if self.entries and self.bytes + size > limit:
             return False
         self.slots[place] = len(self.entries)
         self.entries.append([digest, content, rows, best, payload])
-        self.bytes += len(content) + 200
+        self.bytes += size + 200
         if 3 * len(self.entries) > 2 * len(self.slots):
             self._grow()
         return True
@@ -87,6 +91,10 @@ class ContentTable:
             self.slots[place] = number
 
 
+def _size(payload) -> int:
+    return len(payload) if isinstance(payload, bytes) else 0
+
+
 def _rank(identifier) -> tuple:
     return (identifier is None, identifier if identifier is not None else 0)
 
@@ -136,36 +144,45 @@ def _digest(content: bytes) -> int:
 
 
 def _distinct(df: DataFrame, limit: int, out: T.StructType, finish) -> DataFrame:
-    """One row per distinct content of (id, text, row); `finish` turns an entry into a row of `out`."""
+    """One row per distinct content of (id, text) or (id, text, row); `finish` turns an entry into a row of `out`.
+
+    What is exchanged as `text` is the normalised content.
+    """
     records = T.StructType([T.StructField("digest", T.LongType()), T.StructField("rows", T.LongType()), *df.schema.fields])
-    names = df.columns
 
     def first(parts: Batches) -> Batches:
         shape = None
 
         def each():
             nonlocal shape
-            for part in parts:
+            for part in _sliced(parts):
                 shape = part.schema
-                for content, row in zip(texts(part, "text"), part.to_pylist()):
+                for content, identifier, payload in zip(texts(part, "text"), part.column("id").to_pylist(), _payloads(part)):
                     content = normalised(content)
-                    yield _digest(content), content, 1, row["id"], row
+                    yield _digest(content), content, 1, identifier, payload
 
         for entries in _chunks(merged_here(each(), limit)):
-            fields = [pa.field("digest", pa.int64()), pa.field("rows", pa.int64()), *shape]
             # The digest is unsigned; Spark's long keeps the same 64 bits.
-            rows = [{"digest": _signed(e[0]), "rows": e[2], **e[4]} for e in entries]
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(fields))
+            columns = {
+                "digest": pa.array([_signed(e[0]) for e in entries], pa.int64()),
+                "rows": pa.array([e[2] for e in entries], pa.int64()),
+                "id": pa.array([e[3] for e in entries], shape.field("id").type),
+                "text": pa.array([e[1] for e in entries], pa.binary()).cast(shape.field("text").type),
+            }
+            if "row" in shape.names:
+                columns["row"] = pa.array([pickle.loads(e[4]) for e in entries], shape.field("row").type)
+            yield pa.RecordBatch.from_pydict(columns)
 
     def second(parts: Batches) -> Batches:
         shape = None
 
         def each():
             nonlocal shape
-            for part in parts:
+            for part in _sliced(parts):
                 shape = part.schema
-                for content, row in zip(texts(part, "text"), part.to_pylist()):
-                    yield row["digest"] % (1 << 64), normalised(content), row["rows"], row["id"], {n: row[n] for n in names}
+                own = zip(*[part.column(n).to_pylist() for n in ("digest", "rows", "id")])
+                for content, (digest, rows, identifier), payload in zip(texts(part, "text"), own, _payloads(part)):
+                    yield digest % (1 << 64), content, rows, identifier, payload
 
         for entries in _chunks(merged(each(), limit)):
             yield pa.RecordBatch.from_pylist([finish(e) for e in entries], schema=_arrow(out, shape))
@@ -173,6 +190,18 @@ def _distinct(df: DataFrame, limit: int, out: T.StructType, finish) -> DataFrame
     return df.mapInArrow(first, records).repartition("digest").mapInArrow(second, out)
 
 
+def _sliced(parts: Batches) -> Batches:
+    for part in parts:
+        yield from chunks.slices(part, "text")
+
+
+def _payloads(part: pa.RecordBatch) -> Iterator[bytes | None]:
+    """The column `row` packed, where there is one."""
+    if "row" not in part.schema.names:
+        return (None for _ in range(part.num_rows))
+    return (pickle.dumps(row, pickle.HIGHEST_PROTOCOL) for row in part.column("row").to_pylist())
+
+
 def _arrow(out: T.StructType, shape: pa.Schema) -> pa.Schema:
     kinds = {"string": pa.string(), "bigint": pa.int64()}
     return pa.schema([
@@ -185,13 +214,15 @@ def _signed(digest: int) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
-def _chunks(entries: Iterable, size: int = 500) -> Iterator[list]:
-    chunk = []
+def _chunks(entries: Iterable[list], size: int = 500, limit: int = chunks.SLICE_BYTES) -> Iterator[list]:
+    """So many entries at a time, or fewer where they hold `limit` bytes."""
+    chunk, held = [], 0
     for entry in entries:
         chunk.append(entry)
-        if len(chunk) == size:
+        held += len(entry[1]) + _size(entry[4])
+        if len(chunk) == size or held >= limit:
             yield chunk
-            chunk = []
+            chunk, held = [], 0
     if chunk:
         yield chunk
 
@@ -231,4 +262,4 @@ def keepers(docs: DataFrame, id: str = "doc_id", text: str = "text", limit: int
     """The rows of `docs` that stay, one for each distinct text, with all their columns."""
     whole = packed(docs, id=id, text=text)
     out = T.StructType([whole.schema["row"]])
-    return _distinct(whole, limit, out, lambda e: {"row": e[4]["row"]}).select("row.*")
+    return _distinct(whole, limit, out, lambda e: {"row": pickle.loads(e[4])}).select("row.*")
