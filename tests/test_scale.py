@@ -3,11 +3,14 @@
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from catalog import reports
 from tests.grid import CIM
 from voltframe import GridModel
 from voltframe.operators.enrich import adapt
+from voltframe.sources.star import star_model
 
 TERMINAL = (
     "id string, types array<string>, mrid string, name string, equipment string, node string, topological_node string, "
@@ -92,3 +95,24 @@ def test_enrichment_reads_its_quads_once(spark):
     found = adapt(quads.mapInPandas(counted, quads.schema))
     assert found.filter("predicate = 'cim:IdentifiedObject.mRID'").count() == 3
     assert read.value == quads.count()
+
+
+@pytest.mark.parametrize("name", sorted(reports.GROUPED_ONCE))
+def test_line_items_are_grouped_once_for_a_report(spark, tmp_path, name):
+    """Each view of the report grouped and shuffled all line items again, six times."""
+    date = "timestamp '1998-02-03'"
+    rows = {
+        "region": "SELECT CAST(id AS int) AS r_regionkey, 'A' || id AS r_name FROM range(5)",
+        "nation": "SELECT CAST(id AS int) AS n_nationkey, 'N' || id AS n_name, CAST(id % 5 AS int) AS n_regionkey FROM range(25)",
+        "supplier": "SELECT id AS s_suppkey, 'S' || id AS s_name, CAST(id % 25 AS int) AS s_nationkey, 5000D AS s_acctbal FROM range(4)",
+        "part": "SELECT id AS p_partkey, 'P' || id AS p_name, 'Brand#2' AS p_brand, 'SMALL' AS p_type, 7 AS p_size, 900D AS p_retailprice FROM range(9)",
+        "customer": "SELECT id AS c_custkey, 'C' || id AS c_name, CAST(id % 25 AS int) AS c_nationkey, 1D AS c_acctbal, 'M' AS c_mktsegment FROM range(12)",
+        "orders": f"SELECT id AS o_orderkey, id AS o_custkey, 'F' AS o_orderstatus, 10D AS o_totalprice, {date} AS o_orderdate, '2-HIGH' AS o_orderpriority FROM range(12)",
+        "lineitem": "SELECT o.id AS l_orderkey, o.id % 9 AS l_partkey, 1L AS l_suppkey, CAST(n.id + 1 AS int) AS l_linenumber, 9D AS l_quantity, 60000D AS l_extendedprice, 0D AS l_discount, 0.1D AS l_tax, 'A' AS l_returnflag, 'O' AS l_linestatus FROM range(12) o, range(3) n",
+    }
+    for table, sql in rows.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{table}.parquet")
+    found = reports.QUERIES[f"report_{name}"](spark, str(tmp_path))
+    assert "lineitem.parquet" not in " ".join(found.inputFiles())
+    plain = star_model(spark, str(tmp_path)).report(name)
+    assert sorted(map(str, found.collect())) == sorted(map(str, reports.rounded(plain, reports.ROUNDED.get(name, {})).collect())) != []
