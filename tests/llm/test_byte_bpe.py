@@ -93,3 +93,57 @@ def test_parts_put_together_are_the_text_and_cut_only_behind_what_is_not_blank()
         parts = chunks.parts(text)
         assert "".join(parts) == text
         assert all(a[-1:].strip() and b[0] == " " for a, b in zip(parts, parts[1:]))
+
+
+def test_new_matches_are_encoded_together(own, plain, monkeypatch):
+    rng, alone, encode = random.Random(8), [], byte_bpe.Vocabulary.lasts
+    monkeypatch.setattr(byte_bpe.Vocabulary, "lasts", lambda self, content: alone.append(content) or encode(self, content))
+    found = [" ".join("".join(rng.choices("abcdeghinorst", k=rng.randrange(6, 14))) for _ in range(500)) for _ in range(10)]
+    ids, ends = byte_bpe.Coder(own)(found)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [plain.encode_ordinary(text) for text in found]
+    assert len(alone) < 10
+
+
+def test_matches_of_all_lengths_together_are_as_each_alone(own):
+    rng = random.Random(9)
+    contents = [bytes(rng.choice(b"abcdethion =") for _ in range(rng.randrange(1, 30))) for _ in range(400)]
+    contents += [bytes(rng.choice(b"aeht =") for _ in range(size)) for size in (31, 200, 5000)] + [b"=" * 700, b"a" * 300, b"\xff\x80 \x00" * 20]
+    for some in (contents, contents[:: -1], contents[-7:], contents * 2, [b"abcabc"] * 300, []):
+        ids, sizes = own.encoded(some)
+        ends = [0, *sizes.cumsum().tolist()]
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [byte_bpe.Prefixes(own, each).tokens() for each in some]
+        assert len(ids) == ends[-1]
+
+
+def test_together_with_tokens_that_no_merge_makes():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"cd": 257, b"abcd": 258, b"bcx": 259, b"xy": 260, b"xyab": 261}
+    own = byte_bpe.Vocabulary(ranks)
+    rng = random.Random(3)
+    contents = ["".join(rng.choice("abcdxy") for _ in range(rng.randrange(1, 14))).encode() for _ in range(2000)]
+    ids, sizes = own.encoded(contents)
+    ends = [0, *sizes.cumsum().tolist()]
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [byte_bpe.Prefixes(own, each).tokens() for each in contents]
+
+
+def test_what_is_kept_changes_nothing(own, plain, monkeypatch):
+    monkeypatch.setattr(chunks, "KEPT_PARTS", 50)
+    monkeypatch.setattr(byte_bpe, "PARTS_AT_ONCE", 70)
+    code = byte_bpe.Coder(own)
+    for some in (ODD[1:], texts(300, 80, 10), [], [""], texts(300, 80, 10), ODD[1:]):
+        ids, ends = code(some)
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [plain.encode_ordinary(text) for text in some]
+    with pytest.raises(TypeError), monkeypatch.context() as broken:
+        broken.setattr(byte_bpe.Vocabulary, "encoded", None)
+        code(["neverseen before"])
+    ids, ends = code(["neverseen before", "a neverseen"])
+    assert ids.tolist() == plain.encode_ordinary("neverseen before") + plain.encode_ordinary("a neverseen")
+
+
+def test_decoding_ids_that_are_null_empty_or_unknown(spark, plain, monkeypatch):
+    known = plain.encode_ordinary("some words é日")
+    rows = [(1, known), (2, None), (3, []), (4, known[:3] * 2), (5, None)]
+    got = byte_bpe.decode(spark.createDataFrame(rows, "k int, ids array<int>")).collect()
+    assert {r.row.k: bytes(r.decoded) for r in got} == {k: plain.decode_bytes(ids or []) for k, ids in rows}
+    for wrong in (50_999, 16_000_000, -1, None):
+        with pytest.raises(Exception):
+            byte_bpe.decode(spark.createDataFrame([(1, [known[0], wrong])], "k int, ids array<int>")).collect()

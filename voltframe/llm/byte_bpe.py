@@ -10,7 +10,10 @@ Whether two tokens stay apart is told by undoing their merges from the latest on
 tokens then facing each other had a merge of their own that came first. Results are kept per pair.
 
 Texts are cut by the public pattern and every match is encoded separately; a match that is itself a token is that
-token. Distinct parts of texts are encoded once a task as long as they are short (see `chunks`).
+token. Distinct parts of texts are encoded once a worker while they are kept (see `chunks`).
+
+The matches that are new in a slice of texts are encoded together: the last tokens of their prefixes of one byte, then of
+two bytes and so on, in arrays over all of these matches. Where only few are that long, and in edits, it goes byte by byte.
 
 Defined results: null and empty texts have no ids, and decode to no bytes; special tokens' strings are ordinary text;
 bytes that are no UTF-8 count as U+FFFD; null ids, repeated rows and columns of any name pass through; an empty
@@ -21,7 +24,9 @@ from __future__ import annotations
 
 import base64
 import functools
-from itertools import pairwise
+from collections import defaultdict
+from collections.abc import Callable, Iterable
+from itertools import count, islice, pairwise
 
 import ahocorasick
 import numpy as np
@@ -40,6 +45,12 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 MATCH = regex.compile(public_tokenizers.PATTERN)
 # Pairs of tokens whose compatibility a task keeps.
 KEPT_PAIRS = 250_000
+# Slots, as a power of two, for the same where many pairs are looked up together.
+PAIR_SLOTS = 20
+# Matches are encoded together as far as so many of them reach; the longer ones go on alone.
+FEW = 128
+# Parts of texts that are looked up at a time.
+PARTS_AT_ONCE = 500_000
 # Ids that a task decodes at a time, or one row's.
 DECODED_IDS = 500_000
 NONE = -1
@@ -47,6 +58,69 @@ NONE = -1
 BITS = 24
 
 
+class Table:
+    """Numbers by whole-number keys, from 0 on, many looked up at a time; NONE where there is none."""
+
+    def __init__(self, held: dict[int, int]) -> None:
+        self.bits = max(8, (4 * len(held)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, NONE, np.int64), np.full(1 << self.bits, NONE, np.int32)
+        keys, values = np.fromiter(held, np.int64, len(held)), np.fromiter(held.values(), np.int32, len(held))
+        at = slots(keys, self.bits)
+        while len(keys):
+            free = self.keys[at] == NONE
+            self.keys[at[free]] = keys[free]
+            # Of several that want a slot one got it.
+            placed = self.keys[at] == keys
+            self.values[at[placed]] = values[placed]
+            keys, values, at = keys[~placed], values[~placed], self._next(at[~placed])
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        at = slots(keys, self.bits)
+        held, out = self.keys[at], self.values[at]
+        # Where another key is held, the next slots are looked at until an empty one.
+        going = np.flatnonzero(held != keys)
+        out[going] = NONE
+        going = going[held[going] != NONE]
+        at = at[going]
+        while len(going):
+            at = self._next(at)
+            held = self.keys[at]
+            same = held == keys[going]
+            out[going[same]] = self.values[at[same]]
+            more = ~same & (held != NONE)
+            going, at = going[more], at[more]
+        return out
+
+
+def slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    """A slot of 2 ** bits for every key (Fibonacci hashing)."""
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Lists:
+    """Lists of numbers in one array, added at the end and put together by their places."""
+
+    def __init__(self) -> None:
+        self.flat, self.used, self.ends = np.empty(1 << 10, np.int32), 0, np.zeros(1, np.int64)
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        if self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.empty(self.used + 2 * len(flat), np.int32)])
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the lists at these places in a row, and how many each list has."""
+        starts = self.ends[places]
+        lengths = self.ends[places + 1] - starts
+        before = np.cumsum(lengths) - lengths
+        return self.flat[np.arange(lengths.sum()) + np.repeat(starts - before, lengths)], lengths
+
+
 class Vocabulary:
     """Ranks of byte strings; a rank is the token's id and the time of its merge."""
 
@@ -64,6 +138,32 @@ class Vocabulary:
             if self.made(number):
                 self.automaton.add_word(token.decode("latin-1"), (number, len(token)))
         self.automaton.make_automaton()
+        self._arrays()
+
+    def _arrays(self) -> None:
+        """The tokens as a trie, the parts that a merge joins, and the ranks of joined pairs, for many at a time."""
+        edges: dict[int, int] = {}
+        ends: dict[int, int] = {}
+        pairs: dict[int, int] = {}
+        self.sizes, self.lefts, self.rights = np.zeros(self.late, np.int64), *np.full((2, self.late), NONE, np.int64)
+        for token, number in self.ranks.items():
+            self.sizes[number] = len(token)
+            for cut in range(1, len(token)):
+                left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    pairs[left << BITS | right] = number
+            if self.made(number):
+                node = 0
+                for byte in token:
+                    node = edges.setdefault(node << 8 | byte, len(edges) + 1)
+                ends[node] = number
+                if len(token) > 1:
+                    self.lefts[number], self.rights[number] = self.split(number)
+        self.edges, self.joined = Table(edges), Table(pairs)
+        self.token_at = np.full(len(edges) + 1, NONE, np.int64)
+        self.token_at[list(ends)] = list(ends.values())
+        # Pairs and, in the lowest bit, whether they stay apart; a later pair takes the slot.
+        self.pairs = np.full(1 << PAIR_SLOTS, NONE, np.int64)
 
     def merged(self, content: bytes, before: int) -> list[bytes]:
         """What merges of a rank under `before` make of the bytes, lowest rank and then leftmost first."""
@@ -109,6 +209,94 @@ class Vocabulary:
             raise ValueError("the vocabulary does not hold every byte")
         return last
 
+    def stands(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """`stand` for many."""
+        pair = left << BITS | right
+        at = slots(pair, PAIR_SLOTS)
+        held = self.pairs[at]
+        found, new = (held & 1).astype(bool), np.flatnonzero(held >> 1 != pair)
+        if len(new):
+            found[new] = self._stands(left[new], right[new])
+            self.pairs[at[new]] = pair[new] << 1 | found[new]
+        return found
+
+    def _stands(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        # As in `_stand`; `going` are the places not yet told.
+        found, going, soon = np.zeros(len(left), bool), np.arange(len(left)), np.full(len(left), self.late)
+        while len(going):
+            across, wide_left, wide_right = self.joined.get(left << BITS | right), self.sizes[left] > 1, self.sizes[right] > 1
+            stay = (across == NONE) | (across >= soon)
+            more = wide_left | wide_right
+            found[going[stay & ~more]] = True
+            more &= stay
+            undo = (wide_left & (~wide_right | (left > right)))[more]
+            left, right, going = left[more], right[more], going[more]
+            soon = np.where(undo, left, right + 1)
+            left, right = np.where(undo, self.rights[left], left), np.where(undo, right, self.lefts[right])
+        return found
+
+    def encoded(self, matches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all matches in a row, and how many each has."""
+        runs = [self._encoded(matches[start:stop]) for start, stop in chunks.runs(list(map(len, matches)), chunks.SLICE_BYTES)]
+        return joined(ids for ids, _ in runs), joined(lengths for _, lengths in runs)
+
+    def _encoded(self, matches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.fromiter(map(len, matches), np.int64, len(matches))
+        order = np.argsort(-lengths, kind="stable")
+        # As far as FEW reach, all go together.
+        widest = int(lengths[order[FEW - 1]]) if len(order) >= FEW else 0
+        longer = int(np.count_nonzero(lengths > widest))
+        reach = np.minimum(lengths[order], widest)
+        last = self._lasts([matches[k][:widest] for k in order.tolist()], reach)
+        alone = [Prefixes(self, matches[k], [int(each[at]) for each in last]).tokens() for at, k in enumerate(order[:longer].tolist())]
+        # Tokens of the others, read off backwards: whose, the how manyth from the end, and which.
+        flat, starts = joined(last), np.cumsum([0, *map(len, last)])
+        who, end, found = np.arange(longer, len(order)), reach[longer:], []
+        while len(who):
+            token = flat[starts[end - 1] + who]
+            found.append((order[who], np.full(len(who), len(found)), token))
+            end = end - self.sizes[token]
+            who, end = who[end > 0], end[end > 0]
+        whose, turn, token = map(joined, zip(*found)) if found else [joined([])] * 3
+        sizes = np.bincount(whose, minlength=len(matches))
+        sizes[order[:longer]] = list(map(len, alone))
+        ends = np.cumsum(sizes)
+        ids = np.empty(sizes.sum(), np.int64)
+        ids[ends[whose] - 1 - turn] = token
+        for k, own in zip(order[:longer].tolist(), alone):
+            ids[ends[k] - len(own) : ends[k]] = own
+        return ids, sizes
+
+    def _lasts(self, matches: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
+        """The last tokens of all prefixes of one byte, of two, and so on, of matches that are sorted, longest first."""
+        widest = int(lengths[0]) if len(lengths) else 0
+        held = len(lengths) - np.cumsum(np.bincount(lengths, minlength=widest + 1))
+        data, starts = np.frombuffer(b"".join(matches), np.uint8), np.cumsum(lengths) - lengths
+        content = [data[starts[: held[end]] + end].astype(np.int64) for end in range(widest)]
+        last = [np.full(held[end], NONE, np.int64) for end in range(widest)]
+        for start in range(widest):
+            # All tokens from here on, so that of those with the same end the longest came first.
+            who, node = np.arange(held[start]), np.zeros(held[start], np.int64)
+            for end in range(start, widest):
+                inside = np.searchsorted(who, held[end])
+                who, node = who[:inside], node[:inside]
+                node = self.edges.get(node << 8 | content[end][who])
+                on = node != NONE
+                who, node = who[on], node[on].astype(np.int64)
+                if not len(who):
+                    break
+                token = self.token_at[node]
+                fits = np.flatnonzero((token != NONE) & (last[end][who] == NONE))
+                place, token = who[fits], token[fits]
+                # One token is the right one: at the start any, and the single byte where no longer one was.
+                if 0 < start < end:
+                    apart = self.stands(last[start - 1][place], token)
+                    place, token = place[apart], token[apart]
+                last[end][place] = token
+            if (last[start] == NONE).any():
+                raise ValueError("the vocabulary does not hold every byte")
+        return last
+
     def _stand(self, left: int, right: int) -> bool:
         # `soon` is the first rank that is too late for a merge across the border to take place at this stage.
         soon = self.late
@@ -127,11 +315,17 @@ class Vocabulary:
                 soon, right = right + 1, self.split(right)[0]
 
 
+def joined(arrays: Iterable[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *arrays])
+
+
 class Prefixes:
-    """The last token of every prefix of some bytes, from one byte on."""
+    """The last token of every prefix of some bytes, from one byte on; the first of them may be known."""
 
-    def __init__(self, vocabulary: Vocabulary, content: bytes = b"") -> None:
-        self.vocabulary, self.content, self.last = vocabulary, content, vocabulary.lasts(content)
+    def __init__(self, vocabulary: Vocabulary, content: bytes = b"", known: list[int] | None = None) -> None:
+        self.vocabulary, self.content, self.last = vocabulary, content, known or vocabulary.lasts(content)
+        if known:
+            self._further()
 
     def _further(self, stop_early=None) -> None:
         """Fill in `last` from its end to the end of the content; `stop_early(end)` may end it before."""
@@ -245,35 +439,63 @@ def place(name: str) -> str:
 
 
 class Coder:
-    """Encodes texts, keeping the ids of short parts and of short matches."""
+    """Encodes texts, keeping the ids of parts and of matches."""
 
     def __init__(self, own: Vocabulary) -> None:
-        self.own, self.parts, self.matches = own, {}, {}
-
-    def __call__(self, text: str) -> list[int]:
-        kept, out = self.parts, []
-        for part in chunks.parts(text):
-            found = kept.get(part)
-            if found is None:
-                found = tuple([token for match in MATCH.findall(part) for token in self._match(match)])
-                _keep(kept, part, found)
-            out += found
-        return out
-
-    def _match(self, match: str) -> tuple[int, ...]:
-        found = self.matches.get(match)
-        if found is None:
-            found = tuple(encoded_match(self.own, match))
-            _keep(self.matches, match, found)
-        return found
-
-
-def _keep(kept: dict[str, tuple[int, ...]], text: str, ids: tuple[int, ...]) -> None:
-    # Tuples, which the garbage collector soon leaves alone.
-    if len(text) <= chunks.KEPT_LENGTH:
-        if len(kept) >= chunks.KEPT_PARTS:
-            kept.clear()
-        kept[text] = ids
+        self.own, self.parts, self.matches = own, Kept(), Kept()
+
+    def __call__(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's end, after a 0."""
+        parts, ends = [], [0]
+        for text in texts:
+            parts += chunks.parts(text)
+            ends.append(len(parts))
+        starts = range(0, len(parts), PARTS_AT_ONCE)
+        found = [self.parts.take(parts[start : start + PARTS_AT_ONCE], self._parts) for start in starts]
+        return joined(ids for ids, _ in found), np.cumsum(joined([[0], *(lengths for _, lengths in found)]))[ends]
+
+    def _parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        matches, ends = [], [0]
+        for part in parts:
+            matches += MATCH.findall(part)
+            ends.append(len(matches))
+        ids, lengths = self.matches.take(matches, self._matches)
+        return ids, np.diff(np.cumsum(joined([[0], lengths]))[ends])
+
+    def _matches(self, matches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        contents = [match.encode() for match in matches]
+        whole = np.array([self.own.ranks.get(content, NONE) for content in contents], np.int64)
+        new = whole == NONE
+        found, lengths = self.own.encoded([contents[k] for k in np.flatnonzero(new).tolist()])
+        sizes = np.ones(len(matches), np.int64)
+        sizes[new] = lengths
+        ids = np.repeat(whole, sizes)
+        ids[ids == NONE] = found
+        return ids, sizes
+
+
+class Kept:
+    """Ids of strings, found once while they are kept."""
+
+    def __init__(self) -> None:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places, self.ids, self.held = defaultdict(count().__next__), Lists(), 0
+
+    def take(self, strings: list[str], find: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all strings in a row, and how many each has; `find` tells them of new strings."""
+        full = len(self.places) > chunks.KEPT_PARTS or self.held > chunks.KEPT_PARTS * chunks.KEPT_LENGTH
+        # After an error there are places without ids.
+        if full or len(self.places) >= len(self.ids.ends):
+            self._forget()
+        old = len(self.places)
+        places = np.fromiter(map(self.places.__getitem__, strings), np.int64, len(strings))
+        new = list(islice(self.places, old, None))
+        if new:
+            self.held += sum(map(len, new))
+            self.ids.add(*find(new))
+        return self.ids.take(places)
 
 
 @functools.lru_cache(maxsize=4)
@@ -291,10 +513,7 @@ def encode(docs: DataFrame, text: str = "text", tokenizer: str = VOCABULARY) ->
         code = coder(place(tokenizer))
         for batch in batches:
             for part in chunks.slices(batch, "text"):
-                ids, ends = [], [0]
-                for content in texts(part, "text"):
-                    ids += code(content.decode("utf-8", "replace"))
-                    ends.append(len(ids))
+                ids, ends = code(content.decode("utf-8", "replace") for content in texts(part, "text"))
                 column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("row"), column], ["row", "ids"])
 
@@ -306,14 +525,20 @@ def decode(rows: DataFrame, ids: str = "ids", tokenizer: str = VOCABULARY) -> Da
     whole, number = rows.select(F.struct(*[f"`{name}`" for name in rows.columns]).alias("row")), rows.columns.index(ids)
 
     def each(batches: Batches) -> Batches:
-        token = token_bytes(place(tokenizer)).__getitem__
+        held = token_bytes(place(tokenizer))
+        known = pa.array([held.get(number) for number in range(max(held) + 1)], pa.binary())
         for batch in batches:
             lengths = pc.fill_null(pc.list_value_length(batch.column("row").field(number)), 0)
             for start, stop in chunks.runs(lengths.to_pylist(), DECODED_IDS):
                 part = batch.slice(start, stop - start)
-                numbers = part.column("row").field(number).flatten().to_pylist()
-                ends = np.cumsum([0, *lengths[start:stop].to_pylist()]).tolist()
-                decoded = [b"".join(map(token, numbers[begin:end])) for begin, end in pairwise(ends)]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(decoded, pa.binary())], ["row", "decoded"])
+                tokens = known.take(part.column("row").field(number).flatten())
+                if tokens.null_count:
+                    raise KeyError("an id without bytes")
+                # A row's bytes are those of its tokens in a row, as they lie there.
+                token_ends = np.cumsum(np.concatenate([[0], pc.binary_length(tokens).to_numpy()]))
+                row_ends = token_ends[np.cumsum([0, *lengths[start:stop].to_pylist()])].astype(np.int32)
+                buffers = [None, pa.py_buffer(row_ends), tokens.buffers()[2] or pa.py_buffer(b"")]
+                decoded = pa.BinaryArray.from_buffers(pa.binary(), len(part), buffers)
+                yield pa.RecordBatch.from_arrays([part.column("row"), decoded], ["row", "decoded"])
 
     return whole.mapInArrow(each, T.StructType([whole.schema["row"], *T._parse_datatype_string("decoded binary").fields]))
