@@ -26,7 +26,7 @@ import base64
 import functools
 from collections import defaultdict
 from collections.abc import Callable, Iterable
-from itertools import count, islice, pairwise
+from itertools import count, islice, pairwise, repeat
 
 import ahocorasick
 import numpy as np
@@ -49,6 +49,8 @@ KEPT_PAIRS = 250_000
 PAIR_SLOTS = 20
 # Matches are encoded together as far as so many of them reach; the longer ones go on alone.
 FEW = 128
+# Bytes of texts that a task encodes at a time; a longer text is encoded alone.
+ENCODED_BYTES = 1 << 19
 # Parts of texts that are looked up at a time.
 PARTS_AT_ONCE = 500_000
 # Ids that a task decodes at a time, or one row's.
@@ -160,7 +162,8 @@ class Vocabulary:
                 if len(token) > 1:
                     self.lefts[number], self.rights[number] = self.split(number)
         self.edges, self.joined = Table(edges), Table(pairs)
-        self.token_at = np.full(len(edges) + 1, NONE, np.int64)
+        self.first = self.edges.get(np.arange(256)).astype(np.int64)
+        self.token_at = np.full(len(edges) + 1, NONE, np.int32)
         self.token_at[list(ends)] = list(ends.values())
         # Pairs and, in the lowest bit, whether they stay apart; a later pair takes the slot.
         self.pairs = np.full(1 << PAIR_SLOTS, NONE, np.int64)
@@ -211,6 +214,7 @@ class Vocabulary:
 
     def stands(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """`stand` for many."""
+        left, right = left.astype(np.int64), right.astype(np.int64)
         pair = left << BITS | right
         at = slots(pair, PAIR_SLOTS)
         held = self.pairs[at]
@@ -272,15 +276,16 @@ class Vocabulary:
         widest = int(lengths[0]) if len(lengths) else 0
         held = len(lengths) - np.cumsum(np.bincount(lengths, minlength=widest + 1))
         data, starts = np.frombuffer(b"".join(matches), np.uint8), np.cumsum(lengths) - lengths
-        content = [data[starts[: held[end]] + end].astype(np.int64) for end in range(widest)]
-        last = [np.full(held[end], NONE, np.int64) for end in range(widest)]
+        content = [data[starts[: held[end]] + end] for end in range(widest)]
+        last = [np.full(held[end], NONE, np.int32) for end in range(widest)]
         for start in range(widest):
             # All tokens from here on, so that of those with the same end the longest came first.
-            who, node = np.arange(held[start]), np.zeros(held[start], np.int64)
+            who, node = np.arange(held[start]), self.first[content[start]]
             for end in range(start, widest):
-                inside = np.searchsorted(who, held[end])
-                who, node = who[:inside], node[:inside]
-                node = self.edges.get(node << 8 | content[end][who])
+                if end > start:
+                    inside = np.searchsorted(who, held[end])
+                    who = who[:inside]
+                    node = self.edges.get(node[:inside] << 8 | content[end][who])
                 on = node != NONE
                 who, node = who[on], node[on].astype(np.int64)
                 if not len(who):
@@ -455,16 +460,19 @@ class Coder:
         return joined(ids for ids, _ in found), np.cumsum(joined([[0], *(lengths for _, lengths in found)]))[ends]
 
     def _parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        matches, ends = [], [0]
-        for part in parts:
-            matches += MATCH.findall(part)
-            ends.append(len(matches))
+        # Where a cut of a text may be (see `chunks`) no match crosses, so parts are matched in a row up to any other joint.
+        joints = [at for at, (a, b) in enumerate(pairwise(parts), 1) if b[0] != " " or a[-1].isspace()]
+        matches = []
+        for start, stop in pairwise([0, *joints, len(parts)]):
+            matches += MATCH.findall("".join(parts[start:stop]))
         ids, lengths = self.matches.take(matches, self._matches)
-        return ids, np.diff(np.cumsum(joined([[0], lengths]))[ends])
+        match_ends, part_ends = (np.cumsum(np.fromiter(map(len, each), np.int64, len(each))) for each in (matches, parts))
+        ends = np.searchsorted(match_ends, part_ends, side="right")
+        return ids, np.diff(np.cumsum(joined([[0], lengths]))[ends], prepend=0)
 
     def _matches(self, matches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         contents = [match.encode() for match in matches]
-        whole = np.array([self.own.ranks.get(content, NONE) for content in contents], np.int64)
+        whole = np.fromiter(map(self.own.ranks.get, contents, repeat(NONE)), np.int64, len(contents))
         new = whole == NONE
         found, lengths = self.own.encoded([contents[k] for k in np.flatnonzero(new).tolist()])
         sizes = np.ones(len(matches), np.int64)
@@ -512,7 +520,7 @@ def encode(docs: DataFrame, text: str = "text", tokenizer: str = VOCABULARY) ->
     def each(batches: Batches) -> Batches:
         code = coder(place(tokenizer))
         for batch in batches:
-            for part in chunks.slices(batch, "text"):
+            for part in chunks.slices(batch, "text", ENCODED_BYTES):
                 ids, ends = code(content.decode("utf-8", "replace") for content in texts(part, "text"))
                 column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("row"), column], ["row", "ids"])
