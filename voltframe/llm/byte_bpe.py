@@ -48,11 +48,11 @@ KEPT_PAIRS = 250_000
 # Slots, as a power of two, for the same where many pairs are looked up together.
 PAIR_SLOTS = 20
 # Matches are encoded together as far as so many of them reach; the longer ones go on alone.
-FEW = 128
+FEW = 256
 # Bytes of texts that a task encodes at a time; a longer text is encoded alone.
 ENCODED_BYTES = 1 << 19
 # Parts of texts that are looked up at a time.
-PARTS_AT_ONCE = 500_000
+PARTS_AT_ONCE = 100_000
 # Ids that a task decodes at a time, or one row's.
 DECODED_IDS = 500_000
 NONE = -1
@@ -320,8 +320,8 @@ class Vocabulary:
                 soon, right = right + 1, self.split(right)[0]
 
 
-def joined(arrays: Iterable[np.ndarray]) -> np.ndarray:
-    return np.concatenate([np.empty(0, np.int64), *arrays])
+def joined(arrays: Iterable[np.ndarray], kind: type = np.int64) -> np.ndarray:
+    return np.concatenate([np.empty(0, kind), *arrays])
 
 
 class Prefixes:
@@ -457,7 +457,7 @@ class Coder:
             ends.append(len(parts))
         starts = range(0, len(parts), PARTS_AT_ONCE)
         found = [self.parts.take(parts[start : start + PARTS_AT_ONCE], self._parts) for start in starts]
-        return joined(ids for ids, _ in found), np.cumsum(joined([[0], *(lengths for _, lengths in found)]))[ends]
+        return joined((ids for ids, _ in found), np.int32), np.cumsum(joined([[0], *(lengths for _, lengths in found)]))[ends]
 
     def _parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # Where a cut of a text may be (see `chunks`) no match crosses, so parts are matched in a row up to any other joint.
