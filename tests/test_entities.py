@@ -2,11 +2,15 @@
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from tests.grid import EQ, quads
+from tests.grid import CIM, EQ, quads
 from voltframe import GridModel
 from voltframe.operators.validate import Field, Schema, coerce
-from voltframe.sources.entities import VIEWS, EntityTable, rejected_literals
+from voltframe.session import DELETE_EXCHANGES, written
+from voltframe.sources import entities
+from voltframe.sources.entities import PROPERTIES, VIEWS, EntityTable, rejected_literals
+from voltframe.sources.quads import QUAD_COLUMNS
 
 NAME, POINT = "IdentifiedObject.name", VIEWS["substation"].columns["delivery_point"][0]
 
@@ -69,3 +73,52 @@ def test_a_stored_subject_holds_its_own_properties_only(spark):
     assert line.held == sorted(line.held) and "Terminal.ConnectivityNode" not in line.facts
     assert len(line.further[NAME]) == 2 and table.repeated == {NAME}
     assert {r.name for r in table.view("ac_line").select("id", "name").filter("id = 'l1'").collect()} >= {"second"}
+
+
+def test_subjects_are_grouped_and_written_with_one_exchange(spark, monkeypatch):
+    """The whole table was exchanged a second time, by classes, and each fact of the first carried its property's name."""
+    plans = []
+
+    def seen(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, *args, **kwargs)
+
+    monkeypatch.setattr(entities, "written", seen)
+    table = EntityTable(store(spark, EQ), materialize=True)
+    (plan,) = plans
+    assert plan.count("Exchange ") == 1 and "REBALANCE" not in plan and "collect_set(fact" in plan
+    # In order of their folders where they are written: the writer needn't sort the finished rows again.
+    assert plan.count("Sort [kind") == 1 and plan.index("Sort [kind") > plan.index("facts")
+    assert {row.kind for row in table.stored.select("kind").distinct().collect()} == set(table.kinds)
+
+
+def test_values_of_any_form_come_back_whole(spark):
+    texts = ["", "=", "a", "ab=c", "x" * 14, "x" * 15, "x" * 16, "é" * 15, "\U00010948", " a ", "end\x00", "end\x01", "end\x10", "a" * 200]
+    rows = [(f"s{k}", "cim:IdentifiedObject.name", text) for k, text in enumerate(texts)]
+    rows += [(f"s{k}", "rdf:type", CIM + "ACLineSegment") for k in range(len(texts))]
+    # A quad without a value is a value that isn't there; the last property of all has a code of two bytes.
+    rows += [("s0", "cim:IdentifiedObject.mRID", None), ("s1", "urn:other#IdentifiedObject.mRID", "m"), ("s2", f"cim:{PROPERTIES[-1]}", "1")]
+    rows += [("s3", "rdf:type", None), (None, "rdf:type", CIM + "ACLineSegment"), ("none", "rdf:type", None)]
+    quads = spark.createDataFrame([("urn:g", s, p, o, "literal", None, None) for s, p, o in rows], ", ".join(f"{c} string" for c in QUAD_COLUMNS))
+    for materialize in (False, True):
+        table = EntityTable(quads, materialize)
+        found = table.view("ac_line").select("id", "types", "name", "mrid").collect()
+        wanted = [(f"s{k}", ["ACLineSegment"], text, "m" if k == 1 else None) for k, text in enumerate(texts)]
+        assert sorted(map(tuple, found), key=str) == sorted([*wanted, (None, ["ACLineSegment"], None, None)], key=str)
+        assert table.view("power_transformer").select("id").count() == 0 and table.view("ac_line").select("id").count() == len(texts) + 1
+    stored = {r.subject: r for r in table.stored.collect()}
+    assert stored["s0"].facts == {"IdentifiedObject.mRID": None, "IdentifiedObject.name": ""}
+    assert stored["s2"].facts[PROPERTIES[-1]] == "1" and stored["none"].types == [] and stored["none"].facts == {}
+
+
+def test_exchanges_of_a_written_table_are_deleted(spark):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        return {files.next().getName() for _ in iter(files.hasNext, False)}
+
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count()
+    rows.write.format("noop").mode("overwrite").save()
+    before, setting = held(), spark.conf.get(DELETE_EXCHANGES, None)
+    table = written(rows, "rows")
+    assert before and not held() - before
+    assert table.count() == 7 and spark.conf.get(DELETE_EXCHANGES, None) == setting
